@@ -9,6 +9,7 @@ when the text is searched once per term.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -105,16 +106,11 @@ def term_positions(text: Column, vocabularies: Sequence[Vocabulary]) -> Column:
             odd.append((pos, vocab.pattern(term)))
 
     # A hit is the longest term at its place; the terms it begins with are there too.
-    hit_positions = [
-        (word, [p for w, ps in plain.items() if word.startswith(w) for p in ps]) for word in plain
-    ]
-    lookup = F.create_map(
-        *[
-            col
-            for word, positions in hit_positions
-            for col in (F.lit(word), F.array(*[F.lit(p) for p in positions]))
-        ]
-    )
+    by_hit = {
+        word: [p for w, ps in plain.items() if word.startswith(w) for p in ps] for word in plain
+    }
+    # Written as one literal, which Spark folds to a constant map when planning.
+    lookup = F.from_json(F.lit(json.dumps(by_hit)), "map<string,array<int>>")
     # A look-ahead consumes nothing, so terms that overlap are all found.
     scan = F.lit(f"(?=({_longest_of(list(plain))}))")
 
@@ -135,7 +131,7 @@ def terms_at(positions: Column, vocabularies: Sequence[Vocabulary], wanted: Voca
     """The terms of ``wanted`` among the positions found for ``vocabularies``."""
     first = sum(len(v.terms) for v in vocabularies[: list(vocabularies).index(wanted)])
     last = first + len(wanted.terms) - 1
-    words = F.array(*[F.lit(t) for t in wanted.terms])
+    words = F.split(F.lit("\n".join(wanted.terms)), "\n")  # a constant array after planning
     mine = F.filter(positions, lambda p: p.between(first, last))
     return F.transform(mine, lambda p: F.get(words, p - first))
 
