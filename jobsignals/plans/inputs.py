@@ -84,10 +84,6 @@ JOB_PAGE_COLUMNS = {
         + " || '</b></a><a class=\"item search-from-tag link\">khác</a>' END || '</body></html>'"
     ).replace("\\'", "''"),
 }
-JOB_PAGES_SQL = (
-    "SELECT doc_id, " + ", ".join(f"{sql} AS {name}" for name, sql in JOB_PAGE_COLUMNS.items())
-    + " FROM documents"
-)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
