@@ -14,7 +14,9 @@ from jobsignals.functions.salary import salary_bins, salary_candidates
 from jobsignals.operators import pages as pg
 from jobsignals.operators import postings as po
 from jobsignals.operators import terms as tm
-from jobsignals.plans.inputs import SECTIONED, as_postings, job_pages, postings, table, table_stream
+from jobsignals.plans.inputs import (
+    SECTIONED, as_postings, documents, job_pages, pages, postings, table, table_stream,
+)
 from jobsignals.session import shared_folder
 from jobsignals.sources import tables, topics
 from jobsignals.streaming import jobs
@@ -101,7 +103,7 @@ def salary_bin_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", t.clean(F.col("html")).alias("text"))
+    return pages(spark, sf_dir).select("page_id", t.clean(F.col("html")).alias("text"))
 
 
 def clean_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,7 +152,7 @@ def complete_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{SECTIONED} AS body")
+    texts = documents(spark, sf_dir).selectExpr("doc_id", f"{SECTIONED} AS body")
     parts = texts.select("doc_id", t.sections(F.col("body")).alias("parts"))
     names = [f"part_{i}" for i in range(1, len(t.SECTION_HEADERS) + 1)]
     return parts.select(
@@ -164,7 +166,7 @@ def specialty_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(
+    return pages(spark, sf_dir).select(
         "page_id",
         pg.listing_url(F.col("page_id")).alias("first_site"),
         pg.listing_url(F.col("page_id"), pg.LISTING_URL_SECOND).alias("second_site"),
@@ -172,15 +174,15 @@ def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pg.page_links(table(spark, sf_dir, "pages"), NAV)
+    return pg.page_links(pages(spark, sf_dir), NAV)
 
 
 def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pg.page_fields(table(spark, sf_dir, "pages"), NAV)
+    return pg.page_fields(pages(spark, sf_dir), NAV)
 
 
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(
+    return pages(spark, sf_dir).select(
         "page_id", h.visible_text(h.visible_markup(F.col("html"))).alias("text")
     )
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from jobsignals.sources.tables import spread
+
 # --- Fixed values: phrases appended to the documents
 SKILLS = [
     "Docker, Kubernetes and Java services", "Lập trình C++ / PHP , MVC",
@@ -90,16 +92,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"), "page_id")
+
+
 def as_postings(documents: DataFrame) -> DataFrame:
     return documents.selectExpr(*[f"{sql} AS {name}" for name, sql in POSTING_COLUMNS.items()])
 
 
 def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_postings(table(spark, sf_dir, "documents"))
+    return as_postings(documents(spark, sf_dir))
 
 
 def job_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").selectExpr(
+    return documents(spark, sf_dir).selectExpr(
         *[f"{sql} AS {name}" for name, sql in JOB_PAGE_COLUMNS.items()]
     )
 
