@@ -28,9 +28,9 @@ FLAT_TAGS = {"a", "h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "title", "nav",
 # --- End of fixed values
 
 _UNSEEN = (
-    r"(?is)<!--.*?(?:-->|\z)"
-    r"|<script(?=[\s/>]).*?(?:</script[^>]*>|\z)"
-    r"|<style(?=[\s/>]).*?(?:</style[^>]*>|\z)"
+    r"(?is)<(?:!--.*?(?:-->|\z)"
+    r"|script(?=[\s/>]).*?(?:</script[^>]*>|\z)"
+    r"|style(?=[\s/>]).*?(?:</style[^>]*>|\z))"
 )
 
 
@@ -83,18 +83,17 @@ def _up_to_close(text: Column, tag: str) -> Column:
 def first_inner(html: Column, step: str) -> Column:
     """Markup inside the first element of this kind; NULL if there is none."""
     rest = F.get(F.split(html, open_tag(step), 2), F.lit(1))
-    return F.when(rest.isNotNull(), _up_to_close(rest, step.split(".")[0]))
+    tag = step.split(".")[0]
+    return let(rest, lambda r: F.when(r.isNotNull(), _up_to_close(r, tag)))
 
 
 def all_inner(html: Column, step: str) -> Column:
     """Markup inside each element of this kind. An element that holds another
     one of the same selector is read up to that one."""
-    rests = F.split(html, open_tag(step), -1)
     tag = step.split(".")[0]
-    return F.transform(
-        F.slice(rests, F.lit(2), F.greatest(F.size(rests) - 1, F.lit(0))),
-        lambda rest: _up_to_close(rest, tag),
-    )
+    # What follows each opening tag; the text before the first one is left out.
+    rests = F.filter(F.split(html, open_tag(step), -1), lambda rest, i: i > 0)
+    return F.transform(rests, lambda rest: _up_to_close(rest, tag))
 
 
 def attributes(markup: Column, tag: str, name: str) -> Column:
@@ -116,8 +115,10 @@ def decode_entities(c: Column) -> Column:
 def visible_text(markup: Column) -> Column:
     """Text as a reader sees it: one line per block, single spaces, no tags."""
     block = rf"</?(?i:{'|'.join(BLOCK_TAGS)})(?=[\s/>])[^>]*>"
-    lines = F.regexp_replace(F.regexp_replace(markup, r"\s+", " "), block, "\n")
-    single = F.regexp_replace(strip_tags(lines), " +", " ")
+    # Only runs of spaces are left to the expression: single ones are the rule.
+    one_line = F.regexp_replace(F.translate(markup, "\t\n\x0b\f\r", " " * 5), " {2,}", " ")
+    lines = F.regexp_replace(one_line, block, "\n")
+    single = F.regexp_replace(let(lines, strip_tags), " {2,}", " ")
     return strip(decode_entities(F.regexp_replace(single, r" ?\n[ \n]*", "\n")))
 
 

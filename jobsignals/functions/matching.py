@@ -47,8 +47,12 @@ ALL = (FRAMEWORKS, LANGUAGES, DESIGN_PATTERNS, KNOWLEDGES)
 def folded(c: Column) -> Column:
     """Lower case under which texts are compared. Three letters whose upper or
     lower form is an ASCII letter are folded to it by hand."""
-    odd = c.contains("İ") | c.contains("ı") | c.contains("ſ")
-    return F.lower(F.when(odd, F.translate(c, "İıſ", "iis")).otherwise(c))
+
+    def fold(t: Column) -> Column:
+        odd = t.contains("İ") | t.contains("ı") | t.contains("ſ")
+        return F.lower(F.when(odd, F.translate(t, "İıſ", "iis")).otherwise(t))
+
+    return let(c, fold)
 
 
 def _quote(ch: str) -> str:

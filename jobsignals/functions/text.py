@@ -25,14 +25,6 @@ MISSING = "N/A"
 SPECIALTY_LABEL = "Chuyên môn "
 # --- End of fixed values
 
-# Letters and marks that NFKC leaves alone and that never combine with a
-# neighbour: ASCII, Latin letters incl. all precomposed Vietnamese ones, and
-# common typographic punctuation. Text made of them alone skips normalisation.
-_NEEDS_NFKC = (
-    r"[^\x00-\x7FÀ-ıĴ-ľŁ-ňŊ-žƠơƯư"
-    r"Ạ-ỹ–—‘-‚“-„•₫€]"
-)
-
 
 def strip(c: Column) -> Column:
     """Remove white space, Unicode included, at both ends."""
@@ -64,12 +56,12 @@ def join_texts(a: Column, b: Column) -> Column:
 def nfkc(c: Column) -> Column:
     """Unicode NFKC form, computed in the JVM by the ICU library Spark ships.
 
-    The call is made only for texts holding a character that NFKC may change.
+    Texts in ASCII are left out; ICU returns those already normal after a check.
     """
     composed = F.java_method(
         F.lit("com.ibm.icu.text.Normalizer"), F.lit("compose"), c, F.lit(True)
     )
-    return F.when(c.rlike(_NEEDS_NFKC), composed).otherwise(c)
+    return F.when(F.octet_length(c) > F.char_length(c), composed).otherwise(c)
 
 
 def or_missing(c: Column) -> Column:
@@ -87,7 +79,9 @@ def sections(c: Column, headers: list[str] = SECTION_HEADERS) -> Column:
     Headers match by exact case, text before the first one is dropped and the
     last occurrence of a repeated header wins. NULL text gives NULL.
     """
-    any_header = "|".join(re.escape(h) for h in headers)
+    # The look at the first letter spares the alternatives at most positions.
+    initials = "".join(sorted({re.escape(h[0]) for h in headers}))
+    any_header = f"(?=[{initials}])(?:{'|'.join(re.escape(h) for h in headers)})"
     # Reversed, so that the first position found is the last occurrence. The
     # reversed bodies carry the dropped leading text as one extra last element.
     found = F.struct(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from jobsignals.functions.binding import with_columns_once
 from jobsignals.functions.vocabulary import KNOWLEDGE_LABELS
 
 
@@ -14,8 +15,11 @@ def count_terms(extracted: DataFrame, column: str = "knowledges", name: str = "K
     Counts are combined before the shuffle, so a term that holds most rows
     costs one row per task. Equal counts are ordered by the element.
     """
+    # From explode() Spark infers filters on the list and pushes them down to the
+    # scan, where a computed list would be computed once more for each of them.
+    lists = with_columns_once(extracted.select(column), {"elements": F.col(column)})
     return (
-        extracted.select(F.explode(column).alias(name))
+        lists.select(F.explode("elements").alias(name))
         .groupBy(name)
         .count()
         .orderBy(F.desc("count"), name)
