@@ -115,8 +115,8 @@ def decode_entities(c: Column) -> Column:
 def visible_text(markup: Column) -> Column:
     """Text as a reader sees it: one line per block, single spaces, no tags."""
     block = rf"</?(?i:{'|'.join(BLOCK_TAGS)})(?=[\s/>])[^>]*>"
-    # Only runs of spaces are left to the expression: single ones are the rule.
-    one_line = F.regexp_replace(F.translate(markup, "\t\n\x0b\f\r", " " * 5), " {2,}", " ")
+    # Every run of white space but a single space, which needs no change.
+    one_line = F.regexp_replace(markup, r"[\t\n\x0B\f\r]\s*|\s{2,}", " ")
     lines = F.regexp_replace(one_line, block, "\n")
     single = F.regexp_replace(let(lines, strip_tags), " {2,}", " ")
     return strip(decode_entities(F.regexp_replace(single, r" ?\n[ \n]*", "\n")))

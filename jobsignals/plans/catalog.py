@@ -217,7 +217,7 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _messages_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return po.to_messages(as_postings(table_stream(spark, sf_dir, "documents")))
+    return po.to_messages(as_postings(table_stream(spark, sf_dir, "documents", "doc_id")))
 
 
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -265,7 +265,7 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "upsert")
-    events = table_stream(spark, sf_dir, "events")
+    events = table_stream(spark, sf_dir, "events", "event_id")
     newest = [F.desc("ts"), F.desc("event_id")]
     jobs.upsert_stream(
         events, f"{folder}/checkpoint", f"{folder}/data",

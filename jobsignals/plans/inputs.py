@@ -114,8 +114,9 @@ def job_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table_stream(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """The same table as a stream of its files."""
     # A stream of files starts from a folder or a pattern, not from a single file.
     path = f"{sf_dir}/{name}.parquet*"
-    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(path)
+    scan = table(spark, sf_dir, name)
+    return spread(spark.readStream.schema(scan.schema).parquet(path), key, scan=scan)

@@ -15,15 +15,16 @@ def read_postings(spark: SparkSession, path: str, schema: StructType = schemas.P
     return spark.read.schema(schema).json(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
+def spread(df: DataFrame, *keys: str, scan: DataFrame | None = None) -> DataFrame:
     """A scan with at least as many tasks as there are cores.
 
     Text extraction is bound by computing, and a file with one row group is
     read by one task. Only a scan with fewer tasks than cores is shuffled, by
     ``keys`` so that a task run again gets the same rows; a large one never is.
+    For a stream, ``scan`` is its source as a batch table, which can be counted.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    if (scan or df).rdd.getNumPartitions() >= cores:
         return df
     return df.repartition(2 * cores, *keys)
 
