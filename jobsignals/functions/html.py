@@ -2,7 +2,8 @@
 
 A selector step is a tag with classes, ``div.job-description``. Pages are taken
 as they come: attribute order, quoting and letter case vary, elements may be
-left open (they then reach to the end of the page).
+left open (they then reach to the end of the page). A tag ends at its ``>`` and
+holds no ``<``, so that broken markup is searched in linear time.
 """
 
 from __future__ import annotations
@@ -29,8 +30,8 @@ FLAT_TAGS = {"a", "h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "title", "nav",
 
 _UNSEEN = (
     r"(?is)<(?:!--.*?(?:-->|\z)"
-    r"|script(?=[\s/>]).*?(?:</script[^>]*>|\z)"
-    r"|style(?=[\s/>]).*?(?:</style[^>]*>|\z))"
+    r"|script(?=[\s/>]).*?(?:</script[^<>]*>|\z)"
+    r"|style(?=[\s/>]).*?(?:</style[^<>]*>|\z))"
 )
 
 
@@ -43,11 +44,11 @@ def open_tag(step: str) -> str:
     """Expression for the opening tag of a step such as ``a.item.link``."""
     tag, *classes = step.split(".")
     checks = "".join(
-        rf"""(?=[^>]*?\s(?i:class)\s*=\s*(?:"(?:[^">]*\s)?{name}(?:\s[^">]*)?"|"""
+        rf"""(?=[^<>]*?\s(?i:class)\s*=\s*(?:"(?:[^">]*\s)?{name}(?:\s[^">]*)?"|"""
         rf"""'(?:[^'>]*\s)?{name}(?:\s[^'>]*)?'|{name}[\s/>]))"""
         for name in map(re.escape, classes)
     )
-    return rf"<(?i:{tag})(?=[\s/>]){checks}[^>]*>"
+    return rf"<(?i:{tag})(?=[\s/>]){checks}[^<>]*>"
 
 
 def _up_to_close(text: Column, tag: str) -> Column:
@@ -100,7 +101,7 @@ def attributes(markup: Column, tag: str, name: str) -> Column:
     """Values of an attribute, one per tag that has it."""
     values = F.regexp_extract_all(
         markup,
-        F.lit(rf"""<(?i:{tag})(?=\s)[^>]*?\s(?i:{name})\s*=\s*["']?([^"'\s>]*)"""),
+        F.lit(rf"""<(?i:{tag})(?=\s)[^<>]*?\s(?i:{name})\s*=\s*["']?([^"'\s>]*)"""),
         F.lit(1),
     )
     return F.transform(values, decode_entities)
@@ -114,7 +115,7 @@ def decode_entities(c: Column) -> Column:
 
 def visible_text(markup: Column) -> Column:
     """Text as a reader sees it: one line per block, single spaces, no tags."""
-    block = rf"</?(?i:{'|'.join(BLOCK_TAGS)})(?=[\s/>])[^>]*>"
+    block = rf"</?(?i:{'|'.join(BLOCK_TAGS)})(?=[\s/>])[^<>]*>"
     # Every run of white space but a single space, which needs no change.
     one_line = F.regexp_replace(markup, r"[\t\n\x0B\f\r]\s*|\s{2,}", " ")
     lines = F.regexp_replace(one_line, block, "\n")

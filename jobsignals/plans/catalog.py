@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from jobsignals import schemas
+from jobsignals.functions import extractors as ex
 from jobsignals.functions import html as h
 from jobsignals.functions import matching as m
 from jobsignals.functions import text as t
-from jobsignals.functions.salary import salary_bins, salary_candidates
+from jobsignals.functions.salary import (
+    candidate_bins, salary_bins, salary_candidates, usd_amount, vnd_millions,
+)
 from jobsignals.operators import pages as pg
 from jobsignals.operators import postings as po
 from jobsignals.operators import terms as tm
@@ -67,6 +70,13 @@ def knowledge_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tm.count_categories(knowledge_counts(spark, sf_dir))
 
 
+def label_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every term found in every posting, with its category."""
+    terms = ex.extract_knowledge("mo_ta_cong_viec", "yeu_cau_cong_viec")
+    rows = postings(spark, sf_dir).select("id", F.explode(terms).alias("term"))
+    return rows.withColumn("category", ex.labeling_knowledge("term"))
+
+
 def salary_bin_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     bins = postings(spark, sf_dir).select(salary_bins(F.col("quyen_loi")).alias("salaries"))
     return tm.count_terms(bins, "salaries", "Salary")
@@ -102,6 +112,23 @@ def salary_bin_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(postings(spark, sf_dir).select("id", bins))
 
 
+def salary_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is read in each money amount: dollars, millions of its first part, bins."""
+    found = salary_candidates(F.col("quyen_loi"))
+    rows = postings(spark, sf_dir).select("id", F.posexplode(found).alias("nth", "candidate"))
+    amount = F.col("candidate")
+    parts = F.split(F.btrim(t.strip(amount), F.lit("-")), "-", -1)
+    return flat(rows.select(
+        "id", "nth", usd_amount(amount).alias("dollars"),
+        vnd_millions(F.get(parts, F.lit(0))).alias("millions"),
+        candidate_bins(amount).alias("bins"),
+    ))
+
+
+def nfkc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return postings(spark, sf_dir).select("id", t.nfkc(F.col("quyen_loi")).alias("benefits"))
+
+
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages(spark, sf_dir).select("page_id", t.clean(F.col("html")).alias("text"))
 
@@ -114,6 +141,13 @@ def clean_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_postings(spark, sf_dir).agg(F.count("*").alias("n"))
 
 
+def clean_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_folder(spark, "clean")
+    cleaned = clean_postings(spark, sf_dir)
+    tables.write_json(cleaned, path)
+    return tables.read_postings(spark, path, cleaned.schema)
+
+
 def parse_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return po.parse_postings(po.to_messages(postings(spark, sf_dir)))
 
@@ -278,6 +312,7 @@ QUERIES: dict[str, Query] = {
     "knowledge_counts": knowledge_counts,
     "knowledge_labels": knowledge_labels,
     "knowledge_by_category": knowledge_by_category,
+    "label_lookup": label_lookup,
     "framework_counts": _counts(m.FRAMEWORKS, "Framework"),
     "language_counts": _counts(m.LANGUAGES, "Language"),
     "design_pattern_counts": _counts(m.DESIGN_PATTERNS, "DesignPattern"),
@@ -291,9 +326,12 @@ QUERIES: dict[str, Query] = {
     "stored_projection": stored_projection,
     "salary_candidates": salary_candidate_rows,
     "salary_bins": salary_bin_rows,
+    "salary_amounts": salary_amounts,
+    "nfkc_text": nfkc_text,
     "clean_text": clean_text,
     "clean_postings": clean_postings,
     "clean_count": clean_count,
+    "clean_roundtrip": clean_roundtrip,
     "parse_messages": parse_messages,
     "parse_props": parse_props,
     "numeric_ids": numeric_ids,

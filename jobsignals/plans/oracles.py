@@ -74,6 +74,10 @@ AMOUNTS = [
 ]
 
 
+# NFKC touches only the full-width digits of these texts.
+NFKC_BENEFITS = "translate(quyen_loi, '０１２３４５６７８９', '0123456789')"
+
+
 def _number(expression: str) -> str:
     text = f"trim({expression}, {quoted(WHITESPACE)})"
     digits = f"ltrim(replace(replace({text}, '_', ''), '+', ''), '0')"
@@ -91,8 +95,6 @@ def _millions(expression: str) -> str:
 
 
 def _salary(select: str, source: str = POSTINGS_SQL) -> str:
-    # NFKC touches only the full-width digits of these texts.
-    plain = "translate(quyen_loi, '０１２３４５６７８９', '0123456789')"
     lists = " || ".join(f"regexp_extract_all(t, {quoted(p)}, {g}, 'i')" for p, g in AMOUNTS)
     usd = (
         "CASE WHEN contains(c, '$') THEN CASE WHEN starts_with(c, '$') THEN substr(c, 2)"
@@ -104,7 +106,7 @@ def _salary(select: str, source: str = POSTINGS_SQL) -> str:
     first = f"replace(replace(trim(parts[1], {quoted(WHITESPACE)}), '.', ''), ',', '')"
     return _with(
         ("postings", source),
-        ("texts", f"SELECT id, {plain} AS t FROM postings"),
+        ("texts", f"SELECT id, {NFKC_BENEFITS} AS t FROM postings"),
         ("lists", f"SELECT id, {lists} AS cs FROM texts WHERE t IS NOT NULL"),
         ("candidates", "SELECT id, unnest(cs) AS c, generate_subscripts(cs, 1) - 1 AS nth FROM lists"),
         ("read1", f"SELECT *, {_number(bare_usd)} AS dollars,"
@@ -183,7 +185,7 @@ def _decoded(x: str) -> str:
 def _text(markup: str) -> str:
     lines = (
         f"regexp_replace(regexp_replace({markup}, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'),"
-        f" '(?i)</?({BLOCKS})([\\s/][^>]*)?>', chr(10), 'g')"
+        f" '(?i)</?({BLOCKS})([\\s/][^<>]*)?>', chr(10), 'g')"
     )
     single = f"regexp_replace(regexp_replace({lines}, '<[^>]*>', '', 'g'), ' +', ' ', 'g')"
     joined = f"regexp_replace({single}, ' ?\\n[ \\n]*', chr(10), 'g')"
@@ -292,6 +294,9 @@ ORACLES: dict[str, str] = {
         'SELECT category AS "Category", CAST(sum(n) AS BIGINT) AS count FROM labelled'
         " WHERE category IS NOT NULL GROUP BY category"
     ),
+    "label_lookup": _labelled(
+        "SELECT f.id, f.term, l.category FROM found f LEFT JOIN labels l USING (term)"
+    ),
     "framework_counts": _counts(m.FRAMEWORKS, "Framework"),
     "language_counts": _counts(m.LANGUAGES, "Language"),
     "design_pattern_counts": _counts(m.DESIGN_PATTERNS, "DesignPattern"),
@@ -314,9 +319,15 @@ ORACLES: dict[str, str] = {
     ),
     "salary_candidates": _salary("SELECT id, CAST(nth AS INT) AS nth, c AS candidate FROM candidates"),
     "salary_bins": _salary(JOINED_BINS),
+    "salary_amounts": _salary(
+        "SELECT r.id, CAST(r.nth AS INT) AS nth, r.dollars, r.single AS millions,"
+        " array_to_string(b.bins, ';') AS bins FROM read2 r JOIN read3 b USING (id, nth)"
+    ),
+    "nfkc_text": _with(POSTINGS) + f"SELECT id, {NFKC_BENEFITS} AS benefits FROM postings",
     "clean_text": f"SELECT page_id, {_cleaned('html')} AS text FROM pages",
     "clean_postings": CLEAN_POSTINGS,
     "clean_count": "SELECT count(*) AS n FROM documents",
+    "clean_roundtrip": CLEAN_POSTINGS,
     "parse_messages": ALL_POSTINGS,
     "parse_props": "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events",
     "numeric_ids": f"SELECT regexp_replace(regexp_replace({CLOCK}, '0+$', ''), '\\.$', '.0') AS id,"
