@@ -18,7 +18,8 @@ from jobsignals.operators import pages as pg
 from jobsignals.operators import postings as po
 from jobsignals.operators import terms as tm
 from jobsignals.plans.inputs import (
-    SECTIONED, as_postings, documents, job_pages, pages, postings, table, table_stream,
+    SECTIONED, as_postings, job_pages, postings, spread_documents, spread_pages, spread_postings,
+    table, table_stream,
 )
 from jobsignals.session import shared_folder
 from jobsignals.sources import tables, topics
@@ -46,7 +47,7 @@ def flat(extracted: DataFrame) -> DataFrame:
 def _matches(vocabulary: m.Vocabulary) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         found = m.match_terms(po.posting_text(), vocabulary)
-        return postings(spark, sf_dir).select("id", F.posexplode(found).alias("nth", "term"))
+        return spread_postings(spark, sf_dir).select("id", F.posexplode(found).alias("nth", "term"))
 
     return query
 
@@ -54,7 +55,7 @@ def _matches(vocabulary: m.Vocabulary) -> Query:
 def _counts(vocabulary: m.Vocabulary, name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         found = m.match_terms(po.posting_text(), vocabulary).alias(vocabulary.name)
-        return tm.count_terms(postings(spark, sf_dir).select(found), vocabulary.name, name)
+        return tm.count_terms(spread_postings(spark, sf_dir).select(found), vocabulary.name, name)
 
     return query
 
@@ -73,22 +74,22 @@ def knowledge_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every term found in every posting, with its category."""
     terms = ex.extract_knowledge("mo_ta_cong_viec", "yeu_cau_cong_viec")
-    rows = postings(spark, sf_dir).select("id", F.explode(terms).alias("term"))
+    rows = spread_postings(spark, sf_dir).select("id", F.explode(terms).alias("term"))
     return rows.withColumn("category", ex.labeling_knowledge("term"))
 
 
 def salary_bin_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bins = postings(spark, sf_dir).select(salary_bins(F.col("quyen_loi")).alias("salaries"))
+    bins = spread_postings(spark, sf_dir).select(salary_bins(F.col("quyen_loi")).alias("salaries"))
     return tm.count_terms(bins, "salaries", "Salary")
 
 
 def extract_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(po.extract(po.drop_incomplete(postings(spark, sf_dir))))
+    return flat(po.extract(po.drop_incomplete(spread_postings(spark, sf_dir))))
 
 
 def index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "index")
-    source = postings(spark, sf_dir).select(*schemas.POSTING_BATCH.fieldNames())
+    source = spread_postings(spark, sf_dir).select(*schemas.POSTING_BATCH.fieldNames())
     documents = po.index_documents(po.extract(source))
     tables.write_index(documents, "json", {}, path)
     return flat(spark.read.schema(documents.schema).json(path))
@@ -98,24 +99,24 @@ def stored_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "extracted")
     name = "extracted_" + path[-8:]
     tables.ensure_table(spark, name, location=path)
-    po.extract(postings(spark, sf_dir)).write.insertInto(name)
+    po.extract(spread_postings(spark, sf_dir)).write.insertInto(name)
     return flat(spark.table(name).select("company_name", "framework_platforms"))
 
 
 def salary_candidate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = salary_candidates(F.col("quyen_loi"))
-    return postings(spark, sf_dir).select("id", F.posexplode(found).alias("nth", "candidate"))
+    return spread_postings(spark, sf_dir).select("id", F.posexplode(found).alias("nth", "candidate"))
 
 
 def salary_bin_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     bins = salary_bins(F.col("quyen_loi")).alias("salaries")
-    return flat(postings(spark, sf_dir).select("id", bins))
+    return flat(spread_postings(spark, sf_dir).select("id", bins))
 
 
 def salary_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is read in each money amount: dollars, millions of its first part, bins."""
     found = salary_candidates(F.col("quyen_loi"))
-    rows = postings(spark, sf_dir).select("id", F.posexplode(found).alias("nth", "candidate"))
+    rows = spread_postings(spark, sf_dir).select("id", F.posexplode(found).alias("nth", "candidate"))
     amount = F.col("candidate")
     parts = F.split(F.btrim(t.strip(amount), F.lit("-")), "-", -1)
     return flat(rows.select(
@@ -130,7 +131,7 @@ def nfkc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages(spark, sf_dir).select("page_id", t.clean(F.col("html")).alias("text"))
+    return spread_pages(spark, sf_dir).select("page_id", t.clean(F.col("html")).alias("text"))
 
 
 def clean_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,7 +187,7 @@ def complete_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = documents(spark, sf_dir).selectExpr("doc_id", f"{SECTIONED} AS body")
+    texts = spread_documents(spark, sf_dir).selectExpr("doc_id", f"{SECTIONED} AS body")
     parts = texts.select("doc_id", t.sections(F.col("body")).alias("parts"))
     names = [f"part_{i}" for i in range(1, len(t.SECTION_HEADERS) + 1)]
     return parts.select(
@@ -200,7 +201,7 @@ def specialty_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages(spark, sf_dir).select(
+    return table(spark, sf_dir, "pages").select(
         "page_id",
         pg.listing_url(F.col("page_id")).alias("first_site"),
         pg.listing_url(F.col("page_id"), pg.LISTING_URL_SECOND).alias("second_site"),
@@ -208,15 +209,15 @@ def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pg.page_links(pages(spark, sf_dir), NAV)
+    return pg.page_links(spread_pages(spark, sf_dir), NAV)
 
 
 def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pg.page_fields(pages(spark, sf_dir), NAV)
+    return pg.page_fields(spread_pages(spark, sf_dir), NAV)
 
 
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pages(spark, sf_dir).select(
+    return spread_pages(spark, sf_dir).select(
         "page_id", h.visible_text(h.visible_markup(F.col("html"))).alias("text")
     )
 

@@ -92,24 +92,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
-
-
-def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages"), "page_id")
+def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_postings(table(spark, sf_dir, "documents"))
 
 
 def as_postings(documents: DataFrame) -> DataFrame:
     return documents.selectExpr(*[f"{sql} AS {name}" for name, sql in POSTING_COLUMNS.items()])
 
 
-def postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_postings(documents(spark, sf_dir))
+# The same tables for queries that compute much per row.
+
+def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
+def spread_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_postings(spread_documents(spark, sf_dir))
+
+
+def spread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "pages"), "page_id")
 
 
 def job_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents(spark, sf_dir).selectExpr(
+    return spread_documents(spark, sf_dir).selectExpr(
         *[f"{sql} AS {name}" for name, sql in JOB_PAGE_COLUMNS.items()]
     )
 

@@ -1,4 +1,7 @@
+import re
+
 import pytest
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from jobsignals.functions import html as h
@@ -85,3 +88,42 @@ def test_listing_urls(spark):
 def test_hostile_pages_end(spark, html):
     df = spark.createDataFrame([("https://s.example/", html)], "url string, html string")
     assert pg.page_postings(df).count() == 1 and pg.page_links(df).collect() == []
+
+
+PIECES = ["<div>", "</div>", '<div class="a job-description">', "<DIV CLASS='job-description'>", "<p>", "</p>", "x ", "\n",
+          "y", "<br>", "<b>", "</b>", "&amp;", "<h3>", "</h3>", "</div >", "<divx>"]
+
+
+def py_description(html):
+    """The same reading of a page, step by step."""
+    pieces = re.findall(r"<[^<>]*>|[^<]+", html)
+    opening = [i for i, p in enumerate(pieces) if p.lower().startswith("<div ") and "job-description" in p]
+    if not opening:
+        return None
+    depth, text = 1, ""
+    for p in pieces[opening[0] + 1:]:
+        low = p.lower()
+        depth += low.startswith(("<div>", "<div ")) - low.startswith(("</div>", "</div "))
+        if depth == 0:
+            break
+        if low.startswith("<"):
+            name = re.match(r"</?(\w+)", low).group(1)
+            text += "\n" if name in h.BLOCK_TAGS else ""
+        else:
+            text += re.sub(r"\s+", " ", p)
+    lines = [re.sub(" +", " ", line).strip() for line in text.split("\n")]
+    return "\n".join(line for line in lines if line).replace("&amp;", "&")
+
+
+def test_random_pages(evaluate):
+    texts = []
+
+    @settings(max_examples=800, database=None, deadline=None, derandomize=True)
+    @given(st.lists(st.sampled_from(PIECES), max_size=16).map("".join))
+    def gather(t):
+        texts.append(t)
+
+    gather()
+    got = evaluate(lambda c: h.visible_text(h.first_inner(c, "div.job-description")), texts)
+    for t, g in zip(texts, got):
+        assert g == py_description(t), repr(t)

@@ -5,7 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_point
-from jobsignals.session import shared_folder
+from jobsignals.session import get_spark, shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -64,3 +64,7 @@ def test_shared_folder_follows_the_setting(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     a, b = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert a != b and a.startswith(root)
+
+
+def test_running_session_is_used(spark):
+    assert get_spark("other").sparkContext is spark.sparkContext
