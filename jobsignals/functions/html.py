@@ -8,23 +8,21 @@ holds no ``<``, so that broken markup is searched in linear time.
 
 from __future__ import annotations
 
+import json
 import re
+from html.entities import name2codepoint
 
 from pyspark.sql import Column, functions as F
 
 from jobsignals.functions.binding import let
 from jobsignals.functions.text import strip, strip_tags
 
-# --- Fixed values: elements that start a new line, and named characters
+# --- Fixed values: elements that start a new line, and those never nested in their like
 BLOCK_TAGS = [
     "address", "article", "aside", "blockquote", "body", "br", "dd", "div", "dl", "dt", "fieldset",
     "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li",
     "main", "nav", "ol", "p", "pre", "section", "table", "td", "th", "tr", "ul",
 ]
-ENTITIES = [
-    ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"),
-]
-# Elements that never hold another one of their kind.
 FLAT_TAGS = {"a", "h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "title", "nav", "article"}
 # --- End of fixed values
 
@@ -107,10 +105,40 @@ def attributes(markup: Column, tag: str, name: str) -> Column:
     return F.transform(values, decode_entities)
 
 
+# Names of HTML 4. A reader sees a no-break space as a space.
+_CHARACTERS = {**{n: chr(c) for n, c in name2codepoint.items()}, "nbsp": " ", "apos": "'"}
+_REFERENCE = r"&(?=(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});)"
+
+
+def _character(code: Column) -> Column:
+    four_bytes = F.unhex(F.lpad(F.hex(code), 8, "0"))
+    valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.when(valid, F.decode(four_bytes, "UTF-32")).otherwise("\ufffd")
+
+
 def decode_entities(c: Column) -> Column:
-    for name, character in ENTITIES:
-        c = F.replace(c, F.lit(name), F.lit(character))
-    return c
+    """Character references as characters: numeric ones and the names of HTML 4."""
+    named = F.from_json(F.lit(json.dumps(_CHARACTERS)), "map<string,string>")
+
+    def resolved(rest: Column) -> Column:
+        def character(name: Column) -> Column:
+            return (
+                F.when(name.rlike("^#[xX]"), _character(F.conv(F.substring(name, 3, 9), 16, 10).cast("long")))
+                .when(name.startswith("#"), _character(F.substring(name, 2, 9).cast("long")))
+                .otherwise(F.coalesce(F.try_element_at(named, name), F.concat(F.lit("&"), name, F.lit(";"))))
+            )
+
+        name = F.substring_index(rest, ";", 1)
+        return F.concat(let(name, character), F.substr(rest, F.char_length(name) + 2))
+
+    def decode(text: Column) -> Column:
+        # Each part but the first follows an ampersand and starts with a name.
+        parts = F.transform(
+            F.split(text, _REFERENCE, -1), lambda p, i: F.when(i == 0, p).otherwise(resolved(p))
+        )
+        return F.when(text.contains("&"), F.array_join(parts, "")).otherwise(text)
+
+    return let(c, decode)
 
 
 def visible_text(markup: Column) -> Column:

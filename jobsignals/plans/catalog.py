@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -265,7 +266,10 @@ def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "fanout")
     messages = _messages_stream(spark, sf_dir)
-    for query in jobs.land_and_echo(messages, f"{folder}/data", f"{folder}/checkpoint", once=ONCE):
+    queries = jobs.land_and_echo(
+        messages, f"{folder}/data", f"{folder}/checkpoint", once=ONCE, out=sys.stderr
+    )
+    for query in queries:
         query.awaitTermination()
     return tables.read_postings(spark, f"{folder}/data")
 

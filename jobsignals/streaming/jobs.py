@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import sys
 from collections.abc import Mapping, Sequence
+from typing import TextIO
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -27,13 +30,15 @@ def append_stream(df: DataFrame, checkpoint: str, path: str | None = None, forma
     return writer.start(path) if path else writer.start()
 
 
-def echo_stream(df: DataFrame, checkpoint: str, rows: int = 20, once: bool = False) -> StreamingQuery:
+def echo_stream(df: DataFrame, checkpoint: str, rows: int = 20, once: bool = False,
+                out: TextIO | None = None) -> StreamingQuery:
     """Print the first rows of each batch, cut to the column width. Spark's own
     console sink brings whole batches to the driver; this brings what it prints."""
 
     def show(batch: DataFrame, batch_id: int) -> None:
-        print(f"Batch: {batch_id}")
-        batch.show(rows, truncate=True)
+        with contextlib.redirect_stdout(out or sys.stdout):
+            print(f"Batch: {batch_id}")
+            batch.show(rows, truncate=True)
 
     return _writer(df, checkpoint, once).foreachBatch(show).start()
 
@@ -51,12 +56,13 @@ def land(messages: DataFrame, path: str, checkpoint: str, schema: StructType = s
 
 
 def land_and_echo(messages: DataFrame, path: str, checkpoint: str,
-                  schema: StructType = schemas.POSTING, once: bool = False) -> list[StreamingQuery]:
+                  schema: StructType = schemas.POSTING, once: bool = False,
+                  out: TextIO | None = None) -> list[StreamingQuery]:
     """Two independent queries on one parsed stream: files and printed rows."""
     parsed = parse_postings(messages, schema)
     return [
         append_stream(parsed, f"{checkpoint}/files", path, once=once),
-        echo_stream(parsed, f"{checkpoint}/echo", once=once),
+        echo_stream(parsed, f"{checkpoint}/echo", once=once, out=out),
     ]
 
 

@@ -1,3 +1,4 @@
+import html as html_lib
 import re
 
 import pytest
@@ -127,3 +128,11 @@ def test_random_pages(evaluate):
     got = evaluate(lambda c: h.visible_text(h.first_inner(c, "div.job-description")), texts)
     for t, g in zip(texts, got):
         assert g == py_description(t), repr(t)
+
+
+def test_character_references(evaluate):
+    texts = ["a &amp; b", "&amp;lt;", "&lt;b&gt;", "&#39;&#039;&#x27;&apos;", "&agrave;&Ocirc;&eacute;&euro;", "&#7871;&#x1EBF;",
+             "&#128512;", "&#0;&#xD800;&#x110000;", "&unknown;", "&amp", "&;&&#;&#x;", "x & y; z", "AT&T; &copy;", "", "&" * 5000]
+    want = [html_lib.unescape(t) for t in texts]
+    want[texts.index("&amp")] = "&amp"  # a reference ends with its semicolon
+    assert evaluate(h.decode_entities, texts + ["a&nbsp;b", None]) == want + ["a b", None]
