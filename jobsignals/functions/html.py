@@ -151,6 +151,30 @@ def visible_text(markup: Column) -> Column:
     return strip(decode_entities(F.regexp_replace(single, r" ?\n[ \n]*", "\n")))
 
 
+def _without_dots(address: Column) -> Column:
+    """The address with the steps ``.`` and ``..`` of its path taken."""
+
+    def step(taken: Column, name: Column) -> Column:
+        return (
+            F.when(name == "..", F.slice(taken, F.lit(1), F.greatest(F.size(taken) - 1, F.lit(1))))
+            .when(name == ".", taken)
+            .otherwise(F.concat(taken, F.array(name)))
+        )
+
+    def resolved(a: Column) -> Column:
+        path = F.regexp_extract(a, r"^[^:/?#]+://[^/?#]*([^?#]*)", 1)
+        steps = F.aggregate(F.split(path, "/"), F.array().cast("array<string>"), step)
+        return F.concat(
+            F.regexp_extract(a, r"^([^:/?#]+://[^/?#]*)", 1),
+            F.array_join(steps, "/"),
+            F.when(path.rlike(r"/\.\.?$"), "/").otherwise(""),  # the last step is a folder
+            F.regexp_extract(a, r"(?s)^[^?#]*(.*)", 1),
+        )
+
+    dotted = address.rlike(r"^[^:/?#]+://[^?#]*/\.\.?(?:[/?#]|$)")
+    return F.when(dotted, let(address, resolved)).otherwise(address)
+
+
 def absolute(link: Column, page: Column) -> Column:
     """The link as a full address, read relative to the page it stands on."""
     scheme = F.regexp_extract(page, r"^([^:/?#]+:)", 1)
@@ -158,7 +182,7 @@ def absolute(link: Column, page: Column) -> Column:
     document = F.regexp_extract(page, r"^([^?#]*)", 1)
     folder = F.regexp_extract(page, r"^([^:/?#]+://[^/?#]*/(?:[^?#]*/)?)", 1)
     base = F.when(folder != "", folder).otherwise(F.concat(origin, F.lit("/")))
-    return (
+    full = (
         F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), link)
         .when(link.startswith("//"), F.concat(scheme, link))
         .when(link.startswith("/"), F.concat(origin, link))
@@ -167,3 +191,4 @@ def absolute(link: Column, page: Column) -> Column:
         .when(link == "", F.substring_index(page, "#", 1))
         .otherwise(F.concat(base, link))
     )
+    return let(full, _without_dots)

@@ -1,5 +1,6 @@
 import html as html_lib
 import re
+from urllib.parse import urljoin
 
 import pytest
 from hypothesis import given, settings, strategies as st
@@ -136,3 +137,14 @@ def test_character_references(evaluate):
     want = [html_lib.unescape(t) for t in texts]
     want[texts.index("&amp")] = "&amp"  # a reference ends with its semicolon
     assert evaluate(h.decode_entities, texts + ["a&nbsp;b", None]) == want + ["a b", None]
+
+
+def test_links_resolve_like_a_browser(evaluate):
+    pages = ["https://s.example/a/b/c.html?q=1", "https://s.example/", "https://s.example", "http://s.example/a/b/"]
+    links = ["x", "./x", "../x", "../../x", "../../../../x", "/a/../b/./c", "x/..", "x/.", "..", ".", "../x?a=../b#c/..", "/x/y/../../z/",
+             "?a=/../b", "x.y", "..x", "https://t.example/a/../b", "//t.example/./a", "a/b/../c"]
+    for page in pages:
+        got = evaluate(lambda c: h.absolute(c, F.lit(page)), links)
+        # urljoin() leaves the path alone when the link names a host; a browser does not
+        other = {"https://t.example/a/../b": "https://t.example/b", "//t.example/./a": page.split("/")[0] + "//t.example/a"}
+        assert got == [other.get(x) or urljoin(page, x) for x in links], page
