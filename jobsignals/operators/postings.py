@@ -72,14 +72,14 @@ def posting_text(a: str = "mo_ta_cong_viec", b: str = "yeu_cau_cong_viec") -> Co
     return t.join_texts(F.col(a), F.col(b))
 
 
-def extract(postings: DataFrame) -> DataFrame:
-    """One row per posting: id, company, the terms of the four vocabularies, salary bins.
+def extract(postings: DataFrame, vocabularies: Sequence[m.Vocabulary] = m.ALL) -> DataFrame:
+    """One row per posting: id, company, the terms of each vocabulary, salary bins.
 
-    The text is scanned once for all four vocabularies.
+    The text is scanned once for all vocabularies.
     """
-    positions = m.term_positions(posting_text(), m.ALL)
+    positions = m.term_positions(posting_text(), vocabularies)
     found = with_columns_once(postings, {"positions": positions})
-    lists = [m.terms_at(F.col("positions"), m.ALL, v).alias(v.name) for v in m.ALL]
+    lists = [m.terms_at(F.col("positions"), vocabularies, v).alias(v.name) for v in vocabularies]
     return found.select(
         "id", F.col("name").alias("company_name"), *lists,
         salary_bins(F.col("quyen_loi")).alias("salaries"),

@@ -19,13 +19,17 @@ _VALUE = StructType([StructField("value", StringType())])
 
 
 def kafka_options(servers: str, topic: str = TOPIC, starting: str | None = None) -> dict[str, str]:
-    """Connector options; ``starting`` None leaves the connector's own default."""
+    """Options to read a topic; ``starting`` None leaves the connector's own default."""
     options = {"kafka.bootstrap.servers": servers, "subscribe": topic}
     if starting is not None:
         options["startingOffsets"] = starting
     return options
 
 
+def kafka_sink_options(servers: str, topic: str = TOPIC) -> dict[str, str]:
+    return {"kafka.bootstrap.servers": servers, "topic": topic}
+
+
 def read_stream(spark: SparkSession, options: Mapping[str, str], format: str = "kafka",
                 schema: StructType | None = None, path: str | None = None) -> DataFrame:
     """Unbounded stream of messages with a ``value`` column."""

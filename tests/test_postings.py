@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobsignals import schemas
+from jobsignals.functions import matching as m
 from jobsignals.operators import postings as po
 from jobsignals.operators import terms as tm
 from jobsignals.sources import tables, topics
@@ -56,6 +57,13 @@ def test_extract_schema_and_null_texts(spark):
     assert columns[0] == "id"
 
 
+def test_own_vocabularies(spark):
+    own = [m.Vocabulary("tools", ("hammer", "saw")), m.Vocabulary("woods", ("oak",))]
+    rows = [["1", "x", "y", "Oak, chainsaw", "hammer", "", "z"]]
+    row = po.extract(spark.createDataFrame(rows, schemas.POSTING_STREAM), own).first()
+    assert row.tools == ["hammer", "saw"] and row.woods == ["oak"]
+
+
 def test_second_site_rows(spark):
     a = spark.createDataFrame([("1", "x")], "id string, chuyen_mon string")
     b = spark.createDataFrame([("2",)], "id string")
@@ -110,6 +118,7 @@ def test_kafka_options():
     assert "startingOffsets" not in topics.kafka_options("broker:29092")
     assert topics.kafka_options("b:1", starting="earliest") == {
         "kafka.bootstrap.servers": "b:1", "subscribe": "recruitment_information", "startingOffsets": "earliest"}
+    assert topics.kafka_sink_options("b:1")["topic"] == "recruitment_information"
 
 
 def test_ensure_table_twice(spark, tmp_path):
