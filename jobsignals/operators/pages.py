@@ -53,25 +53,27 @@ def page_links(pages: DataFrame, selectors: Selectors = Selectors()) -> DataFram
     )
 
 
-def _first_link_text(block: Column) -> Column:
-    return h.visible_text(h.first_inner(block, "a"))
-
-
 def page_fields(pages: DataFrame, selectors: Selectors = Selectors()) -> DataFrame:
     """``(url, name, chuyen_mon, description)`` of each page; NULL where missing."""
     markup = h.visible_markup(F.col("html"))
     seen = with_columns_once(pages.select("url", "html"), {"markup": markup})
-    html = F.col("markup")
+    page = F.col("markup")
     # The first link of the first such element that has one.
-    names = F.transform(h.all_inner(html, selectors.company), _first_link_text)
-    company = F.get(F.filter(names, lambda n: n.isNotNull()), F.lit(0))
-    if selectors.specialty is None:
-        specialty = F.lit(None).cast("string")
-    else:
-        specialty = t.specialty(h.visible_text(h.first_inner(html, selectors.specialty)))
-    description = h.visible_text(h.first_inner(html, selectors.description))
-    fields = {"name": company, "chuyen_mon": specialty, "description": description}
-    return with_columns_once(seen, fields).select("url", *fields)
+    links = F.transform(h.all_inner(page, selectors.company), lambda block: h.first_inner(block, "a"))
+    company = F.get(F.filter(links, lambda link: link.isNotNull()), F.lit(0))
+    specialty = (
+        F.lit(None).cast("string") if selectors.specialty is None
+        else h.first_inner(page, selectors.specialty)
+    )
+    blocks = F.array(company, specialty, h.first_inner(page, selectors.description))
+    read = with_columns_once(seen, {"texts": F.transform(blocks, h.visible_text)})
+    name, label, description = (F.get(F.col("texts"), F.lit(i)) for i in range(3))
+    return read.select(
+        "url",
+        name.alias("name"),
+        t.specialty(label).alias("chuyen_mon"),
+        description.alias("description"),
+    )
 
 
 def page_postings(pages: DataFrame, selectors: Selectors = Selectors()) -> DataFrame:
