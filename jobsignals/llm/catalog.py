@@ -6,10 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from jobsignals.llm.boilerplate import OP2_SQL, op2_site_boilerplate
+from jobsignals.llm.mixing import op6_pfair_mix
+from jobsignals.llm.nearcopies import op5_grouped_prefix_join
+from jobsignals.llm.permutations import op3_permutation_index
 from jobsignals.llm.repeats import op10_suffix_dedup
+from jobsignals.llm.shards import OP7_SQL, op7_interleaved_shards
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_site_boilerplate": op2_site_boilerplate,
+    "op3_permutation_index": op3_permutation_index,
+    "op5_grouped_prefix_join": op5_grouped_prefix_join,
+    "op6_pfair_mix": op6_pfair_mix,
+    "op7_interleaved_shards": op7_interleaved_shards,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_site_boilerplate": OP2_SQL,
+    "op7_interleaved_shards": OP7_SQL,
+}
