@@ -15,7 +15,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
+def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection that spreads each bit over the word (xor-shift and multiply)."""
     x = x ^ (x >> np.uint64(32))
     x = x * np.uint64(0xD6E8FEB86659FD93)
@@ -37,7 +37,7 @@ _POWERS: dict[str, np.ndarray] = {}
 def _tables() -> dict[str, np.ndarray]:
     if not _POWERS:
         n = 2 * SEGMENT + 2
-        letters = _mixed(np.arange(1, 513, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+        letters = mix64(np.arange(1, 513, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
         _POWERS.update(up=_powers(_BASE, n), down=_powers(_INVERSE, n),
                        first=letters[:256], second=letters[256:])
     return _POWERS
@@ -58,7 +58,7 @@ class RangeHashes:
             self._sums[family] = sums
         sums = self._sums[family]
         raw = (sums[end] - sums[start]) * tables["down"][start]
-        return _mixed(raw + (end - start).astype(np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
+        return mix64(raw + (end - start).astype(np.uint64) * np.uint64(0x8EBC6AF09C88C6E3))
 
 
 def leading_positions(data: np.ndarray, gram: int, width: int) -> np.ndarray:
@@ -72,7 +72,7 @@ def leading_positions(data: np.ndarray, gram: int, width: int) -> np.ndarray:
     for i in range(gram):
         word = (word << np.uint64(8)) | data[i : i + n]
     keep = np.uint64(_POSITION_BITS)
-    least = ((_mixed(word) >> keep) << keep) | np.arange(n, dtype=np.uint64)
+    least = ((mix64(word) >> keep) << keep) | np.arange(n, dtype=np.uint64)
     span = 1
     while 2 * span <= width:
         least = np.minimum(least[:-span], least[span:])

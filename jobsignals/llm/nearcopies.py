@@ -13,10 +13,10 @@ Linked documents then share a shingle among their first n - ceil(0.8 n) + 1 (pre
 3. *Filter*: the lists that remain name candidates. Sizes must fit, and parity
    bitmaps bound the difference of two sets from below: 9 popcount(x xor y) <= n + m
    holds for every linked pair. Groups are expanded to their classes here.
-4. *Verify*, twice. First each list proposes only a spanning forest of its closest
-   candidates, not all pairs; their sets are compared in full. Then every
-   candidate pair of a list whose classes are not yet connected is compared. No
-   pair that could join two components is left out.
+4. *Verify*. Candidate pairs are compared by their whole sets. A list with many
+   candidates for its length proposes only a spanning forest of the closest ones, and
+   is looked at once more: then every candidate pair whose classes are not yet
+   connected is compared. No pair that could join two components is left out.
 
 A group of copies costs one posting per task and shingle, a group of near copies
 about one comparison per member. Lists longer than ``LIST_ROWS`` are dealt out to
@@ -31,6 +31,7 @@ columns are ignored; no rows give no rows. Sets are compared as 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -278,16 +279,75 @@ def _pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
         [pa.array([p[0] for p in unique], pa.int64()), pa.array([p[1] for p in unique], pa.int64())], names=["a", "b"])
 
 
+def _near_pairs(sizes: list[int], bits: list[bytes]) -> list[tuple[int, int]]:
+    """All candidate pairs of a short list."""
+    whole = [int.from_bytes(b, "little") for b in bits]
+    pairs = []
+    for i, j in combinations(range(len(sizes)), 2):
+        if 5 * min(sizes[i], sizes[j]) < 4 * max(sizes[i], sizes[j]):
+            continue
+        x, y, width = whole[i], whole[j], min(len(bits[i]), len(bits[j])) * 8
+        for length in _halves(len(bits[i]) * 8, width):
+            x = (x >> length) ^ (x & ((1 << length) - 1))
+        for length in _halves(len(bits[j]) * 8, width):
+            y = (y >> length) ^ (y & ((1 << length) - 1))
+        if 9 * (x ^ y).bit_count() <= sizes[i] + sizes[j]:
+            pairs.append((i, j))
+    return pairs
+
+
+def _halves(width: int, least: int) -> Iterator[int]:
+    while width > least:
+        width //= 2
+        yield width
+
+
+def _dense(sizes: np.ndarray, bits: list[bytes], most: int) -> tuple[list[tuple[int, int]], bool]:
+    """All candidate pairs of a list or, if they are more than ``most``, a forest of them
+    and True."""
+    members = _Bits(sizes, bits)
+    pairs: list[tuple[int, int]] = []
+    numbers = np.arange(len(sizes))
+    for at in range(len(sizes) - 1):
+        pairs += [(at, other) for other in members.near(at, numbers[at + 1 :])[0].tolist()]
+        if len(pairs) > most:
+            return _forest(sizes, bits), True
+    return pairs, False
+
+
+#: A list emits at most so many candidate pairs per member; a denser one is seen again.
+PAIRS_PER_MEMBER = 4
+
+
 def _closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Candidate pairs of each list; of dense or long lists a forest and the list's token."""
     out: list[tuple[int, int]] = []
-    for _, rows in _lists(batches, ("token",), ("node", "n", "bits"), BLOCK):
-        nodes = [r[0] for r in rows]
-        for i, j in _forest(np.array([r[1] for r in rows]), [r[2] for r in rows]):
-            out.append((nodes[i], nodes[j]))
+    again: list[int] = []
+
+    def rows_of(tokens: list[int], pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+        batch = _pairs_batch(pairs)
+        tokens = sorted(set(tokens))
+        return pa.RecordBatch.from_arrays([
+            pa.concat_arrays([batch.column(0), pa.nulls(len(tokens), pa.int64())]),
+            pa.concat_arrays([batch.column(1), pa.nulls(len(tokens), pa.int64())]),
+            pa.concat_arrays([pa.nulls(batch.num_rows, pa.int64()), pa.array(tokens, pa.int64())]),
+        ], names=["a", "b", "token"])
+
+    last = None
+    for (token,), rows in _lists(batches, ("token",), ("node", "n", "bits"), BLOCK):
+        nodes, sizes, bits = (list(c) for c in zip(*rows))
+        if len(rows) <= 6:
+            pairs, dense = _near_pairs(sizes, bits), False
+        else:
+            pairs, dense = _dense(np.array(sizes), bits, PAIRS_PER_MEMBER * len(rows))
+        if dense or len(rows) == BLOCK or token == last:  # other blocks of the list were not compared
+            again.append(token)
+        last = token
+        out += [(nodes[i], nodes[j]) for i, j in pairs]
         if len(out) > 50_000:
-            yield _pairs_batch(out)
-            out = []
-    yield _pairs_batch(out)
+            yield rows_of(again, out)
+            out, again = [], []
+    yield rows_of(again, out)
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -389,9 +449,13 @@ class NearCopies:
         """Linked pairs of classes that connect all components, and the components."""
         members = kept(self.members(), "members")
         closest = kept(members.repartition("token").sortWithinPartitions("token", "n", "node")
-                       .mapInArrow(_closest, "a long, b long").distinct(), "candidates")
-        links = kept(self.verified(closest), "verified")
+                       .mapInArrow(_closest, "a long, b long, token long").distinct(), "candidates")
+        links = kept(self.verified(closest.where("token IS NULL").select("a", "b")), "verified")
         labels = components(links)
+        dense = closest.where("token IS NOT NULL").select("token")
+        if dense.isEmpty():
+            return links, labels
+        members = kept(members.join(dense, "token", "left_semi"), "members")
         sizes = members.groupBy("token").count().where(F.col("count") > self.list_rows).select(
             "token", F.ceil(F.col("count") / self.list_rows).cast("int").alias("slices"))
         dealt = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))

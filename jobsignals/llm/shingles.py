@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from jobsignals.llm.bytehash import SEGMENT, RangeHashes, _mixed
+from jobsignals.llm.bytehash import SEGMENT, RangeHashes, mix64
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -21,7 +21,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
-    return _mixed(values)
+    return mix64(values)
 
 
 def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -60,7 +60,7 @@ def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray
         grams = np.zeros(max(len(hashes) - words + 1, 0), np.uint64)
         for i in range(words if len(grams) else 0):
             grams = grams * _STEP + hashes[i : len(hashes) - words + 1 + i]
-        grams = _mixed(grams)
+        grams = mix64(grams)
     for at, n in zip(first.tolist(), counts.tolist()):
         if n >= words:
             found = np.sort(grams[at : at + n - words + 1])
@@ -72,7 +72,7 @@ def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray
             value = np.array([n], np.uint64)
             for i in range(n):
                 value = value * _STEP + hashes[at + i]
-            parts.append(_mixed(value + np.uint64(1)))
+            parts.append(mix64(value + np.uint64(1)))
         else:
             parts.append(np.empty(0, np.uint64))
     offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts]))).astype(np.int64)
