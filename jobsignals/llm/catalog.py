@@ -7,18 +7,26 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from jobsignals.llm.boilerplate import OP2_SQL, op2_site_boilerplate
+from jobsignals.llm.decontaminate import op1_pigeonhole_decontamination
 from jobsignals.llm.mixing import op6_pfair_mix
 from jobsignals.llm.nearcopies import op5_grouped_prefix_join
 from jobsignals.llm.permutations import op3_permutation_index
+from jobsignals.llm.quality import op8_quality
 from jobsignals.llm.repeats import op10_suffix_dedup
 from jobsignals.llm.shards import OP7_SQL, op7_interleaved_shards
+from jobsignals.llm.toxicity import op9_toxicity
+from jobsignals.llm.warc import op4_warc_roundtrip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pigeonhole_decontamination": op1_pigeonhole_decontamination,
     "op2_site_boilerplate": op2_site_boilerplate,
     "op3_permutation_index": op3_permutation_index,
+    "op4_warc_roundtrip": op4_warc_roundtrip,
     "op5_grouped_prefix_join": op5_grouped_prefix_join,
     "op6_pfair_mix": op6_pfair_mix,
     "op7_interleaved_shards": op7_interleaved_shards,
+    "op8_quality": op8_quality,
+    "op9_toxicity": op9_toxicity,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
