@@ -4,11 +4,16 @@
     extract --input '/data/raw/*.json' --format parquet --output /data/index
     land    --servers broker:9092 --output /data/raw --checkpoint /data/checkpoints/land
     store   --servers broker:9092 --output /data/store --checkpoint /data/checkpoints/store
+    links   --input /data/listings.parquet --output /data/links
     publish --input /data/pages.parquet --servers broker:9092
+    compact --output /data/store
     report  --input /data/index --format parquet --output /data/report
 
 Topics are read from and written to Kafka when ``--servers`` is given, otherwise
-text files under ``--topic`` stand in for them.
+text files under ``--topic`` stand in for them. ``--source-option`` bounds and secures
+the reading: ``maxOffsetsPerTrigger=100000``, ``failOnDataLoss=false``, ``kafka.security.protocol=SSL``.
+``links --pages 1-22`` alone writes the addresses of the listing pages; with ``--input``, a table of
+fetched pages (``url``, ``html``), it writes the links of their entries.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from jobsignals import schemas
 from jobsignals.operators import pages, postings, terms
 from jobsignals.session import get_spark
 from jobsignals.sources import tables, topics
-from jobsignals.streaming import jobs
+from jobsignals.streaming import jobs, store as store_files
 
 
 def clean(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -41,22 +46,23 @@ def extract(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def _messages(spark: SparkSession, args: argparse.Namespace, starting: str | None) -> DataFrame:
+    given = dict(args.source_option)
     if args.servers:
-        return topics.read_stream(spark, topics.kafka_options(args.servers, args.topic, starting))
-    return topics.read_stream(spark, {}, "text", path=args.topic)
+        return topics.read_stream(spark, topics.kafka_options(args.servers, args.topic, starting) | given)
+    return topics.read_stream(spark, given, "text", path=args.topic)
 
 
 def land(spark: SparkSession, args: argparse.Namespace) -> None:
     """Messages from the earliest on to JSON files, and the first rows of each batch to the console."""
-    for query in jobs.land_and_echo(
-        _messages(spark, args, "earliest"), args.output, args.checkpoint, once=args.once
-    ):
-        query.awaitTermination()
+    jobs.await_all(jobs.land_and_echo(
+        _messages(spark, args, "earliest"), args.output, args.checkpoint, once=args.once))
 
 
 def store(spark: SparkSession, args: argparse.Namespace) -> None:
     """Extracted rows of complete messages to a keyed store, or to the sink of a connector."""
-    rows = jobs.extract_stream(_messages(spark, args, None))
+    messages = _messages(spark, args, None)
+    # A keyed store compares places in the topic; other sinks get the extracted rows alone.
+    rows = jobs.extract_stream(messages, keep=[] if args.format else jobs.positions(messages))
     if args.format:
         query = jobs.append_stream(
             rows, args.checkpoint, args.output, args.format, dict(args.option), once=args.once
@@ -66,6 +72,21 @@ def store(spark: SparkSession, args: argparse.Namespace) -> None:
     query.awaitTermination()
 
 
+def links(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Addresses of listing pages, or the links in fetched listing pages, as JSON."""
+    if args.input:
+        found = pages.page_links(spark.read.parquet(args.input))
+    else:
+        first, last = (int(n) for n in args.pages.split("-"))
+        found = pages.listing_urls(spark, first, last)
+    tables.write_json(found, args.output, args.files)
+
+
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Rewrite a keyed store to the last write of each key."""
+    store_files.compact(spark, args.output, schemas.EXTRACTED)
+
+
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
     """Posting records of crawled pages (``url``, ``html``) to a topic."""
     messages = postings.to_messages(pages.page_postings(spark.read.parquet(args.input)))
@@ -85,7 +106,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
     tables.write_json(terms.count_categories(written), f"{args.output}/category")
 
 
-JOBS = {f.__name__: f for f in (clean, extract, land, store, publish, report)}
+JOBS = {f.__name__: f for f in (links, publish, land, clean, extract, store, compact, report)}
 
 
 def _pair(text: str) -> tuple[str, str]:
@@ -104,6 +125,9 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--topic", default=topics.TOPIC)
     parser.add_argument("--format", help="format of an index, or of a connector's sink")
     parser.add_argument("--option", action="append", type=_pair, default=[], metavar="KEY=VALUE")
+    parser.add_argument("--source-option", action="append", type=_pair, default=[], metavar="KEY=VALUE",
+                        help="option of the topic's reader")
+    parser.add_argument("--pages", default="1-1", metavar="FIRST-LAST", help="listing pages, for links")
     parser.add_argument("--files", type=int, help="number of output files, for small results")
     parser.add_argument("--once", action="store_true", help="end when the topic is read")
     args = parser.parse_args(argv)

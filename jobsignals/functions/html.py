@@ -2,29 +2,37 @@
 
 A selector step is a tag with classes, ``div.job-description``. Pages are taken
 as they come: attribute order, quoting and letter case vary, elements may be
-left open (they then reach to the end of the page). A tag ends at its ``>`` and
-holds no ``<``, so that broken markup is searched in linear time.
+left open (they then reach to the end of the page). A tag ends at its first ``>``
+outside quotes and holds no ``<`` outside quotes; repeated pieces are possessive,
+which Java evaluates without recursion and without trying again.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
 from jobsignals.functions.binding import let
 from jobsignals.functions.text import strip, strip_tags
 
-# --- Fixed values: elements that start a new line, and those never nested in their like
+# Elements that start a new line, and those that HTML does not nest in their like.
 BLOCK_TAGS = [
     "address", "article", "aside", "blockquote", "body", "br", "dd", "div", "dl", "dt", "fieldset",
     "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hr", "html", "li",
     "main", "nav", "ol", "p", "pre", "section", "table", "td", "th", "tr", "ul",
 ]
-FLAT_TAGS = {"a", "h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "title", "nav", "article"}
-# --- End of fixed values
+FLAT_TAGS = {"a", "h1", "h2", "h3", "h4", "h5", "h6", "title"}
+
+# A value after its equals sign; the rest of a tag; what stands before a given attribute.
+_VALUE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s<>"'][^\s<>]*+)?+"""
+_REST = rf"(?:[^<>=]++|{_VALUE})*+>"
+
+
+def _before(name: str) -> str:
+    return rf"(?:[^<>=\s/]++|[\s/]++(?!(?i:{name})[\s=/>])|{_VALUE})*+[\s/]++(?i:{name})\s*+=\s*+"
 
 _UNSEEN = (
     r"(?is)<(?:!--.*?(?:-->|\z)"
@@ -42,20 +50,21 @@ def open_tag(step: str) -> str:
     """Expression for the opening tag of a step such as ``a.item.link``."""
     tag, *classes = step.split(".")
     checks = "".join(
-        rf"""(?=[^<>]*?\s(?i:class)\s*=\s*(?:"(?:[^">]*\s)?{name}(?:\s[^">]*)?"|"""
-        rf"""'(?:[^'>]*\s)?{name}(?:\s[^'>]*)?'|{name}[\s/>]))"""
+        rf"""(?={_before("class")}(?:"(?:[^"]*\s)?{name}(?:\s[^"]*)?"|"""
+        rf"""'(?:[^']*\s)?{name}(?:\s[^']*)?'|{name}(?=[\s>])))"""
         for name in map(re.escape, classes)
     )
-    return rf"<(?i:{tag})(?=[\s/>]){checks}[^<>]*>"
+    return rf"<(?i:{tag})(?=[\s/>]){checks}{_REST}"
 
 
-def _up_to_close(text: Column, tag: str) -> Column:
-    """The part of ``text`` before the end tag of the element it starts in."""
-    if tag in FLAT_TAGS:
-        return F.get(F.split(text, rf"</(?i:{tag})(?=[\s/>])", 2), F.lit(0))
-    # Cut in front of each start and end tag of this kind; keep pieces until
-    # more elements have ended than started.
-    pieces = F.split(text, rf"(?=</?(?i:{tag})[\s/>])", -1)
+def _pieces(text: Column, tag: str) -> Column:
+    """The text cut in front of each start and end tag of this kind."""
+    return F.split(text, rf"(?=</?(?i:{tag})[\s/>])", -1)
+
+
+def _depths(parts: Column, tag: str) -> Column:
+    """Depth of open elements after the pieces, from 1, and how many pieces come before
+    it falls to 0."""
 
     def step(state: Column, piece: Column) -> Column:
         ends = piece.rlike(rf"^</(?i:{tag})[\s/>]")
@@ -71,12 +80,20 @@ def _up_to_close(text: Column, tag: str) -> Column:
             (state["kept"] + F.when(depth > 0, 1).otherwise(0)).alias("kept"),
         )
 
-    def inside(parts: Column) -> Column:
-        start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept"))
-        kept = F.aggregate(parts, start, step, lambda state: state["kept"])
-        return F.array_join(F.slice(parts, F.lit(1), kept), "")
+    return F.aggregate(parts, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept")), step)
 
-    return let(pieces, inside)
+
+def _closes(text: Column, tag: str) -> Column:
+    """Whether the element that the text starts in ends in it."""
+    return let(_pieces(text, tag), lambda parts: _depths(parts, tag)["depth"] == 0)
+
+
+def _up_to_close(text: Column, tag: str) -> Column:
+    """The part of ``text`` before the end tag of the element it starts in."""
+    if tag in FLAT_TAGS:
+        return F.get(F.split(text, rf"</(?i:{tag})(?=[\s/>])", 2), F.lit(0))
+    return let(_pieces(text, tag), lambda parts: F.array_join(
+        F.slice(parts, F.lit(1), _depths(parts, tag)["kept"]), ""))
 
 
 def first_inner(html: Column, step: str) -> Column:
@@ -87,27 +104,53 @@ def first_inner(html: Column, step: str) -> Column:
 
 
 def all_inner(html: Column, step: str) -> Column:
-    """Markup inside each element of this kind. An element that holds another
-    one of the same selector is read up to that one."""
+    """Markup inside each element of this kind, also of those inside another one. An
+    element left open is read up to the next of its kind."""
     tag = step.split(".")[0]
-    # What follows each opening tag; the text before the first one is left out.
-    rests = F.filter(F.split(html, open_tag(step), -1), lambda rest, i: i > 0)
-    return F.transform(rests, lambda rest: _up_to_close(rest, tag))
+    end = rf"</(?i:{tag})[\s/>]"
+
+    def inside(page: Column) -> Column:
+        # Cut in front of each opening tag; what stands before the first one is left out.
+        pieces = F.filter(F.split(page, f"(?={open_tag(step)})", -1), lambda p: p.rlike("^" + open_tag(step)))
+
+        def content(all_pieces: Column, own: Column, at: Column) -> Column:
+            short = F.get(F.split(own, open_tag(step), 2), F.lit(1))
+            if tag in FLAT_TAGS:
+                return _up_to_close(short, tag)
+            # Closed before the next of its kind, or holding it: then the pieces after it count.
+            rest = F.concat(short, F.array_join(F.slice(all_pieces, at + 2, F.size(all_pieces)), ""))
+            whole = let(rest, lambda r: F.when(_closes(r, tag), _up_to_close(r, tag)))
+            return let(short, lambda s: F.when(_closes(s, tag), _up_to_close(s, tag))
+                       .otherwise(F.coalesce(F.when(page.rlike(end), whole), s)))
+
+        return let(pieces, lambda ps: F.transform(ps, lambda p, i: content(ps, p, i)))
+
+    return let(html, inside)
 
 
 def attributes(markup: Column, tag: str, name: str) -> Column:
     """Values of an attribute, one per tag that has it."""
-    values = F.regexp_extract_all(
+    found = F.regexp_extract_all(
         markup,
-        F.lit(rf"""<(?i:{tag})(?=\s)[^<>]*?\s(?i:{name})\s*=\s*["']?([^"'\s>]*)"""),
+        F.lit(rf"""<(?i:{tag})(?=[\s/]){_before(name)}("[^"]*+"|'[^']*+'|[^\s<>"'][^\s<>]*+|){_REST}"""),
         F.lit(1),
     )
-    return F.transform(values, decode_entities)
 
+    def value(written: Column) -> Column:
+        quoted = written.startswith('"') | written.startswith("'")
+        return F.when(quoted, F.substr(written, F.lit(2), F.char_length(written) - 2)).otherwise(written)
+
+    return F.transform(found, lambda written: decode_entities(value(written)))
 
-# Names of HTML 4. A reader sees a no-break space as a space.
-_CHARACTERS = {**{n: chr(c) for n, c in name2codepoint.items()}, "nbsp": " ", "apos": "'"}
-_REFERENCE = r"&(?=(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});)"
+
+# Names of HTML 5, from the standard library. A reader sees a no-break space as a space.
+_CHARACTERS = {n[:-1]: c for n, c in html5.items() if n.endswith(";")} | {"nbsp": " "}
+# A map is searched from its start, so the names pages are full of have one of their own.
+_COMMON = {n: _CHARACTERS[n] for n in ("amp", "nbsp", "lt", "gt", "quot", "apos", "copy", "middot", "hellip", "ndash", "mdash")}
+_REFERENCE = r"&(?=(?:#[0-9]++|#[xX][0-9A-Fa-f]++|[A-Za-z][A-Za-z0-9]*+);)"
+# Browsers read the control characters 128 to 159 as Windows-1252.
+_CONTROLS = {str(i): str(ord(bytes([i]).decode("cp1252"))) for i in range(128, 160)
+             if i not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
 
 
 def _character(code: Column) -> Column:
@@ -117,15 +160,23 @@ def _character(code: Column) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    """Character references as characters: numeric ones and the names of HTML 4."""
-    named = F.from_json(F.lit(json.dumps(_CHARACTERS)), "map<string,string>")
+    """Character references as characters: numeric ones and the names of HTML 5."""
+    common, named, controls = (
+        F.from_json(F.lit(json.dumps(m)), "map<string,string>") for m in (_COMMON, _CHARACTERS, _CONTROLS))
+
+    def numbered(digits: Column, base: int) -> Column:
+        # Seven significant digits hold any character; what is longer is none.
+        short = F.ltrim(digits, F.lit("0"))
+        code = F.when(F.length(short) > 7, F.lit(0x110000)).otherwise(F.conv(F.concat(F.lit("0"), short), base, 10).cast("long"))
+        return let(F.coalesce(F.try_element_at(controls, code.cast("string")).cast("long"), code), _character)
 
     def resolved(rest: Column) -> Column:
         def character(name: Column) -> Column:
             return (
-                F.when(name.rlike("^#[xX]"), _character(F.conv(F.substring(name, 3, 9), 16, 10).cast("long")))
-                .when(name.startswith("#"), _character(F.substring(name, 2, 9).cast("long")))
-                .otherwise(F.coalesce(F.try_element_at(named, name), F.concat(F.lit("&"), name, F.lit(";"))))
+                F.when(name.rlike("^#[xX]"), numbered(F.substr(name, F.lit(3)), 16))
+                .when(name.startswith("#"), numbered(F.substr(name, F.lit(2)), 10))
+                .otherwise(F.coalesce(F.try_element_at(common, name), F.try_element_at(named, name),
+                                      F.concat(F.lit("&"), name, F.lit(";"))))
             )
 
         name = F.substring_index(rest, ";", 1)
@@ -143,11 +194,13 @@ def decode_entities(c: Column) -> Column:
 
 def visible_text(markup: Column) -> Column:
     """Text as a reader sees it: one line per block, single spaces, no tags."""
-    block = rf"</?(?i:{'|'.join(BLOCK_TAGS)})(?=[\s/>])[^<>]*>"
+    block = rf"</?(?i:{'|'.join(BLOCK_TAGS)})(?=[\s/>]){_REST}"
     # Every run of white space but a single space, which needs no change.
     one_line = F.regexp_replace(markup, r"[\t\n\x0B\f\r]\s*|\s{2,}", " ")
     lines = F.regexp_replace(one_line, block, "\n")
-    single = F.regexp_replace(let(lines, strip_tags), " {2,}", " ")
+    # Tags with quoted values that hold > first, then whatever else looks like one.
+    plain = F.regexp_replace(lines, rf"</?[A-Za-z]{_REST}", "")
+    single = F.regexp_replace(let(plain, strip_tags), " {2,}", " ")
     return strip(decode_entities(F.regexp_replace(single, r" ?\n[ \n]*", "\n")))
 
 

@@ -32,7 +32,9 @@ BIN_SIZE = 5
 BIN_CAP = 100
 # --- End of fixed values
 
-_HUGE = 10**15  # stands for any larger number: all of them fall in the last bin
+# The largest decimal Spark holds. For bins, and only there, it stands for longer numbers:
+# all of them fall in the last bin.
+_LARGEST = "9" * 38
 _DIGITS = "".join(
     chr(c) for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c)) == "Nd"
 )
@@ -64,9 +66,10 @@ def salary_candidates(benefits: Column) -> Column:
     return F.coalesce(let(nfkc(benefits), found), _empty("string"))
 
 
-def whole_number(c: Column) -> Column:
-    """Integer written in ``c``: decimal digits of any script, white space around,
-    a plus sign and single underscores between digits allowed; else NULL."""
+def whole_number(c: Column, longer: str | None = None) -> Column:
+    """Integer written in ``c`` as a decimal of 38 digits: decimal digits of any script,
+    white space around, a plus sign and single underscores between digits allowed; else
+    NULL. For a number of more digits ``longer`` is given instead, by default NULL."""
 
     def parse(t: Column) -> Column:
         ascii_digits = F.when(
@@ -75,22 +78,22 @@ def whole_number(c: Column) -> Column:
         digits = F.ltrim(F.translate(ascii_digits, "+_", ""), F.lit("0"))
         number = let(
             digits,
-            lambda d: F.when(F.length(d) > 15, F.lit(_HUGE))
-            .when(F.length(d) == 0, F.lit(0).cast("long"))
-            .otherwise(d.try_cast("long")),
+            lambda d: F.when(F.length(d) > 38, F.lit(longer).cast("decimal(38,0)"))
+            .when(F.length(d) == 0, F.lit(0).cast("decimal(38,0)"))
+            .otherwise(d.try_cast("decimal(38,0)")),
         )
-        return F.when(t.rlike(r"^\+?\p{Nd}+(?:_\p{Nd}+){0,2}$"), number)
+        return F.when(t.rlike(r"^\+?\p{Nd}+(?:_\p{Nd}+)*+$"), number)
 
     return let(strip(c), parse)
 
 
-def vnd_millions(c: Column) -> Column:
+def vnd_millions(c: Column, longer: str | None = None) -> Column:
     """Whole millions in a VND amount such as ``10 triệu`` or ``10.000.000``."""
     zeros = F.regexp_replace(c, MILLION_UNITS, "000000")
-    return F.floor(whole_number(F.translate(zeros, ". ,", "")) / 1_000_000)
+    return F.floor(whole_number(F.translate(zeros, ". ,", ""), longer) / 1_000_000)
 
 
-def usd_amount(c: Column) -> Column:
+def usd_amount(c: Column, longer: str | None = None) -> Column:
     """Dollars in an amount marked ``$``, ``USD`` or ``usd``; NULL if it is none."""
     digits = (
         F.when(
@@ -102,7 +105,7 @@ def usd_amount(c: Column) -> Column:
         .when(c.contains("USD"), F.replace(c, F.lit("USD"), F.lit("")))
         .when(c.contains("usd"), F.replace(c, F.lit("usd"), F.lit("")))
     )
-    return whole_number(F.replace(digits, F.lit("."), F.lit("")))
+    return whole_number(F.replace(digits, F.lit("."), F.lit("")), longer)
 
 
 def amount_bin(millions: Column) -> Column:
@@ -113,8 +116,10 @@ def amount_bin(millions: Column) -> Column:
 
 def range_bins(start: Column, end: Column) -> Column:
     """All bins a range touches, the end capped; none if it is reversed."""
-    first = F.floor(start / BIN_SIZE)
-    last = F.least(F.floor(end / BIN_SIZE), F.lit(BIN_CAP // BIN_SIZE))
+    top = F.lit(BIN_CAP // BIN_SIZE)
+    # A start above the cap meets no bin, however far above; this keeps the numbers small.
+    first = F.least(F.floor(start / BIN_SIZE), top + 1).cast("long")
+    last = F.least(F.floor(end / BIN_SIZE), top).cast("long")
     # sequence() counts downwards when the start lies above the end.
     return F.when(
         end.isNotNull() & (first <= last),
@@ -130,20 +135,21 @@ def candidate_bins(c: Column, usd_rate: float = USD_RATE) -> Column:
     """
 
     def vnd(parts: Column) -> Column:
-        start = whole_number(F.translate(strip(F.get(parts, F.lit(0))), ".,", ""))
-        end = F.when(start.isNotNull(), vnd_millions(F.get(parts, F.lit(1))))
-        single = let(vnd_millions(F.get(parts, F.lit(0))),
+        start = whole_number(F.translate(strip(F.get(parts, F.lit(0))), ".,", ""), _LARGEST)
+        end = F.when(start.isNotNull(), vnd_millions(F.get(parts, F.lit(1)), _LARGEST))
+        single = let(vnd_millions(F.get(parts, F.lit(0)), _LARGEST),
                      lambda m: F.when(m.isNotNull(), F.array(amount_bin(m))))
         both = let(F.struct(start.alias("s"), end.alias("e")),
                    lambda r: range_bins(r["s"], r["e"]))
         return F.when(F.size(parts) == 1, single).otherwise(both)
 
     def bins(usd: Column) -> Column:
-        from_usd = F.array(amount_bin(F.floor(usd * usd_rate / 1000)))
+        # As a double: above 2 ** 53 dollars only the last bin is left at any usual rate.
+        from_usd = F.array(amount_bin(F.floor(usd.cast("double") * usd_rate / 1000)))
         parts = F.split(F.btrim(strip(c), F.lit("-")), "-", -1)
         return F.when(usd.isNotNull(), from_usd).otherwise(let(parts, vnd))
 
-    return let(usd_amount(c), bins)
+    return let(usd_amount(c, _LARGEST), bins)
 
 
 def salary_bins(benefits: Column, usd_rate: float = USD_RATE) -> Column:

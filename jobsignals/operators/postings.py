@@ -26,15 +26,17 @@ def plain_number_id(c: Column) -> Column:
     return F.when(c.rlike(r"^-?\d\.\d+E\d+$"), F.coalesce(plain, c)).otherwise(c)
 
 
-def parse_postings(messages: DataFrame, schema: StructType = schemas.POSTING) -> DataFrame:
-    """Columns of ``schema`` from JSON messages in the (binary or text) column ``value``.
+def parse_postings(messages: DataFrame, schema: StructType = schemas.POSTING,
+                   keep: Sequence[str] = ()) -> DataFrame:
+    """Columns of ``schema`` from JSON messages in the (binary or text) column ``value``,
+    and the columns ``keep`` of the messages, such as their place in the topic.
 
     A missing field is NULL, a malformed message gives a row of NULLs.
     """
     data = F.from_json(F.col("value").cast("string"), schema)
     # As a generator the parse runs once per message; as a projection it would
     # run once more for every NULL check that drop_incomplete() adds.
-    flat = messages.select(F.inline(F.array(data)))
+    flat = messages.select(*keep, F.inline(F.array(data)))
     return flat.withColumn("id", plain_number_id(F.col("id"))) if "id" in flat.columns else flat
 
 
@@ -72,8 +74,10 @@ def posting_text(a: str = "mo_ta_cong_viec", b: str = "yeu_cau_cong_viec") -> Co
     return t.join_texts(F.col(a), F.col(b))
 
 
-def extract(postings: DataFrame, vocabularies: Sequence[m.Vocabulary] = m.ALL) -> DataFrame:
-    """One row per posting: id, company, the terms of each vocabulary, salary bins.
+def extract(postings: DataFrame, vocabularies: Sequence[m.Vocabulary] = m.ALL,
+            keep: Sequence[str] = ()) -> DataFrame:
+    """One row per posting: id, company, the terms of each vocabulary, salary bins, and
+    the columns ``keep``.
 
     The text is scanned once for all vocabularies.
     """
@@ -82,7 +86,7 @@ def extract(postings: DataFrame, vocabularies: Sequence[m.Vocabulary] = m.ALL) -
     lists = [m.terms_at(F.col("positions"), vocabularies, v).alias(v.name) for v in vocabularies]
     return found.select(
         "id", F.col("name").alias("company_name"), *lists,
-        salary_bins(F.col("quyen_loi")).alias("salaries"),
+        salary_bins(F.col("quyen_loi")).alias("salaries"), *keep,
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from jobsignals import schemas
 from jobsignals.functions import extractors as ex
@@ -19,13 +19,12 @@ from jobsignals.operators import pages as pg
 from jobsignals.operators import postings as po
 from jobsignals.operators import terms as tm
 from jobsignals.plans.inputs import (
-    SECTIONED, as_postings, job_pages, postings, spread_documents, spread_pages, spread_postings,
-    table, table_stream,
+    SECTIONED, as_postings, job_pages, postings, table, table_stream,
 )
 from jobsignals.session import shared_folder
 from jobsignals.sources import tables, topics
 from jobsignals.streaming import jobs
-from jobsignals.streaming.store import latest_per_key, read_store
+from jobsignals.streaming.store import compact, latest_per_key, read_store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,7 +47,7 @@ def flat(extracted: DataFrame) -> DataFrame:
 def _matches(vocabulary: m.Vocabulary) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         found = m.match_terms(po.posting_text(), vocabulary)
-        return spread_postings(spark, sf_dir).select("id", F.posexplode(found).alias("nth", "term"))
+        return postings(spark, sf_dir).select("id", F.posexplode(found).alias("nth", "term"))
 
     return query
 
@@ -56,7 +55,7 @@ def _matches(vocabulary: m.Vocabulary) -> Query:
 def _counts(vocabulary: m.Vocabulary, name: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         found = m.match_terms(po.posting_text(), vocabulary).alias(vocabulary.name)
-        return tm.count_terms(spread_postings(spark, sf_dir).select(found), vocabulary.name, name)
+        return tm.count_terms(postings(spark, sf_dir).select(found), vocabulary.name, name)
 
     return query
 
@@ -75,22 +74,22 @@ def knowledge_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 def label_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every term found in every posting, with its category."""
     terms = ex.extract_knowledge("mo_ta_cong_viec", "yeu_cau_cong_viec")
-    rows = spread_postings(spark, sf_dir).select("id", F.explode(terms).alias("term"))
+    rows = postings(spark, sf_dir).select("id", F.explode(terms).alias("term"))
     return rows.withColumn("category", ex.labeling_knowledge("term"))
 
 
 def salary_bin_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bins = spread_postings(spark, sf_dir).select(salary_bins(F.col("quyen_loi")).alias("salaries"))
+    bins = postings(spark, sf_dir).select(salary_bins(F.col("quyen_loi")).alias("salaries"))
     return tm.count_terms(bins, "salaries", "Salary")
 
 
 def extract_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flat(po.extract(po.drop_incomplete(spread_postings(spark, sf_dir))))
+    return flat(po.extract(po.drop_incomplete(postings(spark, sf_dir))))
 
 
 def index_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "index")
-    source = spread_postings(spark, sf_dir).select(*schemas.POSTING_BATCH.fieldNames())
+    source = postings(spark, sf_dir).select(*schemas.POSTING_BATCH.fieldNames())
     documents = po.index_documents(po.extract(source))
     tables.write_index(documents, "json", {}, path)
     return flat(spark.read.schema(documents.schema).json(path))
@@ -100,29 +99,31 @@ def stored_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "extracted")
     name = "extracted_" + path[-8:]
     tables.ensure_table(spark, name, location=path)
-    po.extract(spread_postings(spark, sf_dir)).write.insertInto(name)
-    return flat(spark.table(name).select("company_name", "framework_platforms"))
+    po.extract(postings(spark, sf_dir)).write.insertInto(name)
+    stored = flat(spark.read.parquet(path).select("company_name", "framework_platforms"))
+    spark.sql(f"DROP TABLE `{name}`")  # its files stay; they lie outside the warehouse
+    return stored
 
 
 def salary_candidate_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = salary_candidates(F.col("quyen_loi"))
-    return spread_postings(spark, sf_dir).select("id", F.posexplode(found).alias("nth", "candidate"))
+    return postings(spark, sf_dir).select("id", F.posexplode(found).alias("nth", "candidate"))
 
 
 def salary_bin_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     bins = salary_bins(F.col("quyen_loi")).alias("salaries")
-    return flat(spread_postings(spark, sf_dir).select("id", bins))
+    return flat(postings(spark, sf_dir).select("id", bins))
 
 
 def salary_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is read in each money amount: dollars, millions of its first part, bins."""
     found = salary_candidates(F.col("quyen_loi"))
-    rows = spread_postings(spark, sf_dir).select("id", F.posexplode(found).alias("nth", "candidate"))
+    rows = postings(spark, sf_dir).select("id", F.posexplode(found).alias("nth", "candidate"))
     amount = F.col("candidate")
     parts = F.split(F.btrim(t.strip(amount), F.lit("-")), "-", -1)
     return flat(rows.select(
-        "id", "nth", usd_amount(amount).alias("dollars"),
-        vnd_millions(F.get(parts, F.lit(0))).alias("millions"),
+        "id", "nth", usd_amount(amount).cast("string").alias("dollars"),
+        vnd_millions(F.get(parts, F.lit(0))).cast("string").alias("millions"),
         candidate_bins(amount).alias("bins"),
     ))
 
@@ -132,7 +133,7 @@ def nfkc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_pages(spark, sf_dir).select("page_id", t.clean(F.col("html")).alias("text"))
+    return table(spark, sf_dir, "pages").select("page_id", t.clean(F.col("html")).alias("text"))
 
 
 def clean_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,8 +179,9 @@ def na_defaults(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def union_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English postings, joined by those of a site that has no specialties."""
-    both = postings(spark, sf_dir)
-    second = both.filter("dia_diem_lam_viec <> 'en'").drop("chuyen_mon")
+    known = F.when(F.expr("CAST(id AS BIGINT) % 7 <> 3"), F.col("dia_diem_lam_viec"))
+    both = postings(spark, sf_dir).withColumn("dia_diem_lam_viec", known)
+    second = both.filter("NOT (dia_diem_lam_viec <=> 'en')").drop("chuyen_mon")
     return po.union_sites(both.filter("dia_diem_lam_viec = 'en'"), second)
 
 
@@ -188,7 +190,7 @@ def complete_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def split_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    texts = spread_documents(spark, sf_dir).selectExpr("doc_id", f"{SECTIONED} AS body")
+    texts = table(spark, sf_dir, "documents").selectExpr("doc_id", f"{SECTIONED} AS body")
     parts = texts.select("doc_id", t.sections(F.col("body")).alias("parts"))
     names = [f"part_{i}" for i in range(1, len(t.SECTION_HEADERS) + 1)]
     return parts.select(
@@ -210,15 +212,15 @@ def page_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pg.page_links(spread_pages(spark, sf_dir), NAV)
+    return pg.page_links(table(spark, sf_dir, "pages"), NAV)
 
 
 def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pg.page_fields(spread_pages(spark, sf_dir), NAV)
+    return pg.page_fields(table(spark, sf_dir, "pages"), NAV)
 
 
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_pages(spark, sf_dir).select(
+    return table(spark, sf_dir, "pages").select(
         "page_id", h.visible_text(h.visible_markup(F.col("html"))).alias("text")
     )
 
@@ -253,7 +255,7 @@ def publish_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _messages_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return po.to_messages(as_postings(table_stream(spark, sf_dir, "documents", "doc_id")))
+    return po.to_messages(as_postings(table_stream(spark, sf_dir, "documents")))
 
 
 def stream_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,8 +271,7 @@ def stream_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = jobs.land_and_echo(
         messages, f"{folder}/data", f"{folder}/checkpoint", once=ONCE, out=sys.stderr
     )
-    for query in queries:
-        query.awaitTermination()
+    jobs.await_all(queries)
     return tables.read_postings(spark, f"{folder}/data")
 
 
@@ -282,17 +283,35 @@ def stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat(spark.read.schema(schemas.EXTRACTED).json(f"{folder}/data"))
 
 
+def _topic(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """The postings as a topic of several text files, in the order of their parts: half of
+    them first with another name, then all with their own."""
+    rows = postings(spark, sf_dir)
+    old = rows.filter("CAST(id AS BIGINT) % 2 = 0").withColumn("name", F.lit("before"))
+    for part, frame in enumerate((old, rows)):
+        topics.publish(po.to_messages(frame.repartition(2, "id")), {}, "text", f"{folder}/part={part}")
+    return folder
+
+
+def _placed(spark: SparkSession, folder: str) -> DataFrame:
+    """The topic's files as a stream, with a place for each message as a broker gives one."""
+    lines = spark.readStream.schema("value string, part int").option("maxFilesPerTrigger", 1).text(folder)
+    return lines.selectExpr("value", "0 AS partition", "CAST(part AS BIGINT) AS offset",
+                            "timestamp_seconds(part) AS timestamp")
+
+
 def stream_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys recur over the batches; a message's place in the topic decides."""
     folder = shared_folder(spark, "store")
-    rows = jobs.extract_stream(_messages_stream(spark, sf_dir))
-    query = jobs.upsert_stream(rows, f"{folder}/checkpoint", f"{folder}/data", once=ONCE)
-    query.awaitTermination()
+    messages = _placed(spark, _topic(spark, sf_dir, f"{folder}/topic"))
+    rows = jobs.extract_stream(messages, keep=jobs.positions(messages))
+    jobs.upsert_stream(rows, f"{folder}/checkpoint", f"{folder}/data", once=ONCE).awaitTermination()
     return flat(read_store(spark, f"{folder}/data", schemas.EXTRACTED))
 
 
 def stream_raw_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "raw")
-    messages = _messages_stream(spark, sf_dir)
+    messages = _placed(spark, _topic(spark, sf_dir, f"{folder}/topic"))
     jobs.store_raw(messages, f"{folder}/data", f"{folder}/checkpoint", once=ONCE).awaitTermination()
     return read_store(spark, f"{folder}/data", schemas.POSTING_RAW_STORE)
 
@@ -303,14 +322,51 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in several files, two streams on one store, compacted in between."""
     folder = shared_folder(spark, "upsert")
-    events = table_stream(spark, sf_dir, "events", "event_id")
-    newest = [F.desc("ts"), F.desc("event_id")]
-    jobs.upsert_stream(
-        events, f"{folder}/checkpoint", f"{folder}/data",
-        key="user_id", newest_first=newest, once=ONCE,
-    ).awaitTermination()
-    return read_store(spark, f"{folder}/data", events.schema, "user_id", newest)
+    events = table(spark, sf_dir, "events")
+    for half in (0, 1):
+        events.filter(f"event_id % 2 = {half}").repartition(3, "event_id").write.parquet(f"{folder}/events/half={half}")
+    for half in (0, 1):
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(
+            f"{folder}/events/half={half}")
+        jobs.upsert_stream(stream, f"{folder}/checkpoint-{half}", f"{folder}/data", key="user_id",
+                           newest=["ts", "event_id"], once=ONCE).awaitTermination()
+        compact(spark, f"{folder}/data", events.schema, "user_id")
+    return read_store(spark, f"{folder}/data", events.schema, "user_id")
+
+
+def stream_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published messages, read as a stream from the earliest on, landed and read."""
+    folder = shared_folder(spark, "topic")
+    topics.publish(po.to_messages(postings(spark, sf_dir)), {}, "text", f"{folder}/topic")
+    messages = topics.read_stream(spark, {"maxFilesPerTrigger": "2"}, "text", path=f"{folder}/topic")
+    jobs.land(messages, f"{folder}/data", f"{folder}/checkpoint", once=ONCE).awaitTermination()
+    return tables.read_postings(spark, f"{folder}/data")
+
+
+def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two runs on one checkpoint, with messages added in between."""
+    folder = shared_folder(spark, "resume")
+    rows = postings(spark, sf_dir)
+    for part in (0, 1):
+        messages = po.to_messages(rows.filter(f"CAST(id AS BIGINT) % 2 = {part}"))
+        topics.publish(messages, {}, "text", f"{folder}/topic")
+        stream = topics.read_stream(spark, {}, "text", path=f"{folder}/topic")
+        jobs.land(stream, f"{folder}/data", f"{folder}/checkpoint", once=ONCE).awaitTermination()
+    return tables.read_postings(spark, f"{folder}/data")
+
+
+def listing_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    first, last = table(spark, sf_dir, "pages").agg(F.min("page_id"), F.max("page_id")).first()
+    return pg.listing_urls(spark, first, last)
+
+
+def knowledge_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts with their place in the order of the report. A few hundred rows at most,
+    one per term of the vocabulary."""
+    place = F.row_number().over(Window.orderBy(F.desc("count"), "Knowledge"))
+    return knowledge_counts(spark, sf_dir).withColumn("place", place)
 
 
 QUERIES: dict[str, Query] = {
@@ -363,4 +419,8 @@ QUERIES: dict[str, Query] = {
     "stream_raw_store": stream_raw_store,
     "upsert_latest": upsert_latest,
     "stream_upsert": stream_upsert,
+    "stream_topic": stream_topic,
+    "stream_resume": stream_resume,
+    "listing_urls": listing_urls,
+    "knowledge_ranking": knowledge_ranking,
 }

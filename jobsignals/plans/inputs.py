@@ -9,9 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from jobsignals.sources.tables import spread
-
-# --- Fixed values: phrases appended to the documents
+# Phrases appended to the documents.
 SKILLS = [
     "Docker, Kubernetes and Java services", "Lập trình C++ / PHP , MVC",
     "Phân tích cấu trúc dữ liệu, thuật toán", "Machine Learning, AI and SQL Server",
@@ -26,7 +24,6 @@ BENEFITS = [
     "Từ １５ triệu", "10.000.000 - 15.000.000 đồng", "2-10-15 triệu; 30M", "2000$, 1.000 usd",
 ]
 SPECIALTIES = ["Chuyên môn Software Engineer", "Chuyên môn Tester", "DevOps"]
-# --- End of fixed values
 
 
 def quoted(text: str | None) -> str:
@@ -67,19 +64,20 @@ SECTIONED = (
 
 ESCAPED_TEXT = "replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
-# A posting page: nested blocks, mixed quoting, a script that looks like markup.
+# A posting page: nested blocks and items, mixed quoting, tags whose values hold other marks,
+# character references, a script that looks like markup.
 JOB_PAGE_COLUMNS = {
     "url": "'https://jobs.example.com/j/' || CAST(doc_id AS STRING)",
     "html": (
         "'<!DOCTYPE html><html><head><script>var s = \"<div class=\\'job-description\\'>\";</script>'"
-        " || '</head><body><h3 class=\"title\"><a href=\"/j/' || CAST(doc_id + 1 AS STRING)"
+        " || '</head><body><h3 title=\"a>b\" class=\"title\"><a data-x=\" href=/no\" href=\"/j/it\\'s here/' || CAST(doc_id + 1 AS STRING)"
         " || '?a=1&amp;b=2\">Tin</a></h3><!-- <h3 class=\"title\"><a href=\"/no\">x</a></h3> -->'"
         " || CASE WHEN doc_id % 6 = 5 THEN '' ELSE"
         " '<DIV class=\"box company-name-label\"><a href=\"/c\"> ' || upper(source) || ' </a></DIV>' END"
-        " || '<div id=\"d\" class=\"job-description wide\"><div><h4>Mô tả công việc</h4><p>' || "
+        " || '<div id=\"d\" data-x=\"1 > 0\" class=\"job-description wide\"><div><h4>Mô tả công việc</h4><p>' || "
         + ESCAPED_TEXT
-        + " || '</p></div><div><h4>Yêu cầu ứng viên</h4><div>' || coalesce(" + pick(REQUIREMENTS)
-        + ", '') || '</div></div><h4>Quyền lợi</h4><ul><li>' || coalesce(" + pick(BENEFITS)
+        + " || '</p></div><div><h4>Y&ecirc;u c&#x000000001EA7;u ứng vi&ecirc;n</h4><div>' || coalesce(" + pick(REQUIREMENTS)
+        + ", '') || '</div></div><h4>Quy&#7873;n lợi</h4><ul><li><ul><li> </li></ul>' || coalesce(" + pick(BENEFITS)
         + ", '') || '</li></ul></div><div>Quyền lợi khác</div>'"
         " || CASE WHEN doc_id % 4 = 3 THEN '' ELSE"
         " '<a class=\"link search-from-tag item\" href=\"/t\"><b>' || " + pick(SPECIALTIES)
@@ -100,29 +98,15 @@ def as_postings(documents: DataFrame) -> DataFrame:
     return documents.selectExpr(*[f"{sql} AS {name}" for name, sql in POSTING_COLUMNS.items()])
 
 
-# The same tables for queries that compute much per row.
-
-def spread_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents"), "doc_id")
-
-
-def spread_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_postings(spread_documents(spark, sf_dir))
-
-
-def spread_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages"), "page_id")
-
-
 def job_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_documents(spark, sf_dir).selectExpr(
+    return table(spark, sf_dir, "documents").selectExpr(
         *[f"{sql} AS {name}" for name, sql in JOB_PAGE_COLUMNS.items()]
     )
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The same table as a stream of its files."""
-    # A stream of files starts from a folder or a pattern, not from a single file.
-    path = f"{sf_dir}/{name}.parquet*"
-    scan = table(spark, sf_dir, name)
-    return spread(spark.readStream.schema(scan.schema).parquet(path), key, scan=scan)
+    # A stream of files starts from a folder or a pattern, not from a single file; the
+    # brackets make the name a pattern that matches it alone.
+    path = f"{sf_dir}/{name}.parque[t]"
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(path)

@@ -1,16 +1,40 @@
-"""The queries of the catalog as plain SQL for DuckDB, written independently of them."""
+"""The queries of the catalog as plain SQL for DuckDB, written independently of them.
+
+Only the vocabularies and the texts that make up the inputs are shared.
+"""
 
 from __future__ import annotations
 
 from jobsignals.functions import matching as m
 from jobsignals.functions import vocabulary as voc
-from jobsignals.functions.text import MISSING, SECTION_HEADERS, SPECIALTY_LABEL, WHITESPACE
-from jobsignals.operators import pages as pg
 from jobsignals.plans.inputs import (
     BENEFITS, POSTING_COLUMNS, POSTINGS_SQL, REQUIREMENTS, SECTIONED,
     SPECIALTIES, pick, quoted,
 )
 
+# --- Fixed values: section titles, default text, label and listing addresses
+SECTION_HEADERS = [
+    "Mô tả công việc", "Yêu cầu ứng viên", "Quyền lợi", "Địa điểm làm việc", "Thời gian làm việc",
+    "Cách thức ứng tuyển",
+]
+MISSING = "N/A"
+SPECIALTY_LABEL = "Chuyên môn "
+FIRST_LISTING = (
+    "https://www.topcv.vn/tim-viec-lam-cong-nghe-thong-tin-cr257"
+    "?sort=up_top&type_keyword=0&page=%s&category_family=r257&sba="
+)
+SECOND_LISTING = "https://www.vietnamworks.com/viec-lam?q=it-phan-mem&l=24&page=%s&sorting=relevant"
+# --- End of fixed values
+WHITESPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(
+    chr(c) for c in range(0x2000, 0x200B))
+
+
+def _pattern(v: m.Vocabulary, term: str) -> str:
+    for mark in v.escape:
+        term = term.replace(mark, f"[{mark}]")
+    return term
+
+
 POSTING_NAMES = ", ".join(POSTING_COLUMNS)
 ALL_PRESENT = " AND ".join(f"{c} IS NOT NULL" for c in POSTING_COLUMNS)
 
@@ -32,7 +56,7 @@ POSTINGS = ("postings", POSTINGS_SQL)
 # --- vocabulary -------------------------------------------------------------
 
 def _vocabulary(v: m.Vocabulary) -> tuple[str, str]:
-    rows = [(i, t, v.pattern(t)) for i, t in enumerate(v.terms)]
+    rows = [(i, t, _pattern(v, t)) for i, t in enumerate(v.terms)]
     return "vocab", f"SELECT * FROM {_values(rows, 'pos, term, pattern')}"
 
 
@@ -67,11 +91,13 @@ def _labelled(select: str) -> str:
 
 # --- salary -----------------------------------------------------------------
 # RE2 has no exponential cases, so the amounts are written in their plain form.
+# --- Fixed values: the money amounts
 AMOUNTS = [
     (r"lương(?:từ| )+ ([\d.]+)", 1), (r"([\d.\- ]+(?:triệu| )+)đồng", 1), (r"[\d.,]+.000.000", 0),
     (r"[\d \-]+\d *(?:triệu|m)", 0), (r"\$(?:\d+|\.)", 0), (r"[\d.]+ *(?:USD|\$)+", 0),
     (r"[\d.,]+,000,000", 0),
 ]
+# --- End of fixed values
 
 
 # NFKC touches only the full-width digits of these texts.
@@ -83,8 +109,7 @@ def _number(expression: str) -> str:
     digits = f"ltrim(replace(replace({text}, '_', ''), '+', ''), '0')"
     return (
         f"CASE WHEN regexp_matches({text}, '^\\+?[0-9]+(_[0-9]+)*$') THEN"
-        f" CASE WHEN length({digits}) > 15 THEN 1000000000000000 WHEN {digits} = '' THEN 0"
-        f" ELSE TRY_CAST({digits} AS BIGINT) END END"
+        f" CASE WHEN {digits} = '' THEN 0::HUGEINT ELSE TRY_CAST({digits} AS HUGEINT) END END"
     )
 
 
@@ -114,10 +139,10 @@ def _salary(select: str, source: str = POSTINGS_SQL) -> str:
         ("read2", f"SELECT *, {_millions('parts[1]')} AS single, {_number(first)} AS low,"
                   f" {_millions('parts[2]')} AS high FROM read1"),
         ("read3", "SELECT id, c, nth, CASE"
-                  " WHEN dollars IS NOT NULL THEN [least((dollars * 23 // 1000) // 5 * 5, 100)]"
-                  " WHEN len(parts) = 1 THEN CASE WHEN single IS NOT NULL THEN [least(single // 5 * 5, 100)] END"
+                  " WHEN dollars IS NOT NULL THEN [CAST(least((dollars * 23 // 1000) // 5 * 5, 100) AS BIGINT)]"
+                  " WHEN len(parts) = 1 THEN CASE WHEN single IS NOT NULL THEN [CAST(least(single // 5 * 5, 100) AS BIGINT)] END"
                   " WHEN low IS NULL OR high IS NULL OR low // 5 > least(high // 5, 20) THEN NULL"
-                  " ELSE list_transform(generate_series(low // 5, least(high // 5, 20)), lambda i: i * 5) END AS bins"
+                  " ELSE list_transform(generate_series(CAST(low // 5 AS BIGINT), CAST(least(high // 5, 20) AS BIGINT)), lambda i: i * 5) END AS bins"
                   " FROM read2"),
         ("bins", "SELECT DISTINCT id, unnest(bins) AS bin FROM read3"),
     ) + select
@@ -133,7 +158,7 @@ JOINED_BINS = (
 
 def _extracted(source: str, select: str) -> str:
     rows = [
-        (v.name, i, t, v.pattern(t)) for v in m.ALL for i, t in enumerate(v.terms)
+        (v.name, i, t, _pattern(v, t)) for v in m.ALL for i, t in enumerate(v.terms)
     ]
     lists = ", ".join(
         f"coalesce(string_agg(term, ';' ORDER BY pos) FILTER (kind = '{v.name}'), '') AS {v.name}"
@@ -275,7 +300,8 @@ SITES = _with(POSTINGS) + (
         "CASE WHEN dia_diem_lam_viec = 'en' THEN chuyen_mon END AS chuyen_mon" if c == "chuyen_mon" else c
         for c in POSTING_COLUMNS
     )
-    + " FROM postings WHERE dia_diem_lam_viec IS NOT NULL"
+    + " FROM (SELECT * REPLACE (CASE WHEN CAST(id AS BIGINT) % 7 <> 3 THEN dia_diem_lam_viec END AS dia_diem_lam_viec)"
+      " FROM postings)"
 )
 LATEST = (
     "SELECT event_id, ts, user_id, event_type, value, props FROM (SELECT *, row_number() OVER"
@@ -321,7 +347,7 @@ ORACLES: dict[str, str] = {
     "salary_candidates": _salary("SELECT id, CAST(nth AS INT) AS nth, c AS candidate FROM candidates"),
     "salary_bins": _salary(JOINED_BINS),
     "salary_amounts": _salary(
-        "SELECT r.id, CAST(r.nth AS INT) AS nth, r.dollars, r.single AS millions,"
+        "SELECT r.id, CAST(r.nth AS INT) AS nth, r.dollars::VARCHAR AS dollars, r.single::VARCHAR AS millions,"
         " array_to_string(b.bins, ';') AS bins FROM read2 r JOIN read3 b USING (id, nth)"
     ),
     "nfkc_text": _with(POSTINGS) + f"SELECT id, {NFKC_BENEFITS} AS benefits FROM postings",
@@ -337,17 +363,17 @@ ORACLES: dict[str, str] = {
     "na_defaults": _with(POSTINGS) + "SELECT "
     + ", ".join(f"coalesce({c}, '{MISSING}') AS {c}" for c in POSTING_COLUMNS) + " FROM postings",
     "union_sites": SITES,
-    "complete_sites": SITES + " AND id IS NOT NULL AND yeu_cau_cong_viec IS NOT NULL",
+    "complete_sites": SITES + " WHERE id IS NOT NULL AND yeu_cau_cong_viec IS NOT NULL",
     "split_sections": _sections(),
     "specialty_label": f"SELECT CAST(doc_id AS STRING) AS id,"
                        f" replace({pick(SPECIALTIES)}, '{SPECIALTY_LABEL}', '') AS specialty FROM documents",
-    "page_urls": f"SELECT page_id, {_listing(pg.LISTING_URL)} AS first_site,"
-                 f" {_listing(pg.LISTING_URL_SECOND)} AS second_site FROM pages",
+    "page_urls": f"SELECT page_id, {_listing(FIRST_LISTING)} AS first_site,"
+                 f" {_listing(SECOND_LISTING)} AS second_site FROM pages",
     "page_links": PAGE_LINKS,
     "page_fields": PAGE_FIELDS,
     "page_text": f"SELECT page_id, {_text(_shown('html'))} AS text FROM pages",
     "job_links": "SELECT 'https://jobs.example.com/j/' || CAST(doc_id AS STRING) AS url,"
-                 " 'https://jobs.example.com/j/' || CAST(doc_id + 1 AS STRING) || '?a=1&b=2' AS link FROM documents",
+                 " 'https://jobs.example.com/j/it''s here/' || CAST(doc_id + 1 AS STRING) || '?a=1&b=2' AS link FROM documents",
     "page_postings": JOB_POSTINGS,
     "page_postings_second_site": f"SELECT * EXCLUDE (chuyen_mon) FROM ({JOB_POSTINGS})",
     "crawl_to_extract": _extracted(JOB_POSTINGS, EXTRACT_ALL),
@@ -361,4 +387,13 @@ ORACLES: dict[str, str] = {
                                           " quyen_loi, cach_thuc_ung_tuyen FROM postings",
     "upsert_latest": LATEST,
     "stream_upsert": LATEST,
+    "stream_topic": ALL_POSTINGS,
+    "stream_resume": ALL_POSTINGS,
+    "listing_urls": f"SELECT page_id AS page, {_listing(FIRST_LISTING)} AS url FROM (SELECT"
+                    " unnest(generate_series((SELECT min(page_id) FROM pages), (SELECT max(page_id) FROM pages)))"
+                    " AS page_id)",
+    "knowledge_ranking": _labelled(
+        'SELECT term AS "Knowledge", n AS count, row_number() OVER (ORDER BY n DESC, encode(term)) AS place'
+        " FROM labelled"
+    ),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -30,7 +31,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.match(r"local($|\[)", spark.conf.get("spark.master", "")):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.mkdtemp(prefix="jobsignals-")
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -15,20 +15,6 @@ def read_postings(spark: SparkSession, path: str, schema: StructType = schemas.P
     return spark.read.schema(schema).json(path)
 
 
-def spread(df: DataFrame, *keys: str, scan: DataFrame | None = None) -> DataFrame:
-    """A scan with at least as many tasks as there are cores.
-
-    Text extraction is bound by computing, and a file with one row group is
-    read by one task. Only a scan with fewer tasks than cores is shuffled, by
-    ``keys`` so that a task run again gets the same rows; a large one never is.
-    For a stream, ``scan`` is its source as a batch table, which can be counted.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if (scan or df).rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(2 * cores, *keys)
-
-
 def write_json(df: DataFrame, path: str, files: int | None = None) -> None:
     """Replace the JSON files under ``path``. ``files`` bounds their number by
     merging tasks; leave it out for large results."""
@@ -46,5 +32,7 @@ def ensure_table(spark: SparkSession, name: str, schema: StructType = schemas.EX
                  format: str = "parquet", location: str | None = None) -> None:
     """Create a catalog table unless it exists."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
-    place = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING {format}{place}")
+    quoted = ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
+    escaped = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+    place = f" LOCATION '{escaped}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {quoted} ({columns}) USING {format}{place}")

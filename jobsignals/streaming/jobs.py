@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import contextlib
 import sys
 from collections.abc import Mapping, Sequence
 from typing import TextIO
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from jobsignals import schemas
 from jobsignals.operators.postings import drop_incomplete, extract, parse_postings
-from jobsignals.streaming.store import upsert_batch
+from jobsignals.streaming.store import POSITION, stream_id, upsert_batch
 
 
 def _writer(df: DataFrame, checkpoint: str, once: bool):
@@ -36,17 +35,32 @@ def echo_stream(df: DataFrame, checkpoint: str, rows: int = 20, once: bool = Fal
     console sink brings whole batches to the driver; this brings what it prints."""
 
     def show(batch: DataFrame, batch_id: int) -> None:
-        with contextlib.redirect_stdout(out or sys.stdout):
-            print(f"Batch: {batch_id}")
-            batch.show(rows, truncate=True)
+        target = out or sys.stdout
+        print(f"Batch: {batch_id}", file=target)
+        print(batch._show_string(rows, True), file=target)
 
     return _writer(df, checkpoint, once).foreachBatch(show).start()
 
 
 def upsert_stream(df: DataFrame, checkpoint: str, path: str, key: str = "id",
-                  newest_first: Sequence[Column] | None = None, once: bool = False) -> StreamingQuery:
-    """Write a stream to a keyed store."""
-    return _writer(df, checkpoint, once).foreachBatch(upsert_batch(path, key, newest_first)).start()
+                  newest: Sequence[str] = (), once: bool = False) -> StreamingQuery:
+    """Write a stream to a keyed store. Its folders there carry the query's id."""
+    write = upsert_batch(path, key, newest, lambda: stream_id(df.sparkSession, checkpoint))
+    return _writer(df, checkpoint, once).foreachBatch(write).start()
+
+
+def await_all(queries: Sequence[StreamingQuery]) -> None:
+    """Wait until all queries have ended; when one fails, stop the others and raise."""
+    try:
+        while any(q.isActive for q in queries):
+            for query in queries:
+                query.awaitTermination(1)
+        for query in queries:
+            query.awaitTermination()  # raises what ended it
+    except Exception:
+        for query in queries:
+            query.stop()
+        raise
 
 
 def land(messages: DataFrame, path: str, checkpoint: str, schema: StructType = schemas.POSTING,
@@ -67,12 +81,20 @@ def land_and_echo(messages: DataFrame, path: str, checkpoint: str,
 
 
 def extract_stream(messages: DataFrame, schema: StructType = schemas.POSTING_STREAM,
-                   required: Sequence[str] | None = None) -> DataFrame:
-    """Extracted rows of the complete messages of a stream (or of a batch)."""
-    return extract(drop_incomplete(parse_postings(messages, schema), required))
+                   required: Sequence[str] | None = None, keep: Sequence[str] = ()) -> DataFrame:
+    """Extracted rows of the complete messages of a stream (or of a batch), with the
+    columns ``keep`` of the messages."""
+    complete = drop_incomplete(parse_postings(messages, schema, keep), required or schema.fieldNames())
+    return extract(complete, keep=keep)
+
+
+def positions(messages: DataFrame) -> list[str]:
+    """The columns that place a message in its topic, if the source has all of them."""
+    return list(POSITION) if set(POSITION) <= set(messages.columns) else []
 
 
 def store_raw(messages: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
     """Write the six main columns of the postings, as they came, to a keyed store."""
-    raw = parse_postings(messages).select(*schemas.POSTING_RAW_STORE.fieldNames())
+    keep = positions(messages)
+    raw = parse_postings(messages, keep=keep).select(*schemas.POSTING_RAW_STORE.fieldNames(), *keep)
     return upsert_stream(raw, checkpoint, path, once=once)

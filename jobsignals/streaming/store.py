@@ -1,18 +1,36 @@
 """A table keyed by id that streams write to: the last write of a key wins.
 
-Each micro-batch is one folder, ``batch_id=<n>``, holding at most one row per
-key. Writing costs what the batch holds, whatever the size of the store, and a
-batch run again after a failure replaces its own folder. Reading keeps the row
-of the highest batch for each key; :func:`compact` does that once and for all.
-Rows without a key are not stored.
+Each micro-batch is one folder, ``stream=<id>/batch_id=<n>``, holding at most a few
+rows per key. The id is the streaming query's own, kept in its checkpoint: a batch
+run again after a failure replaces its own folder, and another stream or a renewed
+checkpoint never touches it. Writing costs what the batch holds.
+
+Every row carries what decides between writes, so readers and writers agree:
+``_at``, numbers to compare first to last, and where the source has them
+``_partition`` and ``_offset``. Within a partition of the source the greatest offset
+is the last write; between partitions, and everywhere else, the greatest ``_at`` is.
+By default that is the source's time stamp, or the time of writing. Rows without a
+key are not stored.
+
+Reading finds the last write of each key among all folders; :func:`compact` replaces
+many folders by one, so that a read costs about the live rows.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+
+#: Columns of a source that place a message.
+POSITION = ("partition", "offset", "timestamp")
+_ORDER = [
+    StructField("_partition", IntegerType()), StructField("_offset", LongType()),
+    StructField("_at", ArrayType(LongType())),
+]
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Column]) -> DataFrame:
@@ -26,37 +44,84 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[Co
     return ranked.filter("_rank = 1").drop("_rank")
 
 
-def _by_all_columns(df: DataFrame, keys: Sequence[str]) -> list[Column]:
-    return [F.desc(c) for c in df.columns if c not in keys]
+def _last_writes(rows: DataFrame, key: str, positions: bool) -> DataFrame:
+    """Last write per key; equal ones: the greatest in column order, so that a rerun
+    picks the same. With positions, one row per key and partition stays for the next step."""
+    data = [F.desc(c) for c in rows.columns if c != key and not c.startswith("_")]
+    if positions:
+        rows = latest_per_key(
+            rows, [key, "_partition"], [F.desc_nulls_last("_offset"), F.desc("_at"), *data])
+    return latest_per_key(rows, [key], [F.desc("_at"), *data])
+
+
+def _number(c: Column, kind: str) -> Column:
+    return F.unix_micros(c.cast("timestamp")) if kind in ("timestamp", "date", "timestamp_ntz") else c.cast("long")
 
 
-def upsert_batch(path: str, key: str = "id", newest_first: Sequence[Column] | None = None
+def upsert_batch(path: str, key: str = "id", newest: Sequence[str] = (), stream: str | Callable[[], str] = "manual"
                  ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function that writes each batch to the store.
 
-    Rows of one batch with the same key: the first by ``newest_first`` stays,
-    by default the greatest in column order, so that a rerun picks the same.
+    ``newest`` names columns of numbers or times; the row with the greatest values wins,
+    whichever batch it came in. Without it source positions decide, or else the time of
+    writing. Columns named in ``POSITION`` are not stored as data. ``stream`` is the id
+    of the writing stream, or a function that finds it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        order = newest_first or _by_all_columns(batch, [key])
-        rows = latest_per_key(batch.dropna(subset=[key]), [key], order)
-        rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        kinds = dict(batch.dtypes)
+        placed = set(POSITION) <= kinds.keys()
+        if newest:
+            at = F.array(*[_number(F.col(c), kinds[c]) for c in newest])
+        elif placed:
+            at = F.array(_number(F.col("timestamp"), kinds["timestamp"]))
+        else:
+            at = F.array(F.unix_micros(F.current_timestamp()), F.lit(batch_id).cast("long"))
+        by_position = placed and not newest
+        rows = batch.dropna(subset=[key]).withColumns({
+            "_partition": (F.col("partition") if by_position else F.lit(None)).cast("int"),
+            "_offset": (F.col("offset") if by_position else F.lit(None)).cast("long"),
+            "_at": at,
+        })
+        rows = rows.drop(*POSITION) if placed else rows
+        name = stream if isinstance(stream, str) else stream()
+        _last_writes(rows, key, by_position).write.mode("overwrite").parquet(
+            f"{path}/stream={name}/batch_id={batch_id}")
 
     return write
 
 
-def read_store(spark: SparkSession, path: str, schema: StructType, key: str = "id",
-               newest_first: Sequence[Column] = ()) -> DataFrame:
-    """Current rows of the store. Where the writer was given an order, the
-    reader needs it too: it then decides before the order of the batches."""
-    full = StructType([*schema.fields, StructField("batch_id", LongType())])
-    rows = spark.read.schema(full).parquet(path)
-    return latest_per_key(rows, [key], [*newest_first, F.desc("batch_id")]).drop("batch_id")
-
-
-def compact(spark: SparkSession, path: str, target: str, schema: StructType, key: str = "id",
-            newest_first: Sequence[Column] = ()) -> None:
-    """Write the current rows to a new store as its oldest batch."""
-    rows = read_store(spark, path, schema, key, newest_first)
-    rows.write.mode("errorifexists").parquet(f"{target}/batch_id=-1")
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps in its checkpoint from its first start on."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
+def _rows(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    return spark.read.schema(StructType([*schema.fields, *_ORDER])).parquet(path)
+
+
+def read_store(spark: SparkSession, path: str, schema: StructType, key: str = "id") -> DataFrame:
+    """Current rows of the store."""
+    return _last_writes(_rows(spark, path, schema), key, True).select(*schema.fieldNames())
+
+
+def compact(spark: SparkSession, path: str, schema: StructType, key: str = "id") -> None:
+    """Replace the folders present now by one that holds the last write per key and
+    partition. A failure between writing and deleting leaves rows twice, which reading
+    sorts out; folders that streams add meanwhile are not touched. Readers that run
+    meanwhile may have to start again."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [
+        batch.getPath().toString()
+        for stream in files.listStatus(root) if stream.getPath().getName().startswith("stream=")
+        for batch in files.listStatus(stream.getPath())
+    ]
+    if not folders:
+        return
+    old = spark.read.schema(StructType([*schema.fields, *_ORDER])).parquet(*folders)
+    window = [F.desc_nulls_last("_offset"), F.desc("_at"), *[F.desc(f) for f in schema.fieldNames() if f != key]]
+    latest_per_key(old, [key, "_partition"], window).write.parquet(
+        f"{path}/stream=compacted/batch_id={uuid.uuid4().hex}")
+    for folder in folders:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)

@@ -40,12 +40,23 @@ def test_land_then_clean_and_index_and_report(spark, folder, capsys):
     assert spark.read.json(f"{folder}/report/category").columns == ["Category", "count"]
 
 
+def test_links_job(spark, folder):
+    main(["links", "--pages", "3-5", "--output", f"{folder}/listing"])
+    assert [r.page for r in spark.read.json(f"{folder}/listing").orderBy("page").collect()] == [3, 4, 5]
+    main(["links", "--input", f"{folder}/pages", "--output", f"{folder}/links"])
+    found = spark.read.json(f"{folder}/links")
+    assert found.count() == spark.read.parquet(f"{folder}/pages").count() and found.columns == ["link", "url"]
+
+
 def test_store_job(spark, folder):
     for _ in range(2):
-        main(["store", "--topic", f"{folder}/topic", "--output", f"{folder}/store", "--checkpoint", f"{folder}/cp2", "--once"])
+        main(["store", "--topic", f"{folder}/topic", "--output", f"{folder}/store", "--checkpoint", f"{folder}/cp2", "--once",
+              "--source-option", "maxFilesPerTrigger=1"])
     stored = read_store(spark, f"{folder}/store", schemas.EXTRACTED)
     want = entry_point.queries()["crawl_to_extract"](spark, SF_DIR)
     assert stored.count() == want.count() > 0
     main(["store", "--topic", f"{folder}/topic", "--output", f"{folder}/plain", "--checkpoint", f"{folder}/cp3", "--once",
           "--format", "json", "--option", "compression=gzip"])
     assertDataFrameEqual(spark.read.schema(schemas.EXTRACTED).json(f"{folder}/plain"), stored)
+    main(["compact", "--output", f"{folder}/store"])
+    assert read_store(spark, f"{folder}/store", schemas.EXTRACTED).count() == want.count()

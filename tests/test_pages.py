@@ -1,5 +1,6 @@
 import html as html_lib
 import re
+from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pytest
@@ -148,3 +149,44 @@ def test_links_resolve_like_a_browser(evaluate):
         # urljoin() leaves the path alone when the link names a host; a browser does not
         other = {"https://t.example/a/../b": "https://t.example/b", "//t.example/./a": page.split("/")[0] + "//t.example/a"}
         assert got == [other.get(x) or urljoin(page, x) for x in links], page
+
+
+class Links(HTMLParser):
+    """What the standard library's parser sees."""
+
+    def __init__(self, page):
+        super().__init__()
+        self.found = []
+        self.feed(page)
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a" and "href" in dict(attrs):
+            self.found.append(dict(attrs)["href"] or "")
+
+
+ODD_TAGS = ["<a href=\"/it's-a-job\">", '<a href="/a b">', '<a title="a>b" href="/y">', '<a data-x=" href=/no" href="/yes">',
+            "<a href=/x/y>", "<a href=''>", '<A\nHREF = "/q?a=1&amp;b=2" x>', "<a name=x>", "<a class href=k>", "<abbr href=no>",
+            "<a data-href=no title='href=\"x\"' href='&dstrok;'>"]
+
+
+def test_attributes_as_the_standard_parser_reads_them(evaluate):
+    got = evaluate(lambda c: h.attributes(c, "a", "href"), ODD_TAGS + ["".join(ODD_TAGS)])
+    assert got == [Links(t).found for t in ODD_TAGS + ["".join(ODD_TAGS)]]
+
+
+@pytest.mark.parametrize("step, html, want", [
+    ("li", "<li>a<ul><li>b</li></ul>c</li>d<li>e", ["a<ul><li>b</li></ul>c", "b", "e"]),
+    ("article", "<article>a<article>b</article>c</article>", ["a<article>b</article>c", "b"]),
+    ("nav", "<nav>a<nav>b</nav>c</nav>", ["a<nav>b</nav>c", "b"]),
+    ("div.x", '<div class="x">1<div>2</div><div class="y x">3</div>4</div>5', ['1<div>2</div><div class="y x">3</div>4', "3"]),
+    ("div.x", '<div data-x="a>b" class="x">in</div>', ["in"]), ("div.x", '<div data-class="x">in</div>', []),
+    ("h3", "<h3>a</h3>b<h3>c", ["a", "c"]),
+])
+def test_elements(evaluate, step, html, want):
+    assert evaluate(lambda c: h.all_inner(c, step), [html]) == [want]
+    assert evaluate(lambda c: h.first_inner(c, step), [html]) == (want[:1] or [None])
+
+
+def test_references_of_html_5(evaluate):
+    texts = ["&#00000065;&#x0000000000000041;", "&abreve;&dstrok;&itilde;", "&#150;&#x80;", "&#99999999999999999999;", "&NotEqualTilde;"]
+    assert evaluate(h.decode_entities, texts) == [html_lib.unescape(t) for t in texts]

@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry_point
+from jobsignals.plans.catalog import QUERIES
 from jobsignals.session import get_spark, shared_folder
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -14,7 +15,7 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-BATCH = [q for q in entry_point.queries() if not q.startswith("stream_")]
+BATCH = [q for q in QUERIES if not q.startswith("stream_")]
 
 
 @pytest.mark.parametrize("name", BATCH)
@@ -31,6 +32,11 @@ def test_text_is_scanned_once_per_vocabulary(spark, name):
     assert len(re.findall(r"regexp_extract_all\([^(]*, \(\?=\(", text)) == 1
 
 
+@pytest.mark.parametrize("name", ["extract_postings", "knowledge_matches", "salary_bins", "page_fields", "crawl_to_extract"])
+def test_maps_do_not_shuffle(spark, name):
+    assert "Exchange" not in plan(entry_point.queries()[name](spark, SF_DIR))
+
+
 def test_messages_are_parsed_once(spark):
     from jobsignals.operators import postings as po
     from jobsignals.plans.inputs import postings

@@ -125,10 +125,3 @@ def test_ensure_table_twice(spark, tmp_path):
     for _ in range(2):
         tables.ensure_table(spark, "extracted_twice", location=str(tmp_path / "t"))
     assert [f.dataType for f in spark.table("extracted_twice").schema] == [f.dataType for f in schemas.EXTRACTED]
-
-
-def test_spread_shuffles_only_small_scans(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert tables.spread(spark.range(0, 10, 1, 1), "id").rdd.getNumPartitions() == 2 * cores
-    wide = spark.range(0, 100, 1, cores)
-    assert tables.spread(wide, "id") is wide

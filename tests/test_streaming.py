@@ -6,7 +6,7 @@ from jobsignals import schemas
 from jobsignals.operators import postings as po
 from jobsignals.sources import tables, topics
 from jobsignals.streaming import jobs
-from jobsignals.streaming.store import compact, read_store, upsert_batch
+from jobsignals.streaming.store import compact, read_store, stream_id, upsert_batch
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -65,27 +65,71 @@ def batch(spark, *rows):
     return spark.createDataFrame(list(rows), SCHEMA)
 
 
+def rows(spark, path):
+    return sorted(map(tuple, read_store(spark, path, batch(spark, ("x", 0)).schema).collect()))
+
+
 def test_last_write_wins_and_reruns_replace(spark, tmp_path):
-    schema = batch(spark, ("x", 0)).schema
-    write = upsert_batch(f"{tmp_path}/s")
+    path = f"{tmp_path}/s"
+    write = upsert_batch(path)
     write(batch(spark, ("a", 1), ("a", 2), ("b", 9), (None, 5)), 0)
     write(batch(spark, ("b", 3), ("c", 4)), 1)
     write(batch(spark, ("b", 3), ("c", 4)), 1)  # the same batch again
     want = [("a", 2), ("b", 3), ("c", 4)]
-    assert sorted(map(tuple, read_store(spark, f"{tmp_path}/s", schema).collect())) == want
-    compact(spark, f"{tmp_path}/s", f"{tmp_path}/t", schema)
-    assert sorted(map(tuple, read_store(spark, f"{tmp_path}/t", schema).collect())) == want
-    upsert_batch(f"{tmp_path}/t")(batch(spark, ("a", 0)), 2)
-    assert sorted(map(tuple, read_store(spark, f"{tmp_path}/t", schema).collect()))[0] == ("a", 0)
+    assert rows(spark, path) == want
+    compact(spark, path, batch(spark, ("x", 0)).schema)
+    assert rows(spark, path) == want
+    assert [p.name for p in (tmp_path / "s").glob("*/batch_id=*")] and not list((tmp_path / "s").glob("stream=manual/*"))
+    write(batch(spark, ("a", 0)), 2)
+    assert rows(spark, path)[0] == ("a", 0)
 
 
-def test_given_order_decides_over_batches(spark, tmp_path):
+def test_another_stream_and_a_renewed_checkpoint_keep_earlier_rows(spark, tmp_path):
+    path = f"{tmp_path}/s"
+    folder = f"{tmp_path}/in"
     schema = batch(spark, ("x", 0)).schema
-    order = [F.desc("n")]
-    write = upsert_batch(f"{tmp_path}/s", newest_first=order)
+    for name, given in (("one", [("a", 1), ("b", 1)]), ("two", [("a", 2), ("c", 2)]), ("three", [("d", 3)])):
+        batch(spark, *given).write.parquet(f"{folder}/{name}")
+        stream = spark.readStream.schema(schema).parquet(f"{folder}/{name}")
+        jobs.upsert_stream(stream, f"{tmp_path}/cp-{name}", path, once=True).awaitTermination()
+    assert rows(spark, path) == [("a", 2), ("b", 1), ("c", 2), ("d", 3)]
+    assert {p.name for p in (tmp_path / "s").iterdir()} == {
+        f"stream={stream_id(spark, f'{tmp_path}/cp-{n}')}" for n in ("one", "two", "three")}
+
+
+def test_given_order_decides_over_batches(spark, tmp_path):
+    write = upsert_batch(f"{tmp_path}/s", newest=["n"])
     write(batch(spark, ("a", 7)), 0)
     write(batch(spark, ("a", 1)), 1)
-    assert read_store(spark, f"{tmp_path}/s", schema, newest_first=order).first().n == 7
+    assert rows(spark, f"{tmp_path}/s") == [("a", 7)]
+
+
+def test_the_later_message_wins(spark, tmp_path):
+    """Offsets decide within a partition, time stamps between partitions."""
+    def placed(*given):
+        return spark.createDataFrame(list(given), "id string, n int, partition int, offset long, timestamp long").selectExpr(
+            "id", "n", "partition", "offset", "timestamp_seconds(timestamp) AS timestamp")
+
+    for stream, parts in (("one batch", [slice(None)]), ("batches", [slice(0, 3), slice(3, None)])):
+        path = f"{tmp_path}/{len(parts)}"
+        given = [("a", 9, 0, 1, 100), ("b", 1, 0, 2, 100), ("c", 5, 0, 3, 50), ("a", 1, 0, 4, 90), ("b", 2, 1, 0, 99), ("c", 6, 1, 7, 60)]
+        for number, part in enumerate(parts):
+            upsert_batch(path, stream=stream)(placed(*given[part]), number)
+        assert rows(spark, path) == [("a", 1), ("b", 1), ("c", 6)]
+        compact(spark, path, batch(spark, ("x", 0)).schema)
+        assert rows(spark, path) == [("a", 1), ("b", 1), ("c", 6)]
+
+
+def test_a_failed_query_stops_the_others(spark, topic, tmp_path):
+    good = jobs.append_stream(stream(spark, topic), f"{tmp_path}/cp", f"{tmp_path}/out", format="text")
+
+    def fail(rows, number):
+        raise ValueError("no such sink")
+
+    bad = stream(spark, topic).writeStream.foreachBatch(fail).option("checkpointLocation", f"{tmp_path}/cp2").start()
+    with pytest.raises(Exception, match="no such sink"):
+        jobs.await_all([good, bad])
+    assert not good.isActive
 
 
 def test_each_query_has_its_own_checkpoint(spark, topic, tmp_path):
