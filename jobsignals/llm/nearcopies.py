@@ -15,8 +15,9 @@ Linked documents then share a shingle among their first n - ceil(0.8 n) + 1 (pre
    holds for every linked pair. Groups are expanded to their classes here.
 4. *Verify*. Candidate pairs are compared by their whole sets. A list with many
    candidates for its length proposes only a spanning forest of the closest ones, and
-   is looked at once more: then every candidate pair whose classes are not yet
-   connected is compared. No pair that could join two components is left out.
+   is looked at again: each member's candidates in other components are compared, the
+   closest first, a few in the first look and four times as many in each further one,
+   until none is left. No pair that could join two components is left out.
 
 A group of copies costs one posting per task and shingle, a group of near copies
 about one comparison per member. Lists longer than ``LIST_ROWS`` are dealt out to
@@ -350,26 +351,50 @@ def _closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield rows_of(again, out)
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All candidate pairs of a list's members that are in different components."""
-    out: list[tuple[int, int]] = []
-    for key, rows in _lists(batches, ("token", "i", "j"), ("node", "n", "bits", "component", "slice"), None):
-        component = np.array([r[3] for r in rows])
-        if (component == component[0]).all():
-            continue
-        slices = np.array([r[4] for r in rows])
-        members = _Bits(np.array([r[1] for r in rows]), [r[2] for r in rows])
-        numbers = np.arange(len(rows))
-        for at in range(len(rows) - 1):
-            others = numbers[at + 1 :]
-            others = others[component[others] != component[at]]
-            if key[1] != key[2]:
-                others = others[slices[others] != slices[at]]
-            out += [(rows[at][0], rows[other][0]) for other in members.near(at, others)[0].tolist()]
-        if len(out) > 50_000:
-            yield _pairs_batch(out)
-            out = []
-    yield _pairs_batch(out)
+#: Partners per member that the first look at dense lists compares; each further look
+#: compares four times as many.
+FIRST_PARTNERS = 2
+
+
+def _across(first: int, last: int):
+    """Of each list's member the candidates at ranks ``first`` to ``last`` by closeness, if
+    they are in another component. The order of candidates does not depend on components,
+    so further looks with further ranks miss none. Where such candidates are left behind
+    ``last``, the list's token is given too."""
+
+    def rows_of(pairs: list[tuple[int, int]], tokens: list[int]) -> pa.RecordBatch:
+        batch = _pairs_batch(pairs)
+        return pa.RecordBatch.from_arrays([
+            pa.concat_arrays([batch.column(0), pa.nulls(len(tokens), pa.int64())]),
+            pa.concat_arrays([batch.column(1), pa.nulls(len(tokens), pa.int64())]),
+            pa.concat_arrays([pa.nulls(batch.num_rows, pa.int64()), pa.array(tokens, pa.int64())]),
+        ], names=["a", "b", "token"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[tuple[int, int]] = []
+        left: list[int] = []
+        for key, rows in _lists(batches, ("token", "i", "j"), ("node", "n", "bits", "component", "slice"), None):
+            component = np.array([r[3] for r in rows])
+            if (component == component[0]).all():
+                continue
+            nodes, slices = np.array([r[0] for r in rows]), np.array([r[4] for r in rows])
+            members = _Bits(np.array([r[1] for r in rows]), [r[2] for r in rows])
+            numbers = np.arange(len(rows))
+            more = False
+            for at in range(len(rows)):
+                others, bounds = members.near(at, numbers if key[1] == key[2] else numbers[slices != slices[at]])
+                others = others[np.lexsort((nodes[others], bounds))]
+                apart = component[others] != component[at]
+                out += [(int(nodes[at]), int(y)) for y in nodes[others[first:last][apart[first:last]]]]
+                more = more or bool(apart[last:].any())
+            if more:
+                left.append(key[0])
+            if len(out) > 50_000:
+                yield rows_of(out, left)
+                out, left = [], []
+        yield rows_of(out, left)
+
+    return run
 
 
 def _sets(words: int):
@@ -456,20 +481,26 @@ class NearCopies:
         if dense.isEmpty():
             return links, labels
         members = kept(members.join(dense, "token", "left_semi"), "members")
-        sizes = members.groupBy("token").count().where(F.col("count") > self.list_rows).select(
+        sizes = members.groupBy("token").count().select(
             "token", F.ceil(F.col("count") / self.list_rows).cast("int").alias("slices"))
-        dealt = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        dealt = dealt.join(sizes, "token", "left").withColumn("slices", F.coalesce("slices", F.lit(1)))
-        dealt = dealt.withColumn("slice", F.pmod(F.xxhash64("node"), "slices").cast("int"))
-        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-        dealt = dealt.select("token", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"),
-                             "slice", "node", "n", "bits", "component")
-        across = kept(dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node")
-                      .mapInArrow(_across, "a long, b long").distinct(), "candidates")
-        if not across.isEmpty():
-            links = kept(links.unionAll(self.verified(across)), "verified")
-            labels = components(links)
-        return links, labels
+        first, last = 0, FIRST_PARTNERS
+        while True:
+            dealt = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+            dealt = dealt.join(sizes, "token").withColumn("slice", F.pmod(F.xxhash64("node"), "slices").cast("int"))
+            dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+            dealt = dealt.select("token", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"),
+                                 "slice", "node", "n", "bits", "component")
+            across = kept(dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node")
+                          .mapInArrow(_across(first, last), "a long, b long, token long").distinct(), "candidates")
+            pairs = across.where("token IS NULL").select("a", "b")
+            if not pairs.isEmpty():
+                links = kept(links.unionAll(self.verified(pairs)), "verified")
+                labels = components(links)
+            left = across.where("token IS NOT NULL").select("token")
+            if left.isEmpty():
+                return links, labels
+            members = kept(members.join(left, "token", "left_semi"), "members")
+            first, last = last, 4 * last + FIRST_PARTNERS
 
     def documents(self) -> DataFrame:
         """One row per document: doc_id, row (text key), n_shingles, component_id and
