@@ -10,6 +10,7 @@ from jobsignals.llm.boilerplate import OP2_SQL, op2_site_boilerplate
 from jobsignals.llm.decontaminate import op1_pigeonhole_decontamination
 from jobsignals.llm.mixing import op6_pfair_mix
 from jobsignals.llm.nearcopies import op5_grouped_prefix_join
+from jobsignals.llm.oracles import NEAR_COPIES
 from jobsignals.llm.permutations import op3_permutation_index
 from jobsignals.llm.quality import op8_quality
 from jobsignals.llm.repeats import op10_suffix_dedup
@@ -32,5 +33,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op2_site_boilerplate": OP2_SQL,
+    "op5_grouped_prefix_join": NEAR_COPIES,
     "op7_interleaved_shards": OP7_SQL,
 }
