@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobsignals.llm.ranking import SMALL
 from jobsignals.llm.tables import kept
 
 
@@ -16,20 +17,22 @@ def _state(edges: DataFrame) -> tuple:
 def components(links: DataFrame) -> DataFrame:
     """For each node of the links (columns a, b; longs) the least node it is connected
     with: node, component. Every step is a grouping and a join; its rows are written,
-    and the driver sees a count and a checksum."""
+    and the driver sees a count and a checksum. The minima of a step have at most two
+    rows per link and are broadcast while that number, which is checked, is small."""
     edges = kept(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                  .where("a <> b").distinct(), "links")
     state = _state(edges)
     while state[0]:
+        sent = F.broadcast if 2 * state[0] <= SMALL else lambda minima: minima
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a <> b").distinct()
+        large = both.join(sent(least), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = large.where("a <> b")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = large.join(sent(least), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         edges = kept(small.where("a <> b").unionAll(least.select("a", F.col("m").alias("b"))).distinct(), "links")
         before, state = state, _state(edges)
         if state == before:
             break
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(
-        edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+    return kept(edges.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(
+        edges.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct(), "components")

@@ -16,7 +16,7 @@ Linked documents then share a shingle among their first n - ceil(0.8 n) + 1 (pre
 4. *Verify*. Candidate pairs are compared by their whole sets. A list with many
    candidates for its length proposes only a spanning forest of the closest ones, and
    is looked at again: each member's candidates in other components are compared, the
-   closest first, a few in the first look and four times as many in each further one,
+   closest first, a few in the first look and sixteen times as many in each further one,
    until none is left. No pair that could join two components is left out.
 
 A group of copies costs one posting per task and shingle, a group of near copies
@@ -352,8 +352,8 @@ def _closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 #: Partners per member that the first look at dense lists compares; each further look
-#: compares four times as many.
-FIRST_PARTNERS = 2
+#: compares sixteen times as many.
+FIRST_PARTNERS = 8
 
 
 def _across(first: int, last: int):
@@ -494,13 +494,16 @@ class NearCopies:
                           .mapInArrow(_across(first, last), "a long, b long, token long").distinct(), "candidates")
             pairs = across.where("token IS NULL").select("a", "b")
             if not pairs.isEmpty():
-                links = kept(links.unionAll(self.verified(pairs)), "verified")
-                labels = components(links)
+                found = kept(self.verified(pairs), "verified")
+                links = links.unionAll(found)
+                # The stars found so far stand for all links before.
+                stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+                labels = components(stars.unionAll(found))
             left = across.where("token IS NOT NULL").select("token")
             if left.isEmpty():
                 return links, labels
             members = kept(members.join(left, "token", "left_semi"), "members")
-            first, last = last, 4 * last + FIRST_PARTNERS
+            first, last = last, 17 * last
 
     def documents(self) -> DataFrame:
         """One row per document: doc_id, row (text key), n_shingles, component_id and
