@@ -47,6 +47,8 @@ MAX_SHARDS = 50_000
 #: Rows per shard in the sample that sets the boundaries.
 SAMPLED = 100
 MAX_SAMPLE = 1_000_000
+#: Tasks that read archives, about one file each up to this number of files.
+READ_TASKS = 10_000
 DATE = "2000-01-01T00:00:00Z"
 LEVEL = 6
 
@@ -250,7 +252,8 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
     names = ["page_id", "url", "payload", "size", "sha1", "order", "tie", "first_id", "first_url", "again", "response"]
     joined = joined.select(*names)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema) + ", shard int"
-    dealt = joined.mapInArrow(_sharded(boundaries), schema).repartition(len(boundaries) + 1, "shard")
+    # One task per shard; a hash of the shard's number would put some shards together.
+    dealt = joined.mapInArrow(_sharded(boundaries), schema).repartitionById(len(boundaries) + 1, F.col("shard"))
     dealt = dealt.sortWithinPartitions("shard", "order", "url", "sha1")
     return kept(dealt.mapInArrow(_written(folder, roll_bytes, date, level), MANIFEST), "warc-manifest")
 
@@ -322,9 +325,11 @@ def read_warc(manifest: DataFrame, payloads: bool = True) -> DataFrame:
                     raise ValueError(f"{path} holds {seen} records, its manifest says {records}")
                 yield batch_of(rows)
 
-    files = manifest.select("path", "root", "records", F.xxhash64("path").alias("key"))
-    # One file after another would be one task's work: a manifest is small, its files are not.
-    return files.repartition(F.col("key")).drop("key").mapInArrow(run, RECORD)
+    # A manifest is small and its files are not, so the number of tasks is given: Spark
+    # would merge them by the manifest's size.
+    tasks = max(1, min(manifest.count(), READ_TASKS))
+    number = F.pmod(F.xxhash64("path"), F.lit(tasks)).cast("int")
+    return manifest.select("path", "root", "records").repartitionById(tasks, number).mapInArrow(run, RECORD)
 
 
 def op4_warc_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
