@@ -1,127 +1,112 @@
 """Sources mixed to target weights by Pfair scheduling.
 
-Each source's rows, in a seeded random order, form blocks. A source of weight w (a
-share of 1) gets its k-th block's slot inside the window from floor((k - 1) / w), the
-release, to ceil(k / w), the deadline. In each slot the released block with the
-earliest deadline comes next (ties: first source by name). At any slot each source is
-then less than one block off its target.
-
-The schedule is periodic: weights are rounded to whole slots of a period (the bound
-holds for the rounded ones), one period is scheduled on the driver, and a row finds its slot from its block's number by
-arithmetic. When a source runs out, the others go on with weights in the same
-proportion: a new phase with a period of its own. What the driver holds depends on the
-number of sources and the period alone; sources are components of a mixture, at most
-``MAX_SOURCES`` (more raise an error, nothing is dropped). Within a source rows are
-ranked in blocks (:mod:`jobsignals.llm.ranking`), so a hot source fills no task.
+Each source's rows, in a seeded random order, form blocks. The target is a steady flow:
+every source that is not used up gets slots in proportion to its weight w, so that after
+a time x sources have min(w x, n) of their n blocks and t(x), the sum of these, slots are
+gone. A source's k-th block gets its slot inside the window from floor(t((k - 1) / w)),
+the release, to ceil(t(k / w)), the deadline. In each slot the released block with the
+earliest deadline comes next (ties: first source by name). No window is missed, since any
+stretch holds at most as many whole windows as slots: each source is less than one block
+off its target at every slot, from the first to the last, also where others run out.
+
+Windows are computed in whole numbers from the decimal digits of the weights, so nothing
+is rounded and nothing adds up. One task runs the schedule and writes it as a table, a
+row per block; it holds a few numbers per source, whatever the number of rows. Rows find
+their block's slot by a join. Within a source rows are ranked in blocks
+(:mod:`jobsignals.llm.ranking`), so a hot source fills no task.
 
 Defined results: rows without a source form a source of their own; rows of sources
 without a positive weight follow last, in the same way with weights by their numbers
-of rows; all rows get a place, repeated rows and empty texts too; an empty table gives
+of blocks; all rows get a place, repeated rows and empty texts too; an empty table gives
 no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
+from bisect import bisect_right
 from collections.abc import Iterator, Mapping
-from dataclasses import dataclass, field
+from fractions import Fraction
+from itertools import chain, islice
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsignals.llm.ranking import ranked, shuffled_place, with_texts
+from jobsignals.llm.ranking import ranked, shuffled_place, small, with_texts
 from jobsignals.llm.tables import kept, table, text_key
 
 SEED = 11
 BLOCK_ROWS = 64
+#: Slots of the schedule that its task gives out at a time.
 PERIOD = 10_000
-MAX_SOURCES = 1000
 #: Exponent of the default target weights: shares go with rows ** TEMPERATURE.
 TEMPERATURE = 0.5
 
 
-def quotas(weights: Mapping[str, float], period: int) -> dict[str, int]:
-    """Whole slots of a period in proportion to the weights: at least one each, by
-    largest remainders."""
-    total = sum(weights.values())
-    exact = {s: w / total * period for s, w in weights.items()}
-    whole = {s: max(1, int(x)) for s, x in exact.items()}
-    by_rest = sorted(exact, key=lambda s: (whole[s] - exact[s], s))
-    while sum(whole.values()) < period:
-        for s in by_rest[: period - sum(whole.values())]:
-            whole[s] += 1
-    while sum(whole.values()) > period:
-        largest = max((s for s in whole if whole[s] > 1), key=lambda s: (whole[s] - exact[s], whole[s], s))
-        whole[largest] -= 1
-    return whole
-
-
-def one_period(quota: Mapping[str, int], period: int) -> dict[str, list[int]]:
-    """Slots of each source's blocks in one period, earliest deadline first."""
-    slots: dict[str, list[int]] = {s: [] for s in quota}
-    released = [(0, s) for s in sorted(quota)]
+def schedule(blocks: Mapping[str, int], weights: Mapping[str, float]) -> Iterator[tuple[str, int]]:
+    """Source and number (from 0) of the block in each slot, for positive weights."""
+    exact = {s: Fraction(repr(float(weights[s]))) for s, n in blocks.items() if n > 0}
+    scale = math.lcm(*(w.denominator for w in exact.values()))
+    share = {s: int(w * scale) for s, w in exact.items()}
+    # Where sources run out in the steady flow: blocks gone by then, shares that go on.
+    ends = sorted(exact, key=lambda s: Fraction(blocks[s], share[s]))
+    gone, going = [0], [sum(share.values())]
+    for s in ends:
+        gone.append(gone[-1] + blocks[s])
+        going.append(going[-1] - share[s])
+    stretch = dict.fromkeys(exact, 0)
+
+    def time(source: str, block: int) -> tuple[int, int]:
+        """When the flow has given ``block`` blocks: whole slots, and 1 if a part follows."""
+        w, at = share[source], stretch[source]
+        if at < len(ends) and block * share[ends[at]] >= blocks[ends[at]] * w:
+            at = bisect_right(ends, 0, at + 1, key=lambda s: blocks[s] * w - block * share[s] > 0)
+            stretch[source] = at
+        whole, rest = divmod(going[at] * block, w)
+        return gone[at] + whole, int(rest > 0)
+
+    begins = dict.fromkeys(exact, 0)
+    released = [(0, s) for s in sorted(exact)]
     ready: list[tuple[int, str]] = []
-    for slot in range(period):
+    done = dict.fromkeys(exact, 0)
+    for slot in range(sum(blocks[s] for s in exact)):
         while released and released[0][0] <= slot:
             _, source = heapq.heappop(released)
-            block = len(slots[source]) + 1
-            heapq.heappush(ready, (-(-block * period // quota[source]), source))
+            begins[source], part = time(source, done[source] + 1)
+            heapq.heappush(ready, (begins[source] + part, source))
         _, source = heapq.heappop(ready)
-        slots[source].append(slot)
-        done = len(slots[source])
-        if done < quota[source]:
-            heapq.heappush(released, (done * period // quota[source], source))
-    return slots
-
-
-@dataclass
-class Phases:
-    """For one source: where the blocks of each stretch of the schedule begin."""
-
-    first_block: list[int] = field(default_factory=list)
-    start: list[int] = field(default_factory=list)
-    period: list[int] = field(default_factory=list)
-    slots: list[np.ndarray] = field(default_factory=list)
-
-
-def schedule(blocks: Mapping[str, int], weights: Mapping[str, float], period: int = PERIOD,
-             plan: dict[str, Phases] | None = None, start: int = 0) -> tuple[dict[str, Phases], int]:
-    """Stretches of the schedule for each source, and the number of slots."""
-    left = {s: n for s, n in blocks.items() if n > 0}
-    plan = {} if plan is None else plan
-    for s in blocks:
-        plan.setdefault(s, Phases())
-    taken = dict.fromkeys(left, 0)
-
-    def stretch(source: str, slots: list[int], length: int, used: int) -> None:
-        phases = plan[source]
-        phases.first_block.append(taken[source])
-        phases.start.append(start)
-        phases.period.append(length)
-        phases.slots.append(np.array(slots, dtype=np.int64))
-        taken[source] += used
-        left[source] -= used
-
-    while left:
-        length = max(period, 20 * len(left))
-        quota = quotas({s: weights[s] for s in left}, length)
-        slots = one_period(quota, length)
-        whole = min(left[s] // quota[s] for s in left)
-        if whole:
-            for s in list(left):
-                stretch(s, slots[s], length, whole * quota[s])
-            start += whole * length
-        # The last period of the phase ends where a source has no block for its slot.
-        end = min(slots[s][left[s]] for s in left if left[s] < quota[s])
-        for s in list(left):
-            used = int(np.searchsorted(slots[s], end))
-            if used:
-                stretch(s, slots[s], length, used)
-        start += end
-        left = {s: n for s, n in left.items() if n > 0}
-    return plan, start
+        yield source, done[source]
+        done[source] += 1
+        if done[source] < blocks[source]:
+            heapq.heappush(released, (begins[source], source))
+
+
+def _scheduled(weights: Mapping[str, float] | None, block_rows: int, period: int):
+    """The schedule of all sources from their numbers of rows: key, block, slot and start,
+    the position of the block's first row."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = {key: int(n) for pdf in batches for key, n in zip(pdf["key"], pdf["rows"])}
+        blocks = {s: -(-n // block_rows) for s, n in rows.items()}
+        if weights is None:
+            target = {s: n ** TEMPERATURE for s, n in rows.items()}
+        else:
+            target = {s: weights.get(s[1:] if s else None, 0) for s in rows}
+        wanted = {s: n for s, n in blocks.items() if target[s] > 0}
+        rest = {s: n for s, n in blocks.items() if s not in wanted}
+        slots = chain(schedule(wanted, target), schedule(rest, rest))
+        slot = start = 0
+        while some := list(islice(slots, period)):
+            out = []
+            for key, block in some:
+                out.append((key, block, slot, start))
+                slot += 1
+                start += min(block_rows, rows[key] - block * block_rows)
+            yield pd.DataFrame(out, columns=["key", "block", "slot", "start"])
+
+    return run
 
 
 def mixed(documents: DataFrame, weights: Mapping[str, float] | None = None, block_rows: int = BLOCK_ROWS,
@@ -137,51 +122,14 @@ def mixed(documents: DataFrame, weights: Mapping[str, float] | None = None, bloc
         F.col(id_col).cast("long").alias("doc_id"), text_key(F.col(text_col)).alias("row"),
         F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")).alias("key"),
     ).withColumn("place", shuffled_place("doc_id", "row", seed=seed)), "mix-rows")
-    counts = {r["key"]: r["count"] for r in slim.groupBy("key").count().limit(MAX_SOURCES + 1).collect()}
-    if len(counts) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources; give the components of the mixture")
-    blocks = {s: -(-n // block_rows) for s, n in counts.items()}
-    if weights is None:
-        target = {s: n ** TEMPERATURE for s, n in counts.items()}
-    else:
-        target = {s: weights.get(s[1:], 0) if s else weights.get(None, 0) for s in counts}
-    wanted = {s: n for s, n in blocks.items() if target[s] > 0}
-    plan, end = schedule(wanted, target, period)
-    rest = {s: n for s, n in blocks.items() if s not in wanted}
-    plan, end = schedule(rest, blocks, period, plan, end)
-
-    def slots_of(source: str, block: np.ndarray) -> np.ndarray:
-        phases = plan[source]
-        at = np.searchsorted(np.array(phases.first_block), block, side="right") - 1
-        out = np.empty(len(block), np.int64)
-        for i in np.unique(at):
-            here = at == i
-            inside, slots = block[here] - phases.first_block[i], phases.slots[i]
-            out[here] = phases.start[i] + inside // len(slots) * phases.period[i] + slots[inside % len(slots)]
-        return out
-
-    # A source's last block may be short: rows that its slot lacks, for all later positions.
-    short = sorted((int(slots_of(s, np.array([blocks[s] - 1]))[0]), blocks[s] * block_rows - n)
-                   for s, n in counts.items())
-    short_slots = np.array([s for s, _ in short], dtype=np.int64)
-    lacking = np.concatenate(([0], np.cumsum([m for _, m in short]))).astype(np.int64)
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rank = pdf["rank"].to_numpy() - 1
-            pdf["block"] = rank // block_rows
-            pdf["slot"] = np.int64(0)
-            for source, rows in pdf.groupby("key").indices.items():
-                pdf.iloc[rows, pdf.columns.get_loc("slot")] = slots_of(source, pdf["block"].to_numpy()[rows])
-            slot = pdf["slot"].to_numpy()
-            pdf["position"] = slot * block_rows + rank % block_rows - lacking[np.searchsorted(short_slots, slot)]
-            yield pdf[["doc_id", "row", "key", "block", "slot", "position"]]
-
+    counts = slim.groupBy("key").agg(F.count("*").alias("rows")).repartition(1)
+    slots = kept(counts.mapInPandas(_scheduled(weights, block_rows, period),
+                                    "key string, block long, slot long, start long"), "mix-schedule")
     ranks = ranked(slim, "key", "place", ["place", "doc_id", "row"], "rank", "rows")
-    placed = ranks.select("doc_id", "row", "key", "rank").mapInPandas(
-        place, "doc_id long, row long, key string, block long, slot long, position long")
+    placed = ranks.select("doc_id", "row", "key", F.expr(f"(rank - 1) DIV {block_rows}").alias("block"),
+                          F.expr(f"(rank - 1) % {block_rows}").alias("inside")).join(small(slots), ["key", "block"])
     return placed.select("doc_id", "row", F.expr("substr(nullif(key, ''), 2)").alias("source"),
-                         "block", "slot", "position")
+                         "block", "slot", (F.col("start") + F.col("inside")).alias("position"))
 
 
 def in_mixed_order(documents: DataFrame, weights: Mapping[str, float] | None = None, id_col: str = "doc_id",

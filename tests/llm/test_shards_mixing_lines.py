@@ -79,6 +79,39 @@ def test_mixture_stays_within_a_block(sourced):
     assert min(r.position for r in got if r.source is None) == 1333  # no weight: at the end
 
 
+def test_mixture_follows_irrational_weights_over_many_periods(spark):
+    sizes = {f"s{i}": 3000 + i for i in range(20)} | {"big": 30_000, "rare": 40}
+    weights = {s: n ** 0.5 for s, n in sizes.items()} | {"rare": 0.01}
+    table = None
+    for at, (source, n) in enumerate(sizes.items()):
+        part = spark.range(n).selectExpr(f"id * 100 + {at} AS doc_id", "'' AS text", f"'{source}' AS source")
+        table = part if table is None else table.unionAll(part)
+    got = mixed(table, weights, block_rows=1).select("slot", "source").collect()
+    order = [r.source for r in sorted(got, key=lambda r: r.slot)]
+    assert len(order) == sum(sizes.values()) == len({r.slot for r in got})
+    # The steady flow: shares of those that last, from the first slot to the last.
+    seen, flow, active = Counter(), dict.fromkeys(sizes, 0.0), sum(weights.values())
+    passed, going = 0.0, sorted(sizes, key=lambda s: sizes[s] / weights[s])
+    for slot, source in enumerate(order):
+        seen[source] += 1
+        left = 1.0
+        while going and left > 1e-9:
+            step = min(left / active, sizes[going[0]] / weights[going[0]] - passed)
+            passed += step
+            left -= step * active
+            while going and sizes[going[0]] / weights[going[0]] - passed < 1e-12:
+                active -= weights[going.pop(0)]
+        if slot % 97 == 0:
+            assert all(abs(seen[s] - min(sizes[s], weights[s] * passed)) < 1 + 1e-6 for s in sizes), slot
+
+
+def test_mixture_of_many_sources(spark):
+    table = spark.range(4200).selectExpr("id AS doc_id", "'' AS text", "CAST(id % 1400 AS STRING) AS source")
+    got = mixed(table, block_rows=2).collect()
+    assert sorted(r.position for r in got) == list(range(4200))
+    assert Counter(r.source for r in got if r.slot < 1400).most_common(1)[0][1] == 2
+
+
 def test_mixture_of_odd_rows(sourced):
     odd = [(None, None, None, "s", "p", 1, 2), (1, "", "a", "s", "p", 1, 2), (1, "", "a", "s", "p", 1, 2)]
     assert sorted(r.position for r in mixed(sourced(odd)).collect()) == [0, 1, 2]
