@@ -5,6 +5,10 @@ Each source's rows are put into a seeded random order; a row's fractional rank i
 holds all sources in their proportions, so equal cuts give shards that match the
 mixture. The law is ``rows``: the numbers of rows in two shards differ by one at most.
 
+Rows that come in an order of their own, such as a mixture's, are dealt out in it
+instead (:func:`dealt`): a row's place, found from the files, goes to shard place modulo
+shards. Each shard then follows the order, and the law holds as well.
+
 A hot source is ranked in blocks (:mod:`jobsignals.llm.ranking`), never in one task;
 ranks are computed on ids and sizes, texts are not shuffled for them.
 
@@ -16,10 +20,11 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from jobsignals.llm.ranking import ranked, shuffled_place, with_texts
+from jobsignals.llm.ranking import ranked, shuffled_place, small, with_texts
 from jobsignals.llm.tables import kept, table, text_key
 
 SHARDS = 8
@@ -57,6 +62,33 @@ def sharded(documents: DataFrame, shards: int = SHARDS, seed: int = SEED, id_col
     return with_texts(documents, places.select("doc_id", "row", "shard", "slot"), id_col, text_col)
 
 
+def _with_files(documents: DataFrame) -> DataFrame:
+    """All columns with _file and _at, the row's file and place in it. Rows that are not
+    plainly those of Parquet files are written first, which keeps their order."""
+    file = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")]
+    if documents._jdf.queryExecution().analyzed().children().isEmpty():
+        try:
+            return documents.select("*", *file)
+        except AnalysisException:  # no files, or of another format
+            pass
+    return kept(documents, "shard-order").select("*", *file)
+
+
+def dealt(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
+    """All columns of the documents with shard and slot, the rows dealt out in their
+    order: that of the files by task number and of the rows in them, or else the order
+    in which they would be written. Columns of these names are replaced."""
+    placed = _with_files(documents)
+    files = kept(placed.groupBy("_file").agg(F.count("*").alias("_rows")), "shard-files")
+    order = [F.regexp_extract("_file", "part-([0-9]+)[^/]*$", 1).try_cast("long"), F.col("_file")]
+    before = F.sum("_rows").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    starts = files.select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.col("_at")
+    given = [F.col(f"`{c}`") for c in documents.columns if c not in ("shard", "slot")]
+    return placed.join(small(starts), "_file").select(
+        *given, (place % shards).cast("int").alias("shard"), F.expr(f"(_before + _at) DIV {shards}").alias("slot"))
+
+
 def op7_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interleaved(table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

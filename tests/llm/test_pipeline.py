@@ -4,6 +4,7 @@ from collections import Counter
 
 import corpus_pipeline
 from jobsignals.llm.decontaminate import normal
+from jobsignals.llm.mixing import mixed
 from tests.llm.test_nearcopies import by_force
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -63,3 +64,28 @@ def test_run_and_odd_rows(spark, documents, tmp_path):
     for name in ("documents", "labels", "benchmark"):
         spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{empty}/{name}.parquet")
     assert corpus_pipeline.run(spark, empty).collect() == []
+
+
+def test_mixing_decides_what_shards_hold_first(spark, tmp_path):
+    sizes = {"big": 6400, "mid": 1600, "low": 400}
+    docs = None
+    for at, (source, n) in enumerate(sizes.items()):
+        part = spark.range(n).selectExpr(f"id * 3 + {at} AS doc_id", "concat('text ', id) AS text", f"'{source}' AS source")
+        docs = part if docs is None else docs.unionAll(part)
+    docs.repartition(7).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    stages = dict(corpus_pipeline.STAGES)
+    stages["mixing"](spark, docs, "").write.parquet(str(tmp_path / "mixed"))
+    written = spark.read.parquet(str(tmp_path / "mixed"))
+    position = {r.doc_id: r.position for r in mixed(docs).collect()}
+    for given in (written, stages["mixing"](spark, docs, "")):
+        rows = stages["sharding"](spark, given, "").collect()
+        assert {r.doc_id: r.slot * 8 + r.shard for r in rows} == position
+    # Square roots 80 : 40 : 20, until "low" runs out after some 400 * 7 rows; a shard
+    # takes 8 rows of a block.
+    for shard in range(8):
+        first = sorted((r.slot, r.source) for r in rows if r.shard == shard)[:320]
+        shares = Counter(s for _, s in first)
+        assert all(abs(shares[s] - 320 * w) <= 8 for s, w in (("big", 4 / 7), ("mid", 2 / 7), ("low", 1 / 7)))
+    alone = {r.doc_id: r.slot * 8 + r.shard for r in stages["sharding"](spark, docs, "").collect()}
+    assert sorted(alone.values()) == list(range(8400)) and alone != position
