@@ -13,15 +13,14 @@ Linked documents then share a shingle among their first n - ceil(0.8 n) + 1 (pre
 3. *Filter*: the lists that remain name candidates. Sizes must fit, and parity
    bitmaps bound the difference of two sets from below: 9 popcount(x xor y) <= n + m
    holds for every linked pair. Groups are expanded to their classes here.
-4. *Verify*. Candidate pairs are compared by their whole sets. A list with many
-   candidates for its length proposes only a spanning forest of the closest ones, and
-   is looked at again: each member's candidates in other components are compared, the
-   closest first, a few in the first look and sixteen times as many in each further one,
-   until none is left. No pair that could join two components is left out.
+4. *Verify*. All candidate pairs are compared by their whole sets: the join's links
+   (:meth:`NearCopies.pairs`), from which the components follow. Lists with many
+   candidates for their length are dealt out to tasks anew, in pairs of slices of
+   ``DENSE_ROWS``, and give their candidates in batches.
 
-A group of copies costs one posting per task and shingle, a group of near copies
-about one comparison per member. Lists longer than ``LIST_ROWS`` are dealt out to
-tasks in pairs of slices. Components are found in tables, not on the driver.
+A group of copies costs one posting per task and shingle, and one class in the pairs. The
+links of a group of differing near copies grow with the square of its size, and so do
+the candidates. Components are found in tables, not on the driver.
 
 Defined results: documents without words or text (NULL, empty) have no shingles and
 are their own component; a component's id is its least doc_id, NULL only if all are
@@ -49,6 +48,8 @@ SLOT_BITS = 18
 #: Part of a set, least hashes first, that is counted; a little over the prefix.
 COUNTED = 0.3
 LIST_ROWS = 20_000
+#: Rows of a slice of a dense list, whose candidate pairs go with the square.
+DENSE_ROWS = 2_000
 BLOCK = 1024
 #: Documents up to which the ids to compare are sent to all tasks (16 bytes each).
 BROADCAST_IDS = 1_000_000
@@ -239,26 +240,6 @@ class _Bits:
         return others[close], bounds[close]
 
 
-def _forest(sizes: np.ndarray, bits: list[bytes]) -> list[tuple[int, int]]:
-    """A spanning forest of the candidate pairs, closest pairs first (Prim)."""
-    members = _Bits(sizes, bits)
-    far = np.iinfo(np.int64).max
-    waiting = np.ones(len(sizes), bool)
-    distance, parent = np.full(len(sizes), far), np.full(len(sizes), -1)
-    pairs = []
-    for _ in range(len(sizes)):
-        at = int(np.argmin(np.where(waiting, distance, far)))
-        if not waiting[at]:
-            at = int(np.argmax(waiting))
-        elif distance[at] < far:
-            pairs.append((int(parent[at]), at))
-        waiting[at] = False
-        others, bounds = members.near(at, np.flatnonzero(waiting))
-        better = bounds < distance[others]
-        distance[others[better]], parent[others[better]] = bounds[better], at
-    return pairs
-
-
 def _lists(batches: Iterator[pa.RecordBatch], key: tuple[str, ...], columns: tuple[str, ...], block: int | None):
     """Rows of one list after another, in blocks of up to ``block`` rows."""
     at, held = None, []
@@ -303,25 +284,24 @@ def _halves(width: int, least: int) -> Iterator[int]:
         yield width
 
 
-def _dense(sizes: np.ndarray, bits: list[bytes], most: int) -> tuple[list[tuple[int, int]], bool]:
-    """All candidate pairs of a list or, if they are more than ``most``, a forest of them
-    and True."""
+def _few(sizes: np.ndarray, bits: list[bytes], most: int) -> list[tuple[int, int]] | None:
+    """All candidate pairs of a list, or None if they are more than ``most``."""
     members = _Bits(sizes, bits)
     pairs: list[tuple[int, int]] = []
     numbers = np.arange(len(sizes))
     for at in range(len(sizes) - 1):
         pairs += [(at, other) for other in members.near(at, numbers[at + 1 :])[0].tolist()]
         if len(pairs) > most:
-            return _forest(sizes, bits), True
-    return pairs, False
+            return None
+    return pairs
 
 
-#: A list emits at most so many candidate pairs per member; a denser one is seen again.
+#: A list with more candidate pairs per member is dealt out anew.
 PAIRS_PER_MEMBER = 4
 
 
 def _closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of each list; of dense or long lists a forest and the list's token."""
+    """Candidate pairs of each list; of dense or long lists the token."""
     out: list[tuple[int, int]] = []
     again: list[int] = []
 
@@ -338,63 +318,36 @@ def _closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for (token,), rows in _lists(batches, ("token",), ("node", "n", "bits"), BLOCK):
         nodes, sizes, bits = (list(c) for c in zip(*rows))
         if len(rows) <= 6:
-            pairs, dense = _near_pairs(sizes, bits), False
+            pairs = _near_pairs(sizes, bits)
+        elif len(rows) == BLOCK:
+            pairs = None
         else:
-            pairs, dense = _dense(np.array(sizes), bits, PAIRS_PER_MEMBER * len(rows))
-        if dense or len(rows) == BLOCK or token == last:  # other blocks of the list were not compared
+            pairs = _few(np.array(sizes), bits, PAIRS_PER_MEMBER * len(rows))
+        if pairs is None or token == last:  # other blocks of the list were not compared
             again.append(token)
+        else:
+            out += [(nodes[i], nodes[j]) for i, j in pairs]
         last = token
-        out += [(nodes[i], nodes[j]) for i, j in pairs]
         if len(out) > 50_000:
             yield rows_of(again, out)
             out, again = [], []
     yield rows_of(again, out)
 
 
-#: Partners per member that the first look at dense lists compares; each further look
-#: compares sixteen times as many.
-FIRST_PARTNERS = 8
-
-
-def _across(first: int, last: int):
-    """Of each list's member the candidates at ranks ``first`` to ``last`` by closeness, if
-    they are in another component. The order of candidates does not depend on components,
-    so further looks with further ranks miss none. Where such candidates are left behind
-    ``last``, the list's token is given too."""
-
-    def rows_of(pairs: list[tuple[int, int]], tokens: list[int]) -> pa.RecordBatch:
-        batch = _pairs_batch(pairs)
-        return pa.RecordBatch.from_arrays([
-            pa.concat_arrays([batch.column(0), pa.nulls(len(tokens), pa.int64())]),
-            pa.concat_arrays([batch.column(1), pa.nulls(len(tokens), pa.int64())]),
-            pa.concat_arrays([pa.nulls(batch.num_rows, pa.int64()), pa.array(tokens, pa.int64())]),
-        ], names=["a", "b", "token"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int]] = []
-        left: list[int] = []
-        for key, rows in _lists(batches, ("token", "i", "j"), ("node", "n", "bits", "component", "slice"), None):
-            component = np.array([r[3] for r in rows])
-            if (component == component[0]).all():
-                continue
-            nodes, slices = np.array([r[0] for r in rows]), np.array([r[4] for r in rows])
-            members = _Bits(np.array([r[1] for r in rows]), [r[2] for r in rows])
-            numbers = np.arange(len(rows))
-            more = False
-            for at in range(len(rows)):
-                others, bounds = members.near(at, numbers if key[1] == key[2] else numbers[slices != slices[at]])
-                others = others[np.lexsort((nodes[others], bounds))]
-                apart = component[others] != component[at]
-                out += [(int(nodes[at]), int(y)) for y in nodes[others[first:last][apart[first:last]]]]
-                more = more or bool(apart[last:].any())
-            if more:
-                left.append(key[0])
+def _among(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All candidate pairs of each pair of slices, or of members of one slice."""
+    out: list[tuple[int, int]] = []
+    for (_, i, j), rows in _lists(batches, ("token", "i", "j"), ("node", "n", "bits", "slice"), None):
+        nodes, slices = np.array([r[0] for r in rows]), np.array([r[3] for r in rows])
+        members = _Bits(np.array([r[1] for r in rows]), [r[2] for r in rows])
+        numbers = np.arange(len(rows))
+        for at in range(len(rows) - 1):
+            others = numbers[at + 1 :] if i == j else numbers[at + 1 :][slices[at + 1 :] != slices[at]]
+            out += [(int(nodes[at]), int(y)) for y in nodes[members.near(at, others)[0]]]
             if len(out) > 50_000:
-                yield rows_of(out, left)
-                out, left = [], []
-        yield rows_of(out, left)
-
-    return run
+                yield _pairs_batch(out)
+                out = []
+    yield _pairs_batch(out)
 
 
 def _sets(words: int):
@@ -421,11 +374,12 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 class NearCopies:
-    """The join on one table; :meth:`documents` gives its result."""
+    """The join on one table: :meth:`pairs` gives its links, :meth:`documents` the components."""
 
     def __init__(self, documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  words: int = WORDS, list_rows: int = LIST_ROWS, broadcast_ids: int = BROADCAST_IDS) -> None:
         self.words, self.list_rows, self.broadcast_ids = words, list_rows, broadcast_ids
+        self._links: DataFrame | None = None
         self.texts = documents.select(
             F.col(id_col).cast("long").alias("doc_id"), text_key(F.col(text_col)).alias("row"),
             F.col(text_col).alias("text"))
@@ -470,45 +424,45 @@ class NearCopies:
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
             .mapInArrow(_linked, "a long, b long"))
 
-    def links(self) -> tuple[DataFrame, DataFrame]:
-        """Linked pairs of classes that connect all components, and the components."""
+    def candidates(self) -> DataFrame:
+        """All pairs of classes that share a prefix shingle and pass the filter."""
         members = kept(self.members(), "members")
         closest = kept(members.repartition("token").sortWithinPartitions("token", "n", "node")
                        .mapInArrow(_closest, "a long, b long, token long").distinct(), "candidates")
-        links = kept(self.verified(closest.where("token IS NULL").select("a", "b")), "verified")
-        labels = components(links)
+        few = closest.where("token IS NULL").select("a", "b")
         dense = closest.where("token IS NOT NULL").select("token")
         if dense.isEmpty():
-            return links, labels
+            return few
         members = kept(members.join(dense, "token", "left_semi"), "members")
+        rows = min(self.list_rows, DENSE_ROWS)
         sizes = members.groupBy("token").count().select(
-            "token", F.ceil(F.col("count") / self.list_rows).cast("int").alias("slices"))
-        first, last = 0, FIRST_PARTNERS
-        while True:
-            dealt = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-            dealt = dealt.join(sizes, "token").withColumn("slice", F.pmod(F.xxhash64("node"), "slices").cast("int"))
-            dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
-            dealt = dealt.select("token", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"),
-                                 "slice", "node", "n", "bits", "component")
-            across = kept(dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node")
-                          .mapInArrow(_across(first, last), "a long, b long, token long").distinct(), "candidates")
-            pairs = across.where("token IS NULL").select("a", "b")
-            if not pairs.isEmpty():
-                found = kept(self.verified(pairs), "verified")
-                links = links.unionAll(found)
-                # The stars found so far stand for all links before.
-                stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-                labels = components(stars.unionAll(found))
-            left = across.where("token IS NOT NULL").select("token")
-            if left.isEmpty():
-                return links, labels
-            members = kept(members.join(left, "token", "left_semi"), "members")
-            first, last = last, 17 * last
+            "token", F.ceil(F.col("count") / rows).cast("int").alias("slices"))
+        dealt = members.join(sizes, "token").withColumn("slice", F.pmod(F.xxhash64("node"), "slices").cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+        dealt = dealt.select("token", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"),
+                             "slice", "node", "n", "bits")
+        among = (dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node")
+                 .mapInArrow(_among, "a long, b long"))
+        return kept(few.unionAll(among).distinct(), "candidates")
+
+    def links(self) -> DataFrame:
+        """All linked pairs of classes, each once: a, b."""
+        if self._links is None:
+            self._links = kept(self.verified(self.candidates()), "verified")
+        return self._links
+
+    def pairs(self) -> DataFrame:
+        """The join's result: all linked pairs of class representatives, the rows least by
+        id and text key among those of equal sets: a_id, a_row, b_id, b_row."""
+        place = self.classes.select("node", "place.doc_id", "place.row")
+        return (
+            self.links().join(place.toDF("a", "a_id", "a_row"), "a").join(place.toDF("b", "b_id", "b_row"), "b")
+            .select("a_id", "a_row", "b_id", "b_row"))
 
     def documents(self) -> DataFrame:
         """One row per document: doc_id, row (text key), n_shingles, component_id and
         stays, true for the component's first document by id and text key."""
-        _, labels = self.links()
+        labels = components(self.links())
         known = self.classes.select("set1", "set2", "node", "place").join(labels, "node", "left")
         known = kept(known.withColumn("component", F.coalesce("component", "node")), "known")
         first = known.groupBy("component").agg(F.min("place").alias("first"))

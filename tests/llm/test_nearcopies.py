@@ -97,3 +97,26 @@ def test_query_equals_all_comparisons(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = sorted((tuple(r) for r in op5_grouped_prefix_join(spark, sf_dir).collect()), key=str)
     assert got == by_force(rows)
+
+
+@pytest.mark.parametrize("list_rows", [20_000, 9])
+def test_all_links_of_a_dense_group(documents, list_rows):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(50):
+        words = list(base)
+        words[rng.randrange(120)] = f"own{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(100, rows[0][1]), (101, rows[0][1])] + [(200 + d, t) for d, t in sample(4, 40)]
+    least = {}
+    for doc, text in sorted(rows):
+        if shingles(text):
+            least.setdefault(frozenset(shingles(text)), doc)
+    want = {tuple(sorted((a, b))) for x, a in least.items() for y, b in least.items()
+            if a != b and 100 * len(x & y) >= 80 * len(x | y)}
+    assert len(want) > 50 * 4
+    join = NearCopies(documents(rows).repartition(3), list_rows=list_rows)
+    got = [(min(r.a_id, r.b_id), max(r.a_id, r.b_id)) for r in join.pairs().collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert found(join) == by_force(rows)
