@@ -1,6 +1,6 @@
 """Nearest neighbours by a permutation index.
 
-A bounded sample of vectors serves as pivots. Each vector is represented by its
+A bounded sample of the different vectors serves as pivots, however often each occurs. Each vector is represented by its
 ``prefix`` nearest pivots in their order; this is written for every row. A slice of the
 index posts its rows in inverted files, one list per pivot of (row, place). A query adds
 up, over the lists of its own nearest pivots, how much less than the worst the places
@@ -50,12 +50,13 @@ def usable(vector: Column) -> Column:
     return F.coalesce(finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def _pivots(vectors: DataFrame, rows: int, pivots: int) -> np.ndarray:
-    """Up to ``pivots`` different vectors, picked by a hash of their content."""
-    part = max(1, rows // (8 * pivots))
-    key = F.xxhash64("vector", F.lit(SEED))
-    sample = vectors.withColumn("key", key).where(F.pmod("key", F.lit(part)) == 0)
-    found = sample.groupBy("key").agg(F.first("vector").alias("vector")).orderBy("key").limit(pivots).collect()
+def _pivots(vectors: DataFrame, pivots: int) -> np.ndarray:
+    """Up to ``pivots`` different vectors, those with the least hashes of their content.
+    However many copies a vector has, it counts once."""
+    content = vectors.select(F.transform("vector", lambda x: x + F.lit(0.0)).alias("vector"))  # -0.0 is 0.0
+    least = content.select(F.xxhash64("vector", F.lit(SEED)).alias("key")).distinct().orderBy("key").limit(pivots)
+    keyed = content.withColumn("key", F.xxhash64("vector", F.lit(SEED))).join(F.broadcast(least), "key")
+    found = keyed.groupBy("key").agg(F.min("vector").alias("vector")).orderBy("key").collect()
     return np.array([r["vector"] for r in found], dtype=np.float64)
 
 
@@ -153,7 +154,7 @@ def nearest(embeddings: DataFrame, is_query, k: int = 20, id_col: str = "vec_id"
     vectors = vectors.where(F.size("vector") == dimension).withColumn("uid", F.monotonically_increasing_id())
     squared = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
     longest = vectors.agg(F.max(F.sqrt(squared))).first()[0]
-    chosen = _pivots(vectors, rows, pivots)
+    chosen = _pivots(vectors, pivots)
     prefix = min(prefix, len(chosen))
     index = kept(vectors.mapInArrow(_indexed(chosen, longest, prefix, is_query), INDEXED), "permutations")
 

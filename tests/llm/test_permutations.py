@@ -58,3 +58,32 @@ def test_odd_vectors(spark):
     assert [r.vec_id for r in sorted((r for r in got if r.query_id == 20), key=lambda r: r["rank"])] == [0, 0, 8]
     assert nearest(table.where("vec_id = 1"), lambda i: True).collect() == []
     assert nearest(table.limit(0), lambda i: True).collect() == []
+
+
+def copies(n, distinct):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(distinct, 16)) * rng.uniform(0.8, 1.2, size=(distinct, 1))
+    # One vector's copies fill all rows but those of the others.
+    return [(i, x[i if i < distinct else 0].tolist()) for i in range(n)], x
+
+
+def test_recall_on_copies_in_whole_slices(spark):
+    rows, x = copies(40_000, 4000)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    asked = set(range(0, 2000, 20))
+    found = {}
+    for r in nearest(table, lambda i: i in asked).collect():
+        found.setdefault(r.query_id, []).append(r.score)
+    hits = 0
+    for q in asked:
+        scores = x @ x[q]
+        every = np.sort(np.concatenate((np.delete(scores, q), np.repeat(scores[0], 36_000))))[::-1][:20]
+        hits += sum(s >= every[-1] - 1e-9 for s in found[q])
+    assert hits / (20 * len(asked)) >= 0.9
+
+
+def test_one_vector_over_and_over(spark):
+    for first in (0.25, 0.75, 3.0):
+        table = spark.range(50_000).selectExpr("id AS vec_id", f"array({first}D, 2.0D) AS embedding")
+        got = nearest(table, lambda i: i == 40, k=3).collect()
+        assert sorted((r["rank"], r.score) for r in got) == [(n, first ** 2 + 4) for n in (1, 2, 3)]
