@@ -7,6 +7,8 @@
     links   --input /data/listings.parquet --output /data/links
     publish --input /data/pages.parquet --servers broker:9092
     compact --output /data/store
+    vacuum  --output /data/store
+    refresh --input /data/store --output /data/counts
     report  --input /data/index --format parquet --output /data/report
 
 Topics are read from and written to Kafka when ``--servers`` is given, otherwise
@@ -26,7 +28,7 @@ from jobsignals import schemas
 from jobsignals.operators import pages, postings, terms
 from jobsignals.session import get_spark
 from jobsignals.sources import tables, topics
-from jobsignals.streaming import jobs, store as store_files
+from jobsignals.streaming import counts, jobs, store as store_files
 
 
 def clean(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -87,6 +89,16 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
     store_files.compact(spark, args.output, schemas.EXTRACTED)
 
 
+def vacuum(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Delete files of a keyed store that no version of the last week uses."""
+    print(store_files.vacuum(spark, args.output))
+
+
+def refresh(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Bring the counts of knowledge terms up to a keyed store's last version."""
+    counts.refresh_counts(spark, args.output, args.input, schemas.EXTRACTED, "knowledges", "Knowledge")
+
+
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
     """Posting records of crawled pages (``url``, ``html``) to a topic."""
     messages = postings.to_messages(pages.page_postings(spark.read.parquet(args.input)))
@@ -100,13 +112,13 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
     """Knowledge terms and categories by frequency, as JSON."""
     source = spark.read.format(args.format).options(**dict(args.option)).load(args.input)
     # Counted once; the categories are summed from the small table written.
-    counts = terms.count_terms(source, "knowledges")
-    tables.write_json(counts, f"{args.output}/knowledge")
-    written = spark.read.schema(counts.schema).json(f"{args.output}/knowledge")
+    found = terms.count_terms(source, "knowledges")
+    tables.write_json(found, f"{args.output}/knowledge")
+    written = spark.read.schema(found.schema).json(f"{args.output}/knowledge")
     tables.write_json(terms.count_categories(written), f"{args.output}/category")
 
 
-JOBS = {f.__name__: f for f in (links, publish, land, clean, extract, store, compact, report)}
+JOBS = {f.__name__: f for f in (links, publish, land, clean, extract, store, compact, vacuum, refresh, report)}
 
 
 def _pair(text: str) -> tuple[str, str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from jobsignals import schemas
 from jobsignals.functions import extractors as ex
@@ -24,7 +24,8 @@ from jobsignals.plans.inputs import (
 from jobsignals.session import shared_folder
 from jobsignals.sources import tables, topics
 from jobsignals.streaming import jobs
-from jobsignals.streaming.store import compact, latest_per_key, read_store
+from jobsignals.streaming.counts import read_counts, refresh_counts
+from jobsignals.streaming.store import compact, latest_per_key, read_store, upsert_batch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -287,7 +288,7 @@ def _topic(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """The postings as a topic of several text files, in the order of their parts: half of
     them first with another name, then all with their own."""
     rows = postings(spark, sf_dir)
-    old = rows.filter("CAST(id AS BIGINT) % 2 = 0").withColumn("name", F.lit("before"))
+    old = rows.where(_half("id") == 0).withColumn("name", F.lit("before"))
     for part, frame in enumerate((old, rows)):
         topics.publish(po.to_messages(frame.repartition(2, "id")), {}, "text", f"{folder}/part={part}")
     return folder
@@ -321,21 +322,43 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_per_key(table(spark, sf_dir, "events"), ["user_id"], newest)
 
 
+def _half(name: str) -> Column:
+    """0 or 1 for any value of a column, NULL included."""
+    return F.pmod(F.coalesce(F.hash(F.col(name).cast("string")), F.lit(0)), F.lit(2))
+
+
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events in several files, two streams on one store, compacted in between."""
+    """Events in several files, two streams on one store at the same time, which is
+    compacted meanwhile."""
     folder = shared_folder(spark, "upsert")
     events = table(spark, sf_dir, "events")
+    queries = []
     for half in (0, 1):
-        events.filter(f"event_id % 2 = {half}").repartition(3, "event_id").write.parquet(f"{folder}/events/half={half}")
+        part = f"{folder}/events/half={half}"
+        events.where(_half("event_id") == half).repartition(3, "event_id").write.parquet(part)
     for half in (0, 1):
-        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(
-            f"{folder}/events/half={half}")
-        jobs.upsert_stream(stream, f"{folder}/checkpoint-{half}", f"{folder}/data", key="user_id",
-                           newest=["ts", "event_id"], once=ONCE).awaitTermination()
+        stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/events/half={half}")
+        queries.append(jobs.upsert_stream(stream, f"{folder}/checkpoint-{half}", f"{folder}/data", key="user_id",
+                                          newest=["ts", "event_id"], once=ONCE))
+    while any(q.isActive for q in queries):
         compact(spark, f"{folder}/data", events.schema, "user_id")
+    jobs.await_all(queries)
     return read_store(spark, f"{folder}/data", events.schema, "user_id")
 
 
+def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts kept up to date over three batches of a store: half of the postings under
+    another text, all of them as they are, and half of them once more."""
+    folder = shared_folder(spark, "counts")
+    rows = postings(spark, sf_dir)
+    half = rows.where(_half("id") == 0)
+    write = upsert_batch(f"{folder}/store")
+    for number, batch in enumerate((half.withColumn("mo_ta_cong_viec", F.lit("Docker, SQL và Java")), rows, half)):
+        write(po.extract(batch), number)
+        refresh_counts(spark, f"{folder}/counts", f"{folder}/store", schemas.EXTRACTED, "knowledges", "Knowledge")
+    return read_counts(spark, f"{folder}/counts", "Knowledge")
+
+
 def stream_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Published messages, read as a stream from the earliest on, landed and read."""
     folder = shared_folder(spark, "topic")
@@ -350,7 +373,7 @@ def stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = shared_folder(spark, "resume")
     rows = postings(spark, sf_dir)
     for part in (0, 1):
-        messages = po.to_messages(rows.filter(f"CAST(id AS BIGINT) % 2 = {part}"))
+        messages = po.to_messages(rows.where(_half("id") == part))
         topics.publish(messages, {}, "text", f"{folder}/topic")
         stream = topics.read_stream(spark, {}, "text", path=f"{folder}/topic")
         jobs.land(stream, f"{folder}/data", f"{folder}/checkpoint", once=ONCE).awaitTermination()
@@ -419,6 +442,7 @@ QUERIES: dict[str, Query] = {
     "stream_raw_store": stream_raw_store,
     "upsert_latest": upsert_latest,
     "stream_upsert": stream_upsert,
+    "stream_counts": stream_counts,
     "stream_topic": stream_topic,
     "stream_resume": stream_resume,
     "listing_urls": listing_urls,

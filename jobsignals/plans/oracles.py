@@ -387,6 +387,7 @@ ORACLES: dict[str, str] = {
                                           " quyen_loi, cach_thuc_ung_tuyen FROM postings",
     "upsert_latest": LATEST,
     "stream_upsert": LATEST,
+    "stream_counts": _counts(m.KNOWLEDGES, "Knowledge"),
     "stream_topic": ALL_POSTINGS,
     "stream_resume": ALL_POSTINGS,
     "listing_urls": f"SELECT page_id AS page, {_listing(FIRST_LISTING)} AS url FROM (SELECT"
