@@ -31,6 +31,11 @@ _VALUE = r"""=\s*+(?:"[^"]*+"|'[^']*+'|[^\s<>"'][^\s<>]*+)?+"""
 _REST = rf"(?:[^<>=]++|{_VALUE})*+>"
 
 
+def tag_rest() -> str:
+    """Expression for what follows a tag's name, up to and with its end."""
+    return _REST
+
+
 def _before(name: str) -> str:
     return rf"(?:[^<>=\s/]++|[\s/]++(?!(?i:{name})[\s=/>])|{_VALUE})*+[\s/]++(?i:{name})\s*+=\s*+"
 
@@ -83,11 +88,6 @@ def _depths(parts: Column, tag: str) -> Column:
     return F.aggregate(parts, F.struct(F.lit(1).alias("depth"), F.lit(0).alias("kept")), step)
 
 
-def _closes(text: Column, tag: str) -> Column:
-    """Whether the element that the text starts in ends in it."""
-    return let(_pieces(text, tag), lambda parts: _depths(parts, tag)["depth"] == 0)
-
-
 def _up_to_close(text: Column, tag: str) -> Column:
     """The part of ``text`` before the end tag of the element it starts in."""
     if tag in FLAT_TAGS:
@@ -103,27 +103,90 @@ def first_inner(html: Column, step: str) -> Column:
     return let(rest, lambda r: F.when(r.isNotNull(), _up_to_close(r, tag)))
 
 
+def _levels(parts: Column, tag: str) -> Column:
+    """Start and end tags among the pieces, as (level, at, ends) in this order: a start tag
+    and its end tag have one level and stand side by side. End tags without an element are
+    left out.
+
+    An array grows by copying it, so a fold that keeps one number per piece takes blocks of
+    about the square root of the pieces: first how each block changes the depth, then the
+    depth at its start, then the levels inside.
+    """
+    none = F.array().cast("array<int>")
+
+    def below(depth: Column, sign: Column) -> Column:
+        return F.greatest(depth + sign, F.lit(0))
+
+    def change(block: Column) -> Column:
+        # What is added to the depth, and the least on the way.
+        start = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("low"))
+        return F.aggregate(block, start, lambda s, sign: F.struct(
+            (s["sum"] + sign).alias("sum"), F.least(s["low"], s["sum"] + sign).alias("low")))
+
+    def starts(changes: Column) -> Column:
+        def step(depths: Column, c: Column) -> Column:
+            depth = F.element_at(depths, -1)
+            return F.concat(depths, F.array(depth + c["sum"] - F.least(F.lit(0), depth + c["low"])))
+
+        return F.aggregate(changes, F.array(F.lit(0)), step)
+
+    def inside(block: Column, depth: Column) -> Column:
+        start = F.struct(depth.alias("depth"), none.alias("levels"))
+        return F.aggregate(block, start, lambda s, sign: F.struct(
+            below(s["depth"], sign).alias("depth"),
+            F.concat(s["levels"], F.array(F.greatest(s["depth"], s["depth"] + sign))).alias("levels")))["levels"]
+
+    def levels(signs: Column) -> Column:
+        size = F.ceil(F.sqrt(F.size(signs))).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), F.ceil(F.size(signs) / size).cast("int") - 1),
+                             lambda b: F.slice(signs, b * size + 1, size))
+        whole = let(blocks, lambda bs: let(starts(F.transform(bs, change)), lambda ds: F.flatten(
+            F.transform(bs, lambda block, i: inside(block, F.get(ds, i))))))
+        placed = let(whole, lambda all_levels: F.transform(signs, lambda sign, i: F.struct(
+            F.get(all_levels, i).alias("level"), i.alias("at"), (sign < 0).alias("ends"))))
+        return F.array_sort(F.filter(placed, lambda t: t["level"] > 0))
+
+    # The first piece may be text before any tag.
+    signs = F.transform(parts, lambda p: F.when(p.rlike(rf"^</(?i:{tag})[\s/>]"), F.lit(-1))
+                        .when(p.rlike(rf"^<(?i:{tag})[\s/>]"), F.lit(1)).otherwise(F.lit(0)))
+    return let(signs, levels)
+
+
 def all_inner(html: Column, step: str) -> Column:
     """Markup inside each element of this kind, also of those inside another one. An
-    element left open is read up to the next of its kind."""
+    element left open is read up to the next of its kind. A page is cut once, and its
+    tags are matched by sorting them."""
     tag = step.split(".")[0]
-    end = rf"</(?i:{tag})[\s/>]"
+    opening = open_tag(step)
 
-    def inside(page: Column) -> Column:
+    def flat(page: Column) -> Column:
         # Cut in front of each opening tag; what stands before the first one is left out.
-        pieces = F.filter(F.split(page, f"(?={open_tag(step)})", -1), lambda p: p.rlike("^" + open_tag(step)))
-
-        def content(all_pieces: Column, own: Column, at: Column) -> Column:
-            short = F.get(F.split(own, open_tag(step), 2), F.lit(1))
-            if tag in FLAT_TAGS:
-                return _up_to_close(short, tag)
-            # Closed before the next of its kind, or holding it: then the pieces after it count.
-            rest = F.concat(short, F.array_join(F.slice(all_pieces, at + 2, F.size(all_pieces)), ""))
-            whole = let(rest, lambda r: F.when(_closes(r, tag), _up_to_close(r, tag)))
-            return let(short, lambda s: F.when(_closes(s, tag), _up_to_close(s, tag))
-                       .otherwise(F.coalesce(F.when(page.rlike(end), whole), s)))
-
-        return let(pieces, lambda ps: F.transform(ps, lambda p, i: content(ps, p, i)))
+        pieces = F.filter(F.split(page, f"(?={opening})", -1), lambda p: p.rlike("^" + opening))
+        return F.transform(pieces, lambda p: _up_to_close(F.get(F.split(p, opening, 2), F.lit(1)), tag))
+
+    def nested(parts: Column) -> Column:
+        def elements(tags: Column) -> Column:
+            def element(t: Column, i: Column) -> Column:
+                after = F.get(tags, i + 1)
+                closed = after["ends"] & (after["level"] == t["level"])
+                return F.struct(t["at"].alias("at"), F.when(closed, after["at"]).alias("end"), t["ends"].alias("ends"))
+
+            own = F.filter(F.transform(tags, element), lambda e: ~e["ends"] & F.get(parts, e["at"]).rlike("^" + opening))
+            return F.array_sort(own)
+
+        def contents(found: Column) -> Column:
+            def content(e: Column, i: Column) -> Column:
+                end = F.coalesce(e["end"], F.get(found, i + 1)["at"], F.size(parts))
+                first = F.get(F.split(F.get(parts, e["at"]), opening, 2), F.lit(1))
+                return F.concat(first, F.array_join(F.slice(parts, e["at"] + 2, end - e["at"] - 1), ""))
+
+            return F.transform(found, content)
+
+        return let(let(_levels(parts, tag), elements), contents)
+
+    def inside(page: Column) -> Column:
+        found = flat(page) if tag in FLAT_TAGS else let(_pieces(page, tag), nested)
+        return F.when(page.isNotNull(), F.when(page.rlike(opening), found).otherwise(F.array().cast("array<string>")))
 
     return let(html, inside)
 

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from jobsignals.functions import html as h
+from jobsignals.functions import selectors as sel
 from jobsignals.functions import text as t
 from jobsignals.functions.binding import with_columns_once
 
@@ -44,6 +47,53 @@ def listing_urls(spark: SparkSession, first: int, last: int, template: str = LIS
     )
 
 
+#: Characters of markup in one batch of selected elements.
+SELECTED_CHARS = 8 << 20
+
+
+def select_elements(pages: DataFrame, selectors: Mapping[str, str], keep: Sequence[str] = ("url",),
+                    html_col: str = "html") -> DataFrame:
+    """One row per element that a selector finds in a page: the columns ``keep``, ``name`` of
+    the selector, ``nth`` (from 1, by name and page), ``tag``, ``attributes`` and ``html``, the markup inside.
+
+    For what the columns of ``functions.html`` do not express: steps of any depth, children,
+    attributes, places. Each page is read once for all selectors; pages are mapped where they
+    lie. A NULL page has no elements.
+    """
+    names, texts = list(selectors), tuple(selectors.values())
+    for text in texts:
+        sel.steps(text)  # a wrong selector fails here and not in a task
+    kept = list(keep)
+    rows = pages.select(*[F.col(c) for c in kept], F.col(html_col).cast("string").alias("page__html"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, size = [], 0
+            for row in range(batch.num_rows):
+                page = batch.column(len(kept))[row].as_py() or ""
+                counts = [0] * len(names)
+                for e in sel.elements(page, texts):
+                    counts[e.selector] += 1
+                    held.append((row, names[e.selector], counts[e.selector], e.tag, list(e.attributes.items()), page[e.start:e.end]))
+                    size += e.end - e.start
+                    if size > SELECTED_CHARS:
+                        yield packed(batch, held)
+                        held, size = [], 0
+            if held:
+                yield packed(batch, held)
+
+    def packed(batch: pa.RecordBatch, held: list[tuple]) -> pa.RecordBatch:
+        row, name, nth, tag, attributes, html = zip(*held)
+        same = [batch.column(i).take(pa.array(row)) for i in range(len(kept))]
+        return pa.RecordBatch.from_arrays(
+            [*same, pa.array(name), pa.array(nth, pa.int32()), pa.array(tag),
+             pa.array(attributes, pa.map_(pa.string(), pa.string())), pa.array(html)],
+            names=[*kept, "name", "nth", "tag", "attributes", "html"])
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema[: len(kept)])
+    return rows.mapInArrow(run, f"{fields}, name string, nth int, tag string, attributes map<string,string>, html string")
+
+
 def page_links(pages: DataFrame, selectors: Selectors = Selectors()) -> DataFrame:
     """``(url, link)``: one row per link inside a listing entry, in full form."""
     entries = h.all_inner(h.visible_markup(F.col("html")), selectors.listing)

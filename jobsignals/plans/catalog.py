@@ -220,6 +220,13 @@ def page_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pg.page_fields(table(spark, sf_dir, "pages"), NAV)
 
 
+def page_select(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elements by selectors with children, places and attributes, on pages with open elements."""
+    found = pg.select_elements(table(spark, sf_dir, "pages"), {
+        "second": "nav > ul > li:nth-child(2) > a[href^='/']", "paragraph": "article p", "ad": "body div.ad"})
+    return found.select("url", "name", "nth", "tag", F.col("attributes")["href"].alias("href"), "html")
+
+
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select(
         "page_id", h.visible_text(h.visible_markup(F.col("html"))).alias("text")
@@ -428,6 +435,7 @@ QUERIES: dict[str, Query] = {
     "page_urls": page_urls,
     "page_links": page_links,
     "page_fields": page_fields,
+    "page_select": page_select,
     "page_text": page_text,
     "job_links": job_links,
     "page_postings": page_postings,

@@ -254,6 +254,20 @@ PAGE_FIELDS = _with(
     f" CASE WHEN has_art THEN {_text('art')} END AS description FROM blocks"
 )
 
+PAGE_SELECT = _with(
+    ("seen", f"SELECT url, {_shown('html')} AS html FROM pages"),
+    ("cut", "SELECT url, regexp_extract_all(regexp_extract(html, '(?is)<nav>(.*?)</nav>', 1), '(?is)<li>(.*?)</li>', 1)[2] AS item,"
+            " regexp_extract_all(html, '(?is)<div class=\"ad\">(.*?)</div>', 1) AS ads,"
+            " string_split_regex(regexp_extract(html, '(?is)<article>(.*?)</article>', 1), '<p>')[2:] AS parts FROM seen"),
+    ("numbered", "SELECT *, unnest(range(1, 1 + greatest(len(ads), len(parts)))) AS i FROM cut"),
+) + (
+    "SELECT url, 'second' AS name, 1::INTEGER AS nth, 'a' AS tag, regexp_extract(item, 'href=\"([^\"]*)\"', 1) AS href,"
+    " regexp_extract(item, '(?is)<a[^>]*>(.*?)</a>', 1) AS html FROM cut WHERE item IS NOT NULL"
+    " UNION ALL SELECT url, 'ad', i::INTEGER, 'div', NULL, ads[i] FROM numbered WHERE i <= len(ads)"
+    " UNION ALL SELECT url, 'paragraph', i::INTEGER, 'p', NULL, regexp_extract(parts[i], '(?s)^(.*?)(?:</p>|\\z)', 1)"
+    " FROM numbered WHERE i <= len(parts)"
+)
+
 # The pages are built from known parts, so the expected records are too.
 SINGLE_SPACED = "trim(regexp_replace(text, '[ \\t\\n\\x0B\\f\\r]+', ' ', 'g'), " + quoted(WHITESPACE) + ")"
 JOB_POSTINGS = (
@@ -371,6 +385,7 @@ ORACLES: dict[str, str] = {
                  f" {_listing(SECOND_LISTING)} AS second_site FROM pages",
     "page_links": PAGE_LINKS,
     "page_fields": PAGE_FIELDS,
+    "page_select": PAGE_SELECT,
     "page_text": f"SELECT page_id, {_text(_shown('html'))} AS text FROM pages",
     "job_links": "SELECT 'https://jobs.example.com/j/' || CAST(doc_id AS STRING) AS url,"
                  " 'https://jobs.example.com/j/it''s here/' || CAST(doc_id + 1 AS STRING) || '?a=1&b=2' AS link FROM documents",
