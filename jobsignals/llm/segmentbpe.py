@@ -8,7 +8,8 @@ the least of its leaves, ranks before positions, so the root is the leftmost pai
 lowest rank. Merging it changes three leaves, each in logarithmic time, until the root
 holds no pair: n log n steps for a word of n bytes, however long it is.
 
-Results of short words are remembered, up to a bound; then the memory starts anew.
+Short words are encoded many at a time, one tree for each in an array, and all trees take
+their steps together. Their results are remembered, up to a bound; then the memory starts anew.
 Rows are mapped one by one: no shuffle, nothing collected.
 
 Defined results: a NULL or empty text has no tokens and decodes to an empty text; bytes
@@ -20,8 +21,9 @@ other columns are ignored; no rows give no rows.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Callable, Iterable, Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -38,12 +40,15 @@ _POSITION = (1 << 32) - 1
 #: Longest word that is remembered, in characters, and most words remembered by a task.
 REMEMBERED_LENGTH = 48
 REMEMBERED_WORDS = 500_000
+#: Words that are encoded together.
+TOGETHER = 20_000
 #: Texts of more characters are cut into words one at a time, not into a list.
 LIST_CHARS = 1 << 21
 
-# The pattern of byte-level vocabularies, and the characters that its
-# library does not yet know as letters or numbers (they joined Unicode after version 16).
-_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?{L}+| ?{N}+| ?{O}+|\s+(?!\S)|\s+"
+# The pattern of byte-level vocabularies ({L}, {N}, {S}: letters, numbers, white space;
+# {O}: all others), and the characters that its library does not yet know as letters or numbers
+# (they joined Unicode after version 16).
+_WORDS = r" ?{L}+| ?{N}+|'(?:s|t|re|ve|m|ll|d)| ?{O}+|{S}+(?![^{s}])|{S}+"
 _NEW = (
     "558 58b-58c 88f c5c cdc 208f 209d-209f a7ce-a7cf a7d2 a7d4 a7dd a7e2 a7f1 ab6c-ab6d 107bb-107bf 10940-10959 "
     "10ec5-10ec7 10ed9-10eee 11b0a 11db0-11ddb 11de0-11de9 11df1 1246f 12475-1247f 12550-12686 16ea0-16eb8 16ebb-16ed3 "
@@ -57,14 +62,36 @@ def _class(ranges: str) -> str:
     return "[" + "".join(f"\\U{int(e[0], 16):08x}-\\U{int(e[-1], 16):08x}" for e in ends) + "]"
 
 
-def _pattern(letters: str, numbers: str, others: str) -> regex.Pattern:
-    filled = _WORDS.replace("{L}", letters).replace("{N}", numbers).replace("{O}", others)
-    return regex.compile(filled, regex.V1)
+def _pattern(letters: str, numbers: str, others: str, space: str = r"\s") -> str:
+    for name, kind in (("{L}", letters), ("{N}", numbers), ("{O}", others), ("{S}", f"[{space}]"), ("{s}", space)):
+        pattern = _WORDS if name == "{L}" else pattern
+        pattern = pattern.replace(name, kind)
+    return pattern
 
 
-_PLAIN = _pattern(r"\p{L}", r"\p{N}", r"[^\s\p{L}\p{N}]")
+#: Texts of characters below this one are cut by a pattern with plain classes, which is faster.
+_LATIN_END = 0x250
+
+
+def _latin() -> re.Pattern:
+    kinds = {name: "".join(f"\\u{i:04x}" for i in range(_LATIN_END) if regex.match(name, chr(i)))
+             for name in (r"\p{L}", r"\p{N}", r"\s")}
+    letters, numbers, space = kinds.values()
+    return re.compile(_pattern(f"[{letters}]", f"[{numbers}]", f"[^{letters}{numbers}{space}]", space))
+
+
+_LATIN = _latin()
+_NOT_LATIN = re.compile(f"[^\\x00-\\u{_LATIN_END - 1:04x}]")
+_PLAIN = regex.compile(_pattern(r"\p{L}", r"\p{N}", r"[^\s\p{L}\p{N}]"), regex.V1)
 _HAS_NEW = regex.compile(_class(_NEW))
-_EXACT = _pattern(rf"[\p{{L}}--{_class(_NEW)}]", rf"[\p{{N}}--{_class(_NEW)}]", rf"[[^\s\p{{L}}\p{{N}}]||{_class(_NEW)}]")
+_EXACT = regex.compile(_pattern(
+    rf"[\p{{L}}--{_class(_NEW)}]", rf"[\p{{N}}--{_class(_NEW)}]", rf"[[^\s\p{{L}}\p{{N}}]||{_class(_NEW)}]"), regex.V1)
+
+
+def _pattern_of(text: str) -> re.Pattern | regex.Pattern:
+    if text.isascii() or not _NOT_LATIN.search(text):
+        return _LATIN
+    return _EXACT if _HAS_NEW.search(text) else _PLAIN
 
 
 def _characters() -> dict[str, int]:
@@ -78,16 +105,13 @@ def _characters() -> dict[str, int]:
 
 
 class _Remembered(dict):
-    """Tokens of words; those of short words are kept."""
+    """Tokens of words; longer words than are kept are encoded where they come."""
 
     def __init__(self, merged: Callable[[bytes], list[int]]) -> None:
         self.merged = merged
 
     def __missing__(self, word: str) -> list[int]:
-        ids = self.merged(word.encode("utf-8", "replace"))
-        if len(word) <= REMEMBERED_LENGTH:
-            self[word] = ids
-        return ids
+        return self.merged(word.encode("utf-8", "replace"))
 
 
 class BytePairs:
@@ -119,6 +143,11 @@ class BytePairs:
         longest = sorted(self.added, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
         self.words = _Remembered(self.merged)
+        # The same for many words at once: sorted pairs, their leaves, and what ranks give.
+        keys = np.array(list(self.leaves), np.int64)
+        order = np.argsort(keys)
+        self._keys, self._leaves = keys[order], np.array(list(self.leaves.values()), np.int64)[order]
+        self._result, self._single = np.array(self.result, np.int64), np.array(self.single, np.int64)
 
     def merged(self, word: bytes) -> list[int]:
         """Tokens of one word."""
@@ -173,21 +202,111 @@ class BytePairs:
                     tree[node] = value
         return [x for x in ids if x >= 0]
 
-    def _sections(self, text: str) -> Iterator[Iterable[list[int]]]:
-        for at, section in enumerate(self.cut.split(text) if self.cut else [text]):
-            if at % 2:
-                yield [[self.added[section]]]
-            elif section:
-                new = not section.isascii() and _HAS_NEW.search(section)
-                pattern = _EXACT if new else _PLAIN
-                words = (pattern.findall(section) if len(section) <= LIST_CHARS
-                         else (found.group() for found in pattern.finditer(section)))
-                yield map(self.words.__getitem__, words)
-
-    def encode(self, text: str) -> list[int]:
+    def _leaf(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Leaves of many pairs; those with a token of -1 have no rank."""
+        if not len(self._keys):
+            return np.full(len(left), _NONE)
+        keys = left << 32 | right & 0xFFFFFFFF
+        at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
+        return np.where((self._keys[at] == keys) & (left >= 0) & (right >= 0), self._leaves[at] | place, _NONE)
+
+    def merged_many(self, words: list[bytes], size: int) -> list[list[int]]:
+        """Tokens of many words of 2 to ``size`` + 1 bytes, a segment tree of ``size`` (a power
+        of two) leaves for each; all trees take a step together."""
+        n = np.array([len(w) for w in words])
+        padded = np.frombuffer(b"".join(w.ljust(size + 1, b"\0") for w in words), np.uint8).reshape(len(words), size + 1)
+        place = np.arange(size + 1)
+        ids = np.where(place < n[:, None], self._single[padded], -1)
+        tree = np.empty((len(words), 2 * size), np.int64)
+        left, right = np.ascontiguousarray(ids[:, :-1]).ravel(), np.ascontiguousarray(ids[:, 1:]).ravel()
+        tree[:, size:] = self._leaf(left, right, np.tile(place[:-1], len(words))).reshape(len(words), size)
+        width = size // 2
+        while width:
+            tree[:, width : 2 * width] = np.minimum(tree[:, 2 * width : 4 * width : 2], tree[:, 2 * width + 1 : 4 * width : 2])
+            width //= 2
+        after, before = np.tile(place + 1, (len(words), 1)), np.tile(place - 1, (len(words), 1))
+        rows = np.arange(len(words))
+        while True:
+            root = tree[rows, 1]
+            rows, root = rows[root != _NONE], root[root != _NONE]
+            if not len(rows):
+                break
+            i = root & _POSITION
+            j = after[rows, i]
+            k = after[rows, j]
+            ids[rows, i], ids[rows, j], after[rows, i] = self._result[root >> 32], -1, k
+            more = k < n[rows]
+            before[rows[more], k[more]] = i[more]
+            following = np.where(more, ids[rows, np.minimum(k, size)], -1)
+            h = before[rows, i]
+            first = h >= 0
+            held = j < size
+            changed = [(rows[held], j[held], np.full(int(held.sum()), _NONE)),
+                       (rows, i, self._leaf(ids[rows, i], following, i)),
+                       (rows[first], h[first], self._leaf(ids[rows[first], h[first]], ids[rows[first], i[first]], h[first]))]
+            for at, leaf, value in changed:
+                tree[at, size + leaf] = value
+            for at, leaf, _ in changed:
+                node = size + leaf
+                for _ in range(size.bit_length() - 1):
+                    node = node >> 1
+                    tree[at, node] = np.minimum(tree[at, 2 * node], tree[at, 2 * node + 1])
+        kept = ids >= 0
+        flat = ids[kept].tolist()
+        ends = np.cumsum(kept.sum(axis=1)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends)]
+
+    def remember(self, words: Iterable[str]) -> None:
+        """Encode the short ones of some words together."""
         if len(self.words) > REMEMBERED_WORDS:
             self.words.clear()
-        return list(chain.from_iterable(chain.from_iterable(self._sections(text))))
+        sizes: dict[int, list[tuple[str, bytes]]] = {}
+        for word in words:
+            if len(word) <= REMEMBERED_LENGTH and word not in self.words:
+                data = word.encode("utf-8", "replace")
+                if len(data) < 2:
+                    self.words[word] = [self.single[b] for b in data]
+                else:
+                    sizes.setdefault(max(1 << (len(data) - 2).bit_length(), 2), []).append((word, data))
+        for size, found in sizes.items():
+            for at in range(0, len(found), TOGETHER):
+                some = found[at : at + TOGETHER]
+                self.words.update(zip((w for w, _ in some), self.merged_many([d for _, d in some], size)))
+
+    def _cut(self, text: str) -> list[tuple[str, bool]]:
+        """Sections between added tokens, and whether each is such a token."""
+        return [(s, at % 2 == 1) for at, s in enumerate(self.cut.split(text) if self.cut else [text]) if s]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Token ids of each text. New short words of all of them are encoded together."""
+        cut = []
+        for text in texts:
+            parts = []
+            for section, added in self._cut(text):
+                pattern = None if added else _pattern_of(section)
+                whole = added or len(section) <= LIST_CHARS
+                parts.append((section, added, pattern, pattern.findall(section) if pattern and whole else None))
+            cut.append(parts)
+        self.remember({w for parts in cut for *_, words in parts for w in words or ()})
+        get = self.words.__getitem__
+        out = []
+        for parts in cut:
+            ids: list[int] = []
+            for section, added, pattern, words in parts:
+                if added:
+                    ids.append(self.added[section])
+                elif words is not None:
+                    ids.extend(chain.from_iterable(map(get, words)))
+                else:
+                    found = (m.group() for m in pattern.finditer(section))
+                    while some := list(islice(found, 1 << 18)):
+                        self.remember(set(some))
+                        ids.extend(chain.from_iterable(map(get, some)))
+            out.append(ids)
+        return out
+
+    def encode(self, text: str) -> list[int]:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: Iterable[int]) -> str:
         get = self.bytes_of.get
@@ -212,7 +331,7 @@ def encoded(documents: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = _loaded(content.value)
         for doc_ids, texts in portions(batches, ("doc_id",), "text", limit=4 << 20):
-            found = [np.array(pairs.encode(text.decode("utf-8", "replace")), np.int32) for text in texts]
+            found = [np.array(ids, np.int32) for ids in pairs.encode_all([t.decode("utf-8", "replace") for t in texts])]
             offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc_ids, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))],
