@@ -7,10 +7,10 @@ entries of a stripe are the extensions of its phrase to the right, so their maxi
 whether a longer phrase subsumes it, and regrouped by suffix they do so to the left.
 
 1. *Words*: stripes of the empty prefix.
-2. *Pairs*: stripes of one word. Words below the least frequency take no part; a filter
-   of fixed size (bits set by hashes of the frequent words) tells most of them.
-3. *Longer*: stripes of two and three words, over runs whose pairs pass a filter of the
-   frequent pairs. What a filter lets through wrongly is counted and then dropped.
+2. *Longer*: stripes of one, two and three words, a pass over the texts for each. A phrase
+   is frequent only if its first and its last words, one fewer, are; a filter of bounded
+   size, with bits set by hashes of the frequent phrases of the pass before, tells nearly
+   all others. What it lets through wrongly is counted and then dropped.
 
 A task builds its stripes over portions of ``PORTION`` bytes of one language, with words
 numbered by a dictionary, so counts are exact; stripes travel whole and are merged
@@ -112,7 +112,7 @@ def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-def _pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+def _joined_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix64(first * _STEP + second)
 
 
@@ -135,7 +135,7 @@ class Filter:
 
     @classmethod
     def of(cls, phrases: DataFrame) -> Filter:
-        """The filter of the phrases (lang, phrase), of one or of two words each. Its size
+        """The filter of the phrases (lang, phrase), all of one number of words. Its size
         follows from their number and is bounded; the driver puts its words together."""
         size = 1 << max(12, min(MOST_BITS, BITS * phrases.count() + 1).bit_length() - 1)
 
@@ -146,8 +146,8 @@ class Filter:
                     some = batch.filter(pc.equal(batch.column("lang"), lang)).column("phrase").to_pylist()
                     parts = [p.encode().split(b" ") for p in some]
                     hashes = _hashes(lang, [p[0] for p in parts])
-                    if len(parts[0]) == 2:
-                        hashes = _pair_hashes(hashes, _hashes(lang, [p[1] for p in parts]))
+                    for i in range(1, len(parts[0])):
+                        hashes = _joined_hashes(hashes, _hashes(lang, [p[i] for p in parts]))
                     for places in cls.places(hashes, size):
                         np.bitwise_or.at(bits, places >> np.uint64(6), np.uint64(1) << (places & np.uint64(63)))
             at = np.flatnonzero(bits)
@@ -201,67 +201,50 @@ def _parts_of(lang: str, words: list[bytes], frequent: dict[tuple[str, bytes], i
     return np.fromiter((frequent.get((lang, w), 1) for w in words), np.int64, len(words))
 
 
-def _counted(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return np.unique(codes, return_index=True, return_counts=True)
+def _numbered(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, and for each value its number among them."""
+    return np.unique(codes, return_inverse=True)
 
 
-def _by_part(first: np.ndarray, last: np.ndarray, parts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order of entries by stripe and part, and the part's number below the stripe's."""
-    part = (hashes[last] % parts.astype(np.uint64)).astype(np.int64)
-    key = first << 16 | part
-    order = np.argsort(key, kind="stable")
-    return order, key[order]
+def _longer_stripes(size: int, shorter, frequent):
+    """Stripes of ``size`` words; the filter holds the frequent phrases of this size, and
+    both the prefix and the phrase's last ``size`` words must pass it."""
 
-
-def _pair_stripes(words_filter, frequent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passes, split = Filter(words_filter.value), frequent.value
-        for lang, portion in _portions(batches):
-            ids, words = portion.ids(), portion.words()
-            hashes = _hashes(lang, words)
-            good = passes(hashes)
-            good[:2] = False
-            at = np.flatnonzero(good[ids[:-1]] & good[ids[1:]])
-            pairs, _, counts = _counted(ids[at].astype(np.int64) << 32 | ids[at + 1])
-            first, last = pairs >> 32, pairs & 0xFFFFFFFF
-            order, part = _by_part(first, last, _parts_of(lang, words, split)[first], hashes)
-            names = _strings(words)
-            yield from _batches(lang, names.take(pa.array(first[order])), 1, part,
-                                names.take(pa.array(last[order])), counts[order].astype(np.int64))
-
-    return run
-
-
-def _long_stripes(pairs_filter, frequent):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        passes, split = Filter(pairs_filter.value), frequent.value
+        passes, split = Filter(shorter.value), frequent.value
         for lang, portion in _portions(batches):
             ids, words = portion.ids().astype(np.int64), portion.words()
-            hashes, parts, names = _hashes(lang, words), _parts_of(lang, words, split), _strings(words)
-            inside = np.flatnonzero((ids[:-1] > 1) & (ids[1:] > 1))
-            pairs, back = np.unique(ids[inside] << 32 | ids[inside + 1], return_inverse=True)
-            good = passes(_pair_hashes(hashes[pairs >> 32], hashes[pairs & 0xFFFFFFFF]))
-            number = np.full(len(ids), -1)  # of the pair that starts here, if it can be frequent
-            number[inside] = np.where(good[back], back, -1)
-            text = pc.binary_join_element_wise(
-                names.take(pa.array(pairs >> 32)), names.take(pa.array(pairs & 0xFFFFFFFF)), " ")
-            cut = np.minimum(parts[pairs >> 32], parts[pairs & 0xFFFFFFFF])
-            at = np.flatnonzero((number[:-1] >= 0) & (number[1:] >= 0))
-            triples, one, counts = _counted(number[at] << 32 | number[at + 1])
-            first, last = triples >> 32, ids[at[one] + 2]
-            order, part = _by_part(first, last, cut[first], hashes)
-            yield from _batches(lang, text.take(pa.array(first[order])), 2, part,
-                                names.take(pa.array(last[order])), counts[order].astype(np.int64))
-            triple = np.full(len(ids), -1)
-            triple[at] = np.searchsorted(triples, number[at] << 32 | number[at + 1])
-            at = np.flatnonzero((triple[:-1] >= 0) & (triple[1:] >= 0))
-            _, one, counts = _counted(triple[at] << 32 | triple[at + 1])
-            first, last = triple[at[one]], ids[at[one] + 3]
-            middle = triples & 0xFFFFFFFF
-            order, part = _by_part(first, last, np.minimum(cut[triples >> 32], cut[middle])[first], hashes)
-            prefix = pc.binary_join_element_wise(
-                text.take(pa.array(triples >> 32)), names.take(pa.array(pairs[middle] & 0xFFFFFFFF)), " ")
-            yield from _batches(lang, prefix.take(pa.array(first[order])), 3, part,
+            if len(ids) <= size:
+                continue
+            hashes, names = _hashes(lang, words), _strings(words)
+            inside, gram = ids > 1, hashes[ids]
+            for i in range(1, size):
+                gram = _joined_hashes(gram[:-1], hashes[ids[i:]])
+                inside = inside[:-1] & (ids[i:] > 1)
+            good = inside & passes(gram)
+            at = np.flatnonzero(good[:-1] & good[1:])
+            if not len(at):
+                continue
+            # Number the prefixes word by word, then the phrases: exact, whatever the hashes.
+            prefixes = ids[at]
+            members = [prefixes]
+            for i in range(1, size):
+                distinct, number = _numbered(prefixes << 32 | ids[at + i])
+                members = [m[distinct >> 32] for m in members] if i > 1 else [distinct >> 32]
+                members.append(distinct & 0xFFFFFFFF)
+                prefixes = number
+            if size == 1:
+                distinct, prefixes = _numbered(prefixes)
+                members = [distinct]
+            phrases_found, counts = np.unique(prefixes << 32 | ids[at + size], return_counts=True)
+            first, last = phrases_found >> 32, phrases_found & 0xFFFFFFFF
+            parts = _parts_of(lang, words, split)
+            cut = np.minimum.reduce([parts[m] for m in members])[first]
+            key = first << 16 | (hashes[last] % cut.astype(np.uint64)).astype(np.int64)
+            order = np.argsort(key, kind="stable")
+            taken = [names.take(pa.array(m)) for m in members]
+            text = taken[0] if size == 1 else pc.binary_join_element_wise(*taken, " ")
+            yield from _batches(lang, text.take(pa.array(first[order])), size, key[order],
                                 names.take(pa.array(last[order])), counts[order].astype(np.int64))
 
     return run
@@ -298,10 +281,12 @@ def phrases(documents: DataFrame, least: int = LEAST, text_col: str = "text", la
         for r in words.where(F.col("count") > bound).select("lang", "next", "count").toLocalIterator()}
     send = spark.sparkContext.broadcast
     sent = send(frequent)
-    pair_entries = texts.mapInArrow(_pair_stripes(send(Filter.of(single).bits), sent), STRIPES)
-    pairs = _phrases(kept(merged(pair_entries, least), "pairs"))
-    long_entries = texts.mapInArrow(_long_stripes(send(Filter.of(pairs).bits), sent), STRIPES)
-    return single.unionAll(pairs).unionAll(_phrases(kept(merged(long_entries, least), "longer"))), totals
+    found = last = single
+    for size in (1, 2, 3):
+        stripes = texts.mapInArrow(_longer_stripes(size, send(Filter.of(last).bits), sent), STRIPES)
+        last = _phrases(kept(merged(stripes, least), f"phrases-{size + 1}"))
+        found = found.unionAll(last)
+    return found, totals
 
 
 def collocations(documents: DataFrame, least: int = LEAST, top: int = TOP, text_col: str = "text",
