@@ -18,6 +18,7 @@ from jobsignals.functions.salary import (
 from jobsignals.operators import pages as pg
 from jobsignals.operators import postings as po
 from jobsignals.operators import terms as tm
+from jobsignals.operators import vocabularies as vb
 from jobsignals.plans.inputs import (
     SECTIONED, as_postings, job_pages, postings, table, table_stream,
 )
@@ -353,6 +354,24 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_store(spark, f"{folder}/data", events.schema, "user_id")
 
 
+def term_table(documents: DataFrame) -> DataFrame:
+    """A vocabulary that grows with the documents: the first long word of each, its first two
+    words, and its first three characters, in upper case for every other document."""
+    words = F.split("text", "[ \n]+")
+    given = F.array(F.regexp_extract("text", "([^ \n.,]{7,})", 1), F.concat_ws(" ", F.get(words, F.lit(0)), F.get(words, F.lit(1))),
+                    F.substring("text", 1, 3))
+    given = F.when(F.col("doc_id") % 2 == 0, given).otherwise(F.transform(given, F.upper))
+    return documents.select(F.explode(given).alias("term"))
+
+
+def table_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of a table in the texts of all documents."""
+    documents = table(spark, sf_dir, "documents")
+    folder = shared_folder(spark, "terms")
+    vb.term_index(term_table(documents)).write.parquet(folder)
+    return vb.match_table(documents, spark.read.parquet(folder), keep=["doc_id"])
+
+
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts kept up to date over three batches of a store: half of the postings under
     another text, all of them as they are, and half of them once more."""
@@ -412,6 +431,7 @@ QUERIES: dict[str, Query] = {
     "language_matches": _matches(m.LANGUAGES),
     "design_pattern_matches": _matches(m.DESIGN_PATTERNS),
     "knowledge_matches": _matches(m.KNOWLEDGES),
+    "table_matches": table_matches,
     "extract_postings": extract_postings,
     "index_documents": index_documents,
     "stored_projection": stored_projection,

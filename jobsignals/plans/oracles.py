@@ -326,6 +326,15 @@ STREAM_COMPLETE = (
     f"SELECT * FROM ({POSTINGS_SQL}) WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in STREAM_COLUMNS)
 )
 
+TABLE_MATCHES = """
+WITH given AS (
+  SELECT doc_id, unnest([regexp_extract(text, '([^ \\n.,]{7,})', 1),
+    concat_ws(' ', string_split_regex(text, '[ \\n]+')[1], string_split_regex(text, '[ \\n]+')[2]), substring(text, 1, 3)]) AS term
+  FROM documents),
+terms AS (SELECT DISTINCT CASE WHEN doc_id % 2 = 0 THEN term ELSE upper(term) END AS term FROM given WHERE term <> '')
+SELECT doc_id, term FROM documents JOIN terms ON contains(lower(text), lower(term))
+"""
+
 ORACLES: dict[str, str] = {
     "knowledge_counts": _counts(m.KNOWLEDGES, "Knowledge"),
     "knowledge_labels": _labelled(
@@ -348,6 +357,7 @@ ORACLES: dict[str, str] = {
     "language_matches": _matches(m.LANGUAGES),
     "design_pattern_matches": _matches(m.DESIGN_PATTERNS),
     "knowledge_matches": _matches(m.KNOWLEDGES),
+    "table_matches": TABLE_MATCHES,
     "extract_postings": _extracted(COMPLETE, EXTRACT_ALL),
     "index_documents": _extracted(
         POSTINGS_SQL,
