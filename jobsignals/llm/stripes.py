@@ -14,7 +14,7 @@ whether a longer phrase subsumes it, and regrouped by suffix they do so to the l
 
 A task builds its stripes over portions of ``PORTION`` bytes of one language, with words
 numbered by a dictionary, so counts are exact; stripes travel whole and are merged
-elementwise by (prefix, next word) after one shuffle. The stripe of a prefix is cut by
+elementwise by (prefix, next word) after one shuffle, in blocks of a hash of the prefix. The stripe of a prefix is cut by
 hashes of the next word where all its words are frequent (more than ``SPLIT``
 occurrences or a 50,000th of all, so at most 50,000 words are known to the tasks), that
 of the empty prefix always. Merging aggregates with spilling; no task holds a stripe.
@@ -48,7 +48,11 @@ WORD_PARTS = 256
 #: Bits of a filter per phrase, and its largest size in bits (8 MB).
 BITS, MOST_BITS = 16, 1 << 26
 
-STRIPES = "lang string, prefix string, size int, part int, next array<string>, counts array<long>"
+#: Stripes travel in blocks by a hash of the prefix: so many at least, and four per shuffle partition.
+BLOCKS = 1024
+
+STRIPES = ("lang string, size int, block int, "
+           "stripes array<struct<prefix:string,next:array<string>,counts:array<long>>>")
 
 _SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 _FOLDED = bytes(
@@ -161,39 +165,53 @@ class Filter:
         return cls(bits)
 
 
-def _batches(lang: str, prefix: pa.Array, size: int, part: np.ndarray, following: pa.Array,
-             counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Stripes from entries that are sorted by prefix and part; ``prefix`` are strings,
-    ``part`` numbers that change wherever the prefix does."""
-    if not len(counts):
-        return
-    begins = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-    ends = np.append(begins[1:], len(counts))
-    step = 20_000
-    for at in range(0, len(begins), step):
-        b, e = begins[at : at + step], ends[at : at + step]
-        offsets = pa.array(np.append(b - b[0], e[-1] - b[0]).astype(np.int32))
+def _batches(lang: str, size: int, prefix: pa.Array, first: np.ndarray, part: np.ndarray, hashes: np.ndarray,
+             following: pa.Array, counts: np.ndarray, blocks: int) -> Iterator[pa.RecordBatch]:
+    """Stripes from entries: ``first`` is the number of the entry's prefix in ``prefix`` and
+    ``hashes``, ``part`` the part of its stripe."""
+    block = (mix64(hashes[first] + part.astype(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+    order = np.lexsort((part, first, block))
+    first, part, block, counts = first[order], part[order], block[order], counts[order]
+    changes = (first[1:] != first[:-1]) | (part[1:] != part[:-1])
+    begins = np.flatnonzero(np.concatenate((np.ones(min(len(first), 1), bool), changes)))
+    ends = np.append(begins[1:], len(first))
+    rows = np.flatnonzero(np.diff(block[begins], prepend=-1))  # the first stripe of each block
+    stops = np.append(rows[1:], len(begins))
+    at = 0
+    while at < len(rows):  # some blocks at a time, of about 100,000 entries
+        to = max(at + 1, int(np.searchsorted(ends[stops - 1], begins[rows[at]] + 100_000)))
+        b, e = begins[rows[at] : stops[to - 1]], ends[rows[at] : stops[to - 1]]
+        inner = pa.array(np.append(b - b[0], e[-1] - b[0]).astype(np.int32))
+        stripes = pa.StructArray.from_arrays([
+            prefix.take(pa.array(first[b])),
+            pa.ListArray.from_arrays(inner, following.take(pa.array(order[b[0] : e[-1]]))),
+            pa.ListArray.from_arrays(inner, pa.array(counts[b[0] : e[-1]])),
+        ], names=["prefix", "next", "counts"])
+        outer = np.append(rows[at:to], stops[to - 1]) - rows[at]
         yield pa.RecordBatch.from_arrays([
-            pa.array([lang] * len(b)), prefix.take(pa.array(b)), pa.array(np.full(len(b), size, np.int32)),
-            pa.array((part[b] & 0xFFFF).astype(np.int32)),
-            pa.ListArray.from_arrays(offsets, following.slice(b[0], e[-1] - b[0])),
-            pa.ListArray.from_arrays(offsets, pa.array(counts[b[0] : e[-1]])),
-        ], names=["lang", "prefix", "size", "part", "next", "counts"])
+            pa.array([lang] * (to - at)), pa.array(np.full(to - at, size, np.int32)),
+            pa.array(block[begins[rows[at:to]]].astype(np.int32)),
+            pa.ListArray.from_arrays(pa.array(outer.astype(np.int32)), stripes),
+        ], names=["lang", "size", "block", "stripes"])
+        at = to
 
 
 def _strings(words: list[bytes]) -> pa.Array:
     return pa.array(words, pa.binary()).cast(pa.string())
 
 
-def _word_stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _word_stripes(blocks: int):
     """Stripes of the empty prefix."""
-    for lang, portion in _portions(batches):
-        counts = np.bincount(portion.ids(), minlength=2).astype(np.int64)
-        words = portion.words()
-        part = (_hashes(lang, words) % np.uint64(WORD_PARTS)).astype(np.int64)
-        order = np.argsort(part[2:], kind="stable") + 2
-        yield from _batches(lang, pa.array([""] * len(order)), 0, part[order],
-                            _strings(words).take(pa.array(order)), counts[order])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for lang, portion in _portions(batches):
+            counts = np.bincount(portion.ids(), minlength=2).astype(np.int64)[2:]
+            words = portion.words()[2:]
+            part = (_hashes(lang, words) % np.uint64(WORD_PARTS)).astype(np.int64)
+            yield from _batches(lang, 0, pa.array([""]), np.zeros(len(words), np.int64), part, np.zeros(1, np.uint64),
+                                _strings(words), counts, blocks)
+
+    return run
 
 
 def _parts_of(lang: str, words: list[bytes], frequent: dict[tuple[str, bytes], int]) -> np.ndarray:
@@ -206,7 +224,7 @@ def _numbered(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(codes, return_inverse=True)
 
 
-def _longer_stripes(size: int, shorter, frequent):
+def _longer_stripes(size: int, shorter, frequent, blocks: int):
     """Stripes of ``size`` words; the filter holds the frequent phrases of this size, and
     both the prefix and the phrase's last ``size`` words must pass it."""
 
@@ -240,12 +258,14 @@ def _longer_stripes(size: int, shorter, frequent):
             first, last = phrases_found >> 32, phrases_found & 0xFFFFFFFF
             parts = _parts_of(lang, words, split)
             cut = np.minimum.reduce([parts[m] for m in members])[first]
-            key = first << 16 | (hashes[last] % cut.astype(np.uint64)).astype(np.int64)
-            order = np.argsort(key, kind="stable")
+            joined = hashes[members[0]]
+            for m in members[1:]:
+                joined = _joined_hashes(joined, hashes[m])
             taken = [names.take(pa.array(m)) for m in members]
-            text = taken[0] if size == 1 else pc.binary_join_element_wise(*taken, " ")
-            yield from _batches(lang, text.take(pa.array(first[order])), size, key[order],
-                                names.take(pa.array(last[order])), counts[order].astype(np.int64))
+            yield from _batches(
+                lang, size, taken[0] if size == 1 else pc.binary_join_element_wise(*taken, " "), first,
+                (hashes[last] % cut.astype(np.uint64)).astype(np.int64), joined, names.take(pa.array(last)),
+                counts.astype(np.int64), blocks)
 
     return run
 
@@ -253,10 +273,12 @@ def _longer_stripes(size: int, shorter, frequent):
 def merged(stripes: DataFrame, least: int) -> DataFrame:
     """Stripes merged elementwise, entries of at least ``least``: lang, prefix, size, next,
     count. One shuffle moves whole stripes; entries are summed where they arrive."""
-    entries = stripes.repartition("lang", "prefix", "size", "part").select(
-        "lang", "prefix", "size", "part", F.explode(F.arrays_zip("next", "counts")).alias("entry"))
+    arrived = stripes.repartition("lang", "size", "block").select(
+        "lang", "size", "block", F.explode("stripes").alias("stripe"))
+    entries = arrived.select("lang", "size", "block", "stripe.prefix",
+                             F.explode(F.arrays_zip("stripe.next", "stripe.counts")).alias("entry"))
     return (
-        entries.groupBy("lang", "prefix", "size", "part", F.col("entry.next").alias("next"))
+        entries.groupBy("lang", "size", "block", "prefix", F.col("entry.next").alias("next"))
         .agg(F.sum("entry.counts").alias("count")).where(F.col("count") >= least)
         .select("lang", "prefix", "size", "next", "count"))
 
@@ -272,7 +294,8 @@ def phrases(documents: DataFrame, least: int = LEAST, text_col: str = "text", la
     prefix, next, count), and the number of words of each language (lang, n)."""
     spark = documents.sparkSession
     texts = documents.select(F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
-    words = kept(merged(texts.mapInArrow(_word_stripes, STRIPES), 1), "words")
+    blocks = max(BLOCKS, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    words = kept(merged(texts.mapInArrow(_word_stripes(blocks), STRIPES), 1), "words")
     totals = kept(words.groupBy("lang").agg(F.sum("count").alias("n")), "totals")
     single = _phrases(words.where(F.col("count") >= least))
     bound = max(split, (totals.agg(F.sum("n")).first()[0] or 0) // 50_000)
@@ -283,7 +306,7 @@ def phrases(documents: DataFrame, least: int = LEAST, text_col: str = "text", la
     sent = send(frequent)
     found = last = single
     for size in (1, 2, 3):
-        stripes = texts.mapInArrow(_longer_stripes(size, send(Filter.of(last).bits), sent), STRIPES)
+        stripes = texts.mapInArrow(_longer_stripes(size, send(Filter.of(last).bits), sent, blocks), STRIPES)
         last = _phrases(kept(merged(stripes, least), f"phrases-{size + 1}"))
         found = found.unionAll(last)
     return found, totals
