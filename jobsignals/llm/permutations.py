@@ -122,9 +122,15 @@ def _searched(pivots: int, prefix: int, share: float, k: int):
                 # Places that differ least save most against a pivot outside the prefix.
                 saved = (prefix - rank) - np.abs(rank - place[posted])
                 footrule = -np.bincount(owner[posted], weights=saved, minlength=n)
-                near = np.argpartition(footrule, count - 1)[:count] if count < n else np.arange(n)
+                # Of rows at the cut's distance those of the smallest ids stay.
+                cut = np.partition(footrule, count - 1)[count - 1]
+                tied = np.flatnonzero(footrule == cut)
+                closer = np.flatnonzero(footrule < cut)
+                tied = tied[np.argsort(order_of_id[tied], kind="stable")][: count - len(closer)]
+                near = np.concatenate((closer, tied))
                 near = near[uid[near] != own[q]]
-                score = vectors[near] @ q_vectors[q]
+                # Summed row by row in one order, so that equal vectors have equal scores.
+                score = (vectors[near] * q_vectors[q]).sum(axis=1)
                 best = np.lexsort((order_of_id[near], -score))[:k]
                 out.append((np.full(len(best), own[q]), [own_ids[q]] * len(best), ids[near[best]].tolist(), score[best]))
         return pa.table({

@@ -17,7 +17,7 @@ numbered by a dictionary, so counts are exact; stripes travel whole and are merg
 elementwise by (prefix, next word) after one shuffle, in blocks of a hash of the prefix. The stripe of a prefix is cut by
 hashes of the next word where all its words are frequent (more than ``SPLIT``
 occurrences or a 50,000th of all, so at most 50,000 words are known to the tasks), that
-of the empty prefix always. Merging aggregates with spilling; no task holds a stripe.
+of the empty prefix always. Merging goes block by block; no task holds a whole hot stripe.
 
 Defined results: NULL texts are empty, a NULL lang is ``und``; repeated rows count each
 time; ids play no part; phrases of one score and count are ordered by their bytes; words
@@ -270,17 +270,75 @@ def _longer_stripes(size: int, shorter, frequent, blocks: int):
     return run
 
 
+#: Entries after which a task merges what it holds.
+MERGED = 1 << 21
+_ENTRIES = ["lang", "size", "prefix", "next"]
+
+
+def _entries(batch: pa.RecordBatch) -> pa.Table:
+    """The entries of a batch's stripes, and the number of the row each came in."""
+    column = batch.column("stripes")
+    stripes = column.flatten()
+    row = np.repeat(np.arange(batch.num_rows), column.value_lengths().to_numpy())
+    following = stripes.field("next")
+    stripe = np.repeat(np.arange(len(stripes)), following.value_lengths().to_numpy())
+    row = row[stripe]
+    at = pa.array(row)
+    return pa.table({
+        "lang": batch.column("lang").take(at), "size": batch.column("size").take(at),
+        "prefix": stripes.field("prefix").take(pa.array(stripe)), "next": following.flatten(),
+        "count": stripes.field("counts").flatten(), "row": at})
+
+
+def _summed(entries: pa.Table) -> pa.Table:
+    out = entries.group_by(_ENTRIES).aggregate([("count", "sum")])
+    return out.rename_columns([*_ENTRIES, "count"]).select([*_ENTRIES, "count"])
+
+
+def _merging(least: int):
+    """Stripes of one block after another, merged elementwise; a block that goes on in the next
+    batch waits for it, and a long one is merged on the way."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []  # whole blocks
+        last: list[pa.Table] = []  # the block that may go on
+        key = None
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            found = _summed(pa.concat_tables(held))
+            yield from found.filter(pc.greater_equal(found["count"], least)).combine_chunks().to_batches()
+            held.clear()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = list(zip(*(batch.column(c).to_pylist() for c in ("lang", "size", "block"))))
+            begin = keys.index(keys[-1])  # rows are sorted: the last block's first row
+            entries = _entries(batch)
+            cut = int(np.searchsorted(entries["row"].to_numpy(), begin))
+            entries = entries.drop_columns(["row"])
+            if last and keys[0] != key or begin:
+                head = entries.slice(0, cut)
+                held += [*last, head] if keys[0] == key or begin else last
+                last = []
+            last.append(entries.slice(cut))
+            key = keys[-1]
+            if sum(t.num_rows for t in last) > MERGED:
+                last = [_summed(pa.concat_tables(last))]
+            if sum(t.num_rows for t in held) > MERGED:
+                yield from flush()
+        held += last
+        if held:
+            yield from flush()
+
+    return run
+
+
 def merged(stripes: DataFrame, least: int) -> DataFrame:
-    """Stripes merged elementwise, entries of at least ``least``: lang, prefix, size, next,
-    count. One shuffle moves whole stripes; entries are summed where they arrive."""
-    arrived = stripes.repartition("lang", "size", "block").select(
-        "lang", "size", "block", F.explode("stripes").alias("stripe"))
-    entries = arrived.select("lang", "size", "block", "stripe.prefix",
-                             F.explode(F.arrays_zip("stripe.next", "stripe.counts")).alias("entry"))
-    return (
-        entries.groupBy("lang", "size", "block", "prefix", F.col("entry.next").alias("next"))
-        .agg(F.sum("entry.counts").alias("count")).where(F.col("count") >= least)
-        .select("lang", "prefix", "size", "next", "count"))
+    """Stripes merged elementwise, entries of at least ``least``: lang, size, prefix, next,
+    count. One shuffle moves whole stripes."""
+    return (stripes.repartition("lang", "size", "block").sortWithinPartitions("lang", "size", "block")
+            .mapInArrow(_merging(least), "lang string, size int, prefix string, next string, count long"))
 
 
 def _phrases(entries: DataFrame) -> DataFrame:

@@ -87,3 +87,21 @@ def test_one_vector_over_and_over(spark):
         table = spark.range(50_000).selectExpr("id AS vec_id", f"array({first}D, 2.0D) AS embedding")
         got = nearest(table, lambda i: i == 40, k=3).collect()
         assert sorted((r["rank"], r.score) for r in got) == [(n, first ** 2 + 4) for n in (1, 2, 3)]
+
+
+def test_equal_vectors_are_ordered_by_id(spark):
+    """Scores of equal vectors are equal to the last bit, and ties go to smaller ids at every size."""
+    import pyarrow as pa
+
+    from jobsignals.llm.permutations import _searched
+
+    rng = np.random.default_rng(8)
+    for n in [*range(21, 72), 203, 1303]:
+        x = rng.normal(size=128)
+        ids = rng.permutation(n) + 1
+        index = pa.table({"uid": np.arange(n), "vec_id": ids, "vector": [x.tobytes()] * n,
+                          "places": [np.arange(4, dtype=np.uint16).tobytes()] * n})
+        asked = pa.table({"uid": [n + 5], "vec_id": [0], "query": [np.arange(4, dtype=np.uint16).tobytes()], "vector": [x.tobytes()]})
+        found = _searched(4, 4, 0.35, 20)(index, asked)
+        assert found.column("vec_id").to_pylist() == list(range(1, 21)), n
+        assert len(set(found.column("score").to_pylist())) == 1
