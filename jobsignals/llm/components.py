@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,12 +17,50 @@ def _state(edges: DataFrame) -> tuple:
     return row[0], row[1]
 
 
+#: Nodes that a task of :func:`forest` knows; then it starts anew and leaves out less.
+KNOWN = 1_000_000
+#: Links per task of its second look.
+TOGETHER = 500_000
+
+
+def _spanning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        top = x
+        while (above := root.setdefault(top, top)) != top:
+            top = above
+        while root[x] != top:
+            root[x], x = top, root[x]
+        return top
+
+    for batch in batches:
+        keep = []
+        for row, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist())):
+            a, b = find(a), find(b)
+            if a != b:
+                root[max(a, b)] = min(a, b)
+                keep.append(row)
+        yield batch.take(pa.array(keep, pa.int64()))
+        if len(root) > KNOWN:
+            root.clear()
+
+
+def forest(links: DataFrame) -> DataFrame:
+    """Some of the links (columns a, b) that connect what all of them connect: each task leaves
+    out links between nodes that others of its links connect, first where the links lie,
+    then dealt out anew. A dense group keeps about a link per node and task."""
+    some = kept(links.select("a", "b").mapInArrow(_spanning, "a long, b long"), "forest")
+    tasks = max(4, -(-some.count() // TOGETHER))
+    return some.repartition(tasks).mapInArrow(_spanning, "a long, b long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """For each node of the links (columns a, b; longs) the least node it is connected
     with: node, component. Every step is a grouping and a join; its rows are written,
     and the driver sees a count and a checksum. The minima of a step have at most two
     rows per link and are broadcast while that number, which is checked, is small."""
-    edges = kept(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    edges = kept(forest(links).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
                  .where("a <> b").distinct(), "links")
     state = _state(edges)
     while state[0]:

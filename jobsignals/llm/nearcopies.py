@@ -16,7 +16,8 @@ Linked documents then share a shingle among their first n - ceil(0.8 n) + 1 (pre
 4. *Verify*. All candidate pairs are compared by their whole sets: the join's links
    (:meth:`NearCopies.pairs`), from which the components follow. Lists with many
    candidates for their length are dealt out to tasks anew, in pairs of slices of
-   ``DENSE_ROWS``, and give their candidates in batches.
+   ``DENSE_ROWS``, and give their candidates in batches; a pair that shares several lists
+   comes from the least of them.
 
 A group of copies costs one posting per task and shingle, and one class in the pairs. The
 links of a group of differing near copies grow with the square of its size, and so do
@@ -335,15 +336,18 @@ def _closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _among(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All candidate pairs of each pair of slices, or of members of one slice."""
+    """Candidate pairs of each pair of slices, or of members of one slice. A pair belongs to
+    the least of the lists that hold both of its members, so no other list gives it."""
     out: list[tuple[int, int]] = []
-    for (_, i, j), rows in _lists(batches, ("token", "i", "j"), ("node", "n", "bits", "slice"), None):
+    for (token, i, j), rows in _lists(batches, ("token", "i", "j"), ("node", "n", "bits", "slice", "lists"), None):
+        earlier = [{t for t in r[4] if t < token} for r in rows]
         nodes, slices = np.array([r[0] for r in rows]), np.array([r[3] for r in rows])
         members = _Bits(np.array([r[1] for r in rows]), [r[2] for r in rows])
         numbers = np.arange(len(rows))
         for at in range(len(rows) - 1):
             others = numbers[at + 1 :] if i == j else numbers[at + 1 :][slices[at + 1 :] != slices[at]]
-            out += [(int(nodes[at]), int(y)) for y in nodes[members.near(at, others)[0]]]
+            out += [(int(nodes[at]), int(nodes[y])) for y in members.near(at, others)[0].tolist()
+                    if earlier[at].isdisjoint(earlier[y])]
             if len(out) > 50_000:
                 yield _pairs_batch(out)
                 out = []
@@ -433,14 +437,17 @@ class NearCopies:
         dense = closest.where("token IS NOT NULL").select("token")
         if dense.isEmpty():
             return few
-        members = kept(members.join(dense, "token", "left_semi"), "members")
+        everywhere, members = members, kept(members.join(dense, "token", "left_semi"), "members")
+        # All lists of each member of a dense one: no more than its prefix and its group.
+        lists = everywhere.groupBy("node").agg(F.collect_set("token").alias("lists"))
+        members = kept(members.join(lists, "node"), "members")
         rows = min(self.list_rows, DENSE_ROWS)
         sizes = members.groupBy("token").count().select(
             "token", F.ceil(F.col("count") / rows).cast("int").alias("slices"))
         dealt = members.join(sizes, "token").withColumn("slice", F.pmod(F.xxhash64("node"), "slices").cast("int"))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
         dealt = dealt.select("token", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"),
-                             "slice", "node", "n", "bits")
+                             "slice", "node", "n", "bits", "lists")
         among = (dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node")
                  .mapInArrow(_among, "a long, b long"))
         return kept(few.unionAll(among).distinct(), "candidates")
