@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobsignals.llm.ranking import ranked, shuffled_place, small, with_texts
-from jobsignals.llm.tables import kept, table, text_key
+from jobsignals.llm.tables import given, kept, table, text_key, veil_of, veiled
 
 SEED = 11
 BLOCK_ROWS = 64
@@ -137,9 +137,9 @@ def in_mixed_order(documents: DataFrame, weights: Mapping[str, float] | None = N
     """All columns of the documents, rows in the order of the mixture: written out, the
     files follow each other in it."""
     places = mixed(documents, weights, id_col=id_col, text_col=text_col, **options)
-    placed = with_texts(documents, places.select("doc_id", "row", F.col("position").alias("_position")),
-                        id_col, text_col)
-    return placed.orderBy("_position").drop("_position")
+    placed = with_texts(veiled(documents), places.select("doc_id", "row", F.col("position").alias("position__")),
+                        veil_of(documents, id_col), veil_of(documents, text_col))
+    return placed.orderBy("position__").select(*given(documents))
 
 
 def op6_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from jobsignals.llm.components import components
 from jobsignals.llm.shingles import mixed, portions, shingle_sets
-from jobsignals.llm.tables import as_long, kept, long_array, table, text_key
+from jobsignals.llm.tables import as_long, given, kept, long_array, table, text_key, veil_of, veiled
 
 WORDS = 5
 #: Slots of the table that counts shingles: 2 ** 18, one row each per task at most.
@@ -487,14 +487,15 @@ def one_of_each(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The documents without near copies: of each component the row with the least id
     stays; documents without words all stay."""
     found = NearCopies(documents, id_col, text_col, **options).documents().where("stays")
-    stays = found.groupBy(F.coalesce("doc_id", F.lit(0)).alias("_known"), F.col("doc_id").isNull().alias("_null"),
-                          F.col("row").alias("_row")).agg(F.max("n_shingles").alias("_n"))
-    key = F.col(id_col).cast("long")
-    keyed = documents.withColumns({
-        "_known": F.coalesce(key, F.lit(0)), "_null": key.isNull(), "_row": text_key(F.col(text_col))})
-    turn = F.row_number().over(Window.partitionBy("_known", "_null", "_row").orderBy(F.lit(0)))
-    chosen = keyed.withColumn("_turn", turn).join(stays, ["_known", "_null", "_row"])
-    return chosen.where((F.col("_turn") == 1) | (F.col("_n") == 0)).select(*[F.col(f"`{c}`") for c in documents.columns])
+    stays = found.groupBy(F.coalesce("doc_id", F.lit(0)).alias("known__"), F.col("doc_id").isNull().alias("null__"),
+                          F.col("row").alias("row__")).agg(F.max("n_shingles").alias("n__"))
+    key = F.col(veil_of(documents, id_col)).cast("long")
+    keyed = veiled(documents).withColumns({
+        "known__": F.coalesce(key, F.lit(0)), "null__": key.isNull(),
+        "row__": text_key(F.col(veil_of(documents, text_col)))})
+    turn = F.row_number().over(Window.partitionBy("known__", "null__", "row__").orderBy(F.lit(0)))
+    chosen = keyed.withColumn("turn__", turn).join(stays, ["known__", "null__", "row__"])
+    return chosen.where((F.col("turn__") == 1) | (F.col("n__") == 0)).select(*given(documents))
 
 
 def op5_grouped_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from jobsignals.llm.bytehash import SEGMENT, RangeHashes, mix64
 from jobsignals.llm.labelled import fold_of, training_rows
 from jobsignals.llm.shingles import portions
-from jobsignals.llm.tables import table, text_bytes
+from jobsignals.llm.tables import given, table, text_bytes, veil_of, veiled
 
 BUCKET_BITS = 14
 DIMENSIONS = 32
@@ -274,6 +274,12 @@ def with_score(documents: DataFrame, score, text_col: str = "text", name: str =
     return documents.mapInArrow(run, schema)
 
 
+def good(documents: DataFrame, score, least: float = 0.5, text_col: str = "text") -> DataFrame:
+    """The documents with a score of ``least`` or more, their columns as they are."""
+    found = with_score(veiled(documents), score, veil_of(documents, text_col), "score__")
+    return found.where(F.col("score__") >= least).select(*given(documents))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     held_out = lambda c: fold_of(c, 3) == 1

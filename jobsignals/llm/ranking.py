@@ -58,18 +58,16 @@ def with_texts(documents: DataFrame, places: DataFrame, id_col: str, text_col: s
     ``places`` has doc_id, row (text key) and further columns, one row for each
     document. Rows with equal id and text take their places in turn.
     """
-    from jobsignals.llm.tables import text_key
+    from jobsignals.llm.tables import given, text_key, veil_of, veiled
 
-    new = [c for c in places.columns if c not in ("doc_id", "row")]
-    dealt = places.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct(*new))).alias("_places"))
-    dealt = dealt.select(F.col("doc_id").alias("_doc_id"), F.col("row").alias("_row"), "_places")
-    keyed = documents.withColumns({
-        "_doc_id": F.col(id_col).cast("long"), "_row": text_key(F.col(text_col))})
-    keyed = keyed.withColumns({"_known": F.coalesce("_doc_id", F.lit(0)), "_null": F.col("_doc_id").isNull()})
-    turn = F.row_number().over(Window.partitionBy("_known", "_null", "_row").orderBy(F.lit(0)))
-    dealt = dealt.select(
-        F.coalesce("_doc_id", F.lit(0)).alias("_known"), F.col("_doc_id").isNull().alias("_null"), "_row", "_places")
-    chosen = keyed.withColumn("_turn", turn).join(dealt, ["_known", "_null", "_row"])
-    clash = [c for c in documents.columns if c not in new]
-    return chosen.select(*[F.col(f"`{c}`") for c in clash],
-                         *[F.element_at("_places", F.col("_turn"))[c].alias(c) for c in new])
+    new = tuple(c for c in places.columns if c not in ("doc_id", "row"))
+    dealt = places.groupBy("doc_id", "row").agg(F.sort_array(F.collect_list(F.struct(*new))).alias("places__"))
+    dealt = dealt.select(F.coalesce("doc_id", F.lit(0)).alias("known__"), F.col("doc_id").isNull().alias("null__"),
+                         F.col("row").alias("row__"), "places__")
+    key = F.col(veil_of(documents, id_col)).cast("long")
+    keyed = veiled(documents).withColumns({
+        "known__": F.coalesce(key, F.lit(0)), "null__": key.isNull(),
+        "row__": text_key(F.col(veil_of(documents, text_col)))})
+    turn = F.row_number().over(Window.partitionBy("known__", "null__", "row__").orderBy(F.lit(0)))
+    chosen = keyed.withColumn("turn__", turn).join(dealt, ["known__", "null__", "row__"])
+    return chosen.select(*given(documents, new), *[F.element_at("places__", F.col("turn__"))[c].alias(c) for c in new])

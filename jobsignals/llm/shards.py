@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from jobsignals.llm.ranking import ranked, shuffled_place, small, with_texts
-from jobsignals.llm.tables import kept, table, text_key
+from jobsignals.llm.tables import given, kept, quoted, table, text_key, veiled
 
 SHARDS = 8
 SEED = 7
@@ -63,15 +63,16 @@ def sharded(documents: DataFrame, shards: int = SHARDS, seed: int = SEED, id_col
 
 
 def _with_files(documents: DataFrame) -> DataFrame:
-    """All columns with _file and _at, the row's file and place in it. Rows that are not
-    plainly those of Parquet files are written first, which keeps their order."""
-    file = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at")]
+    """All columns veiled, with file__ and at__, the row's file and place in it. Rows that are
+    not plainly those of Parquet files are written first, which keeps their order."""
+    file = [F.col("_metadata.file_path").alias("file__"), F.col("_metadata.row_index").alias("at__")]
     if documents._jdf.queryExecution().analyzed().children().isEmpty():
         try:
-            return documents.select("*", *file)
+            names = [F.col(quoted(c)).alias(f"given__{i}") for i, c in enumerate(documents.columns)]
+            return documents.select(*names, *file)
         except AnalysisException:  # no files, or of another format
             pass
-    return kept(documents, "shard-order").select("*", *file)
+    return kept(veiled(documents), "shard-order").select("*", *file)
 
 
 def dealt(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -79,14 +80,14 @@ def dealt(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     order: that of the files by task number and of the rows in them, or else the order
     in which they would be written. Columns of these names are replaced."""
     placed = _with_files(documents)
-    files = kept(placed.groupBy("_file").agg(F.count("*").alias("_rows")), "shard-files")
-    order = [F.regexp_extract("_file", "part-([0-9]+)[^/]*$", 1).try_cast("long"), F.col("_file")]
-    before = F.sum("_rows").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
-    starts = files.select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
-    place = F.col("_before") + F.col("_at")
-    given = [F.col(f"`{c}`") for c in documents.columns if c not in ("shard", "slot")]
-    return placed.join(small(starts), "_file").select(
-        *given, (place % shards).cast("int").alias("shard"), F.expr(f"(_before + _at) DIV {shards}").alias("slot"))
+    files = kept(placed.groupBy("file__").agg(F.count("*").alias("rows__")), "shard-files")
+    order = [F.regexp_extract("file__", "part-([0-9]+)[^/]*$", 1).try_cast("long"), F.col("file__")]
+    before = F.sum("rows__").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
+    starts = files.select("file__", F.coalesce(before, F.lit(0)).alias("before__"))
+    place = F.col("before__") + F.col("at__")
+    return placed.join(small(starts), "file__").select(
+        *given(documents, ("shard", "slot")), (place % shards).cast("int").alias("shard"),
+        F.expr(f"(before__ + at__) DIV {shards}").alias("slot"))
 
 
 def op7_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,6 +26,26 @@ def kept(df: DataFrame, purpose: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def veiled(documents: DataFrame) -> DataFrame:
+    """The same rows with columns given__0, given__1 and so on, so that whatever a step adds
+    cannot meet a name of the caller's."""
+    return documents.select(*[F.col(quoted(c)).alias(f"given__{i}") for i, c in enumerate(documents.columns)])
+
+
+def veil_of(documents: DataFrame, column: str) -> str:
+    """The name that a column has in :func:`veiled`."""
+    return f"given__{documents.columns.index(column)}"
+
+
+def given(documents: DataFrame, without: tuple[str, ...] = ()) -> list[Column]:
+    """The caller's columns of a veiled table, under their own names."""
+    return [F.col(f"given__{i}").alias(c) for i, c in enumerate(documents.columns) if c not in without]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 #: Rows up to which a table that is looked up is sent to all tasks, and into how many
 #: parts a key is dealt otherwise.
 FEW, DEALT = 50_000, 16
