@@ -36,7 +36,7 @@ def clean(spark: SparkSession, args: argparse.Namespace) -> None:
     they are written, so nothing is computed twice or cached."""
     rows = Observation("rows")
     cleaned = postings.clean_postings(tables.read_postings(spark, args.input))
-    tables.write_json(cleaned.observe(rows, F.count(F.lit(1)).alias("n")), args.output, args.files)
+    tables.write_json(cleaned.observe(rows, F.count(F.lit(1)).alias("n")), args.output, args.files, args.file_mb)
     print(rows.get["n"])
 
 
@@ -81,7 +81,7 @@ def links(spark: SparkSession, args: argparse.Namespace) -> None:
     else:
         first, last = (int(n) for n in args.pages.split("-"))
         found = pages.listing_urls(spark, first, last)
-    tables.write_json(found, args.output, args.files)
+    tables.write_json(found, args.output, args.files, args.file_mb)
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -141,6 +141,7 @@ def main(argv: list[str] | None = None) -> None:
                         help="option of the topic's reader")
     parser.add_argument("--pages", default="1-1", metavar="FIRST-LAST", help="listing pages, for links")
     parser.add_argument("--files", type=int, help="number of output files, for small results")
+    parser.add_argument("--file-mb", type=int, help="size of output files, about")
     parser.add_argument("--once", action="store_true", help="end when the topic is read")
     args = parser.parse_args(argv)
     JOBS[args.job](get_spark(f"jobsignals-{args.job}"), args)

@@ -15,10 +15,30 @@ def read_postings(spark: SparkSession, path: str, schema: StructType = schemas.P
     return spark.read.schema(schema).json(path)
 
 
-def write_json(df: DataFrame, path: str, files: int | None = None) -> None:
-    """Replace the JSON files under ``path``. ``files`` bounds their number by
-    merging tasks; leave it out for large results."""
-    (df if files is None else df.coalesce(files)).write.mode("overwrite").json(path)
+_ADVISED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+def write_json(df: DataFrame, path: str, files: int | None = None, file_mb: int | None = None) -> None:
+    """Replace the JSON files under ``path``. The rows are computed in as many tasks as they
+    come in; without further arguments each writes its own files. ``files`` deals the
+    finished rows out to so many files, for small results; ``file_mb`` to as many as hold about
+    that much each, as Spark measures it in the shuffle, large tasks' rows split and small
+    ones' put together."""
+    spark = df.sparkSession
+    if files is not None:
+        df.repartition(files).write.mode("overwrite").json(path)
+    elif file_mb is None:
+        df.write.mode("overwrite").json(path)
+    else:
+        before = spark.conf.get(_ADVISED, None)
+        spark.conf.set(_ADVISED, f"{file_mb}m")
+        try:
+            df.hint("rebalance").write.mode("overwrite").json(path)
+        finally:
+            if before is None:
+                spark.conf.unset(_ADVISED)
+            else:
+                spark.conf.set(_ADVISED, before)
 
 
 def write_index(documents: DataFrame, format: str, options: Mapping[str, str],
