@@ -413,7 +413,7 @@ class NearCopies:
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose whole sets are similar enough."""
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        ids = pairs.select(F.col("a").alias("node")).unionAll(pairs.select("b")).distinct()
         wanted = kept(ids.join(self.classes.select("node", "place"), "node").select("node", "place.doc_id", "place.row"),
                       "compared")
         if wanted.limit(self.broadcast_ids + 1).count() <= self.broadcast_ids:
