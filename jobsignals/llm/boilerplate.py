@@ -7,10 +7,14 @@ pages; lines above the ratio are boilerplate and leave every page of the host.
 Scale: line hashes are counted with partial sums, so a line on all pages of a hot host
 is one row per task. A host has at most (mean distinct lines of a page / ratio)
 boilerplate lines, since each takes that share of its pages; they travel as one array
-per host. Texts are not shuffled while the hosts are few enough to send to all tasks,
-which is checked; beyond that hosts are joined, large ones in slices.
+per host. Texts are not shuffled while all those lines are few enough to send to all
+tasks, which is checked; beyond that hosts are joined, large ones in slices.
 
-Defined results: a NULL or empty page has no lines and an empty text; pages without a
+A line that no second page of its host holds is no boilerplate, so a host of one page
+loses nothing; from two pages on the ratio alone decides, at every size of a host.
+
+Defined results: a host is what stands between ``//`` and the next ``/``, ``?`` or ``#``, in
+lower case, with a port or user name if there is one; a NULL or empty page has no lines and an empty text; pages without a
 readable address share the host ''; a line that repeats inside a page counts once but
 all its copies leave; each row counts as a page, repeated rows too; an empty table
 gives no rows. Lines are compared by 64-bit hashes within a host.
@@ -21,12 +25,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from jobsignals.llm.ranking import SMALL
 from jobsignals.llm.tables import kept, table
 
 RATIO = 0.1
-#: A line on fewer pages is no boilerplate, however small its host.
-MIN_PAGES = 3
+#: A line repeats if two pages hold it.
+MIN_PAGES = 2
+#: Boilerplate lines, of 8 bytes each, that are sent to all tasks.
+BROADCAST_LINES = 1_000_000
 #: Pages of one host that one task joins where hosts are too many to broadcast.
 SLICE = 100_000
 HOST = r"^[a-z][a-z0-9+.-]*://([^/?#]*)"
@@ -63,12 +68,14 @@ def boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAG
 
 def without_boilerplate(pages: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES,
                         id_col: str = "page_id", url_col: str = "url", text_col: str = "html",
-                        broadcast_hosts: int = SMALL) -> DataFrame:
+                        broadcast_lines: int = BROADCAST_LINES) -> DataFrame:
     """One row per page: page_id, host, n_lines, n_dropped and the remaining text."""
     hosts = boilerplate(pages, ratio, min_pages, url_col, text_col)
     rows = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"),
                         F.col(text_col).alias("_text"))
-    if hosts.limit(broadcast_hosts + 1).count() <= broadcast_hosts:
+    # A host's name counts as the lines it takes the room of.
+    lines = hosts.agg(F.sum(F.size("lines") + F.ceil(F.octet_length("host") / 8))).first()[0] or 0
+    if lines <= broadcast_lines:
         joined = rows.join(F.broadcast(hosts.select("host", "lines")), "host", "left")
     else:
         slices = F.ceil(F.col("pages") / SLICE).cast("int")

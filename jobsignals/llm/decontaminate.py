@@ -1,7 +1,9 @@
 """Benchmark items in documents, up to an edit budget: pigeonhole pieces and Myers.
 
 Items and texts are compared as lower-case words with single blanks, other marks left
-out. An item of n characters may differ by k = floor(rate n) edits. It is cut into k + 1
+out and a blank at either end, so an item ends where words end: "cat" is not in
+"concatenate". An item of n characters (without those blanks) may differ by k = floor(rate n)
+edits; short items by none, and at a longer one a lost word edge is an edit. It is cut into k + 1
 pieces; an occurrence with at most k edits leaves one piece unchanged, so exact hits of
 all pieces, found by one automaton pass over the text, name all places to look at. Around
 each place the item is matched by Myers' bit-parallel algorithm, which gives the least
@@ -14,7 +16,8 @@ are further passes. Tasks hold one text at a time.
 Defined results: items or texts without letters or digits match nothing; an item that
 occurs several times in a text gives one row with its best place, the first of equal
 ones; each of several equal items, and each of several equal rows, gives its own rows;
-NULL ids are kept; no items or no documents give no rows; other columns are ignored.
+an item of one short word marks every text with that word; letters are compared as they
+are coded, without a Unicode normal form; NULL ids are kept; no items or no documents give no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,6 +45,11 @@ def normal(text: str) -> str:
     return " ".join(_WORD.findall(text.lower()))
 
 
+def edged(words: str) -> str:
+    """With the blanks that make the first and last word whole."""
+    return f" {words} "
+
+
 def pieces(item: str, budget: int) -> list[tuple[int, str]]:
     """budget + 1 pieces of about equal length, with their offsets."""
     cuts = [len(item) * i // (budget + 1) for i in range(budget + 2)]
@@ -97,7 +105,7 @@ class Items:
     """Benchmark items of one block with the automaton of their pieces."""
 
     def __init__(self, items: list[tuple[int | None, str]], rate: float) -> None:
-        self.items = [(i, t, int(rate * len(t))) for i, t in items if t]
+        self.items = [(i, edged(t), int(rate * len(t))) for i, t in items if t]
         self.automaton = None
 
     def _built(self) -> ahocorasick.Automaton:
@@ -113,7 +121,7 @@ class Items:
         return self.automaton
 
     def found(self, text: str) -> Iterator[tuple[int, int, int, int]]:
-        """Number of an item, edits, start and end in the normal form of ``text``."""
+        """Number of an item, edits, start and end in ``text``, a normal form with its edges."""
         windows: dict[int, list[list[int]]] = {}
         for last, (length, places) in self._built().iter(text):
             for number, offset in places:
@@ -158,10 +166,13 @@ def _searched(items: list[tuple[int | None, str]], rate: float):
                 text = batch.column("text")[at].as_py()
                 if not text:
                     continue
-                for number, edits, start, end in block.found(normal(text)):
+                words = edged(normal(text))
+                for number, edits, start, end in block.found(words):
                     item_id, item, _ = block.items[number]
+                    # Without the edges, in the normal form.
+                    start, end = start - (words[start] != " "), end - 1 - (words[end - 1] == " ")
                     # Lower-casing may change a text's length; words keep their order.
-                    out.append((batch.column("doc_id")[at].as_py(), item_id, edits, len(item),
+                    out.append((batch.column("doc_id")[at].as_py(), item_id, edits, len(item) - 2,
                                 *_places(text, start, end)))
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
             yield pa.RecordBatch.from_arrays(
@@ -205,7 +216,7 @@ def decontaminated(documents: DataFrame, benchmark: DataFrame, rate: float = RAT
             block = Items(items, rate)
             for batch in batches:
                 texts = (batch.column(text_col)[i].as_py() for i in range(batch.num_rows))
-                stays = [not text or next(block.found(normal(text)), None) is None for text in texts]
+                stays = [not text or next(block.found(edged(normal(text))), None) is None for text in texts]
                 yield batch.filter(pa.array(stays, pa.bool_()))
 
         return run

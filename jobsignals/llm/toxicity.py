@@ -11,8 +11,9 @@ that stand in toxic texts more than in others, chosen until each toxic text hold
 to ``COVER`` of them; their weights are the log ratio of how often they occur per word
 in toxic and in other texts. Exception phrases are pairs of words
 with an entry that occur in clean texts only. Labels, language, source and id are no
-inputs. Scoring is a map over whole texts; the lexicon (at most ``ENTRIES``) is the only
-thing sent to tasks.
+inputs. Every term that ``LEAST_TEXTS`` toxic texts hold and whose weight is great enough is a
+candidate, and every exception phrase that two clean texts hold counts: the sample alone
+bounds the lexicon. Scoring is a map over whole texts; the lexicon is the only thing sent to tasks.
 
 Defined results: a NULL or empty text holds no entry and gets the lowest score; rows of
 one id are scored by their own texts; without labels of both kinds the lexicon is empty
@@ -22,10 +23,12 @@ ignored.
 
 from __future__ import annotations
 
+import heapq
 import re
 import unicodedata
+from bisect import bisect_left, insort
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import ahocorasick
 import numpy as np
@@ -38,9 +41,8 @@ from jobsignals.llm.quality import scored
 from jobsignals.llm.tables import kept, table
 
 TRAIN_ROWS = 20_000
-ENTRIES = 2_000
-CANDIDATES = 5_000
-EXCEPTIONS = 1_000
+#: Toxic texts of the sample that hold an entry, at least.
+LEAST_TEXTS = 3
 #: Entries looked for in each toxic text of the sample.
 COVER = 3
 #: Numbers that the logistic function works on.
@@ -50,7 +52,7 @@ LEAST_WEIGHT = 2.0
 #: Letters of the word beginnings that are considered.
 SHORTEST, LONGEST = 3, 10
 
-# --- Fixed values: letters and signs that stand for Latin letters
+#: Letters and signs that stand for Latin letters.
 LOOKALIKES = {
     "а": "a", "в": "b", "е": "e", "ё": "e", "з": "e", "и": "u", "і": "i", "ї": "i", "ј": "j", "к": "k", "м": "m",
     "н": "h", "о": "o", "р": "p", "с": "c", "т": "t", "у": "y", "х": "x", "ѕ": "s", "ԁ": "d", "һ": "h", "ո": "n",
@@ -58,7 +60,6 @@ LOOKALIKES = {
     "ı": "i", "ł": "l", "ø": "o", "đ": "d", "ß": "ss", "æ": "ae", "œ": "oe",
     "0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s",
 }
-# --- End of fixed values
 
 _FOLD = str.maketrans(LOOKALIKES)
 _WORD = re.compile(r"[^\W\d_]+")
@@ -148,29 +149,61 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.array([clean[t] for t in some], pa.int64())], names=["term", "toxic", "clean"])
 
 
-def _covering(held: list[set[str]], weights: dict[str, float], least: int) -> list[str]:
+def _beginning(term: str) -> str:
+    """The longest shorter term that every text with ``term`` holds too."""
+    return term[:-1][:LONGEST] if term.endswith(" ") else term[:-1]
+
+
+def _distinct(counts: dict[str, tuple[int, int]]) -> list[str]:
+    """The terms without beginnings that say the same as a longer term: equal counts of
+    texts mean the same texts. Those would never be chosen before the longer term."""
+    same = {b for t, n in counts.items() if counts.get(b := _beginning(t)) == n}
+    return sorted(counts.keys() - same)
+
+
+def _covering(held: Iterable[Sequence[int]], terms: list[str], weights: dict[str, float],
+              least: int = LEAST_TEXTS) -> list[str]:
     """Terms, best first, until each text holds COVER of the chosen ones or no term adds
     ``least`` texts. Best is what covers most texts times its weight above the least, so a
-    stem wins over its many words, and a whole word over a beginning that clean words share."""
-    need = [COVER] * len(held)
-    texts: dict[str, list[int]] = {}
-    for i, terms in enumerate(held):
-        for term in terms:
-            texts.setdefault(term, []).append(i)
+    stem wins over its many words, and a whole word over a beginning that clean words share.
+    ``held`` gives the places in ``terms`` (sorted) of the terms of each text. What a term
+    adds only falls, so the best of a heap is looked at again before it is taken."""
+    texts: dict[int, list[int]] = {}
+    need = []
+    for i, numbers in enumerate(held):
+        need.append(COVER)
+        for number in numbers:
+            texts.setdefault(number, []).append(i)
+
+    def entry(number: int, gain: int) -> tuple[float, int, int, int]:
+        term = terms[number]
+        return -gain * (weights[term] - LEAST_WEIGHT / 2), -len(term), -number, gain
+
+    heap = [entry(number, len(found)) for number, found in texts.items()]
+    heapq.heapify(heap)
     chosen: list[str] = []
-    alive = set(texts)
-    while alive and len(chosen) < ENTRIES:
-        gain = {t: sum(need[i] > 0 for i in texts[t]) for t in alive}
-        alive = {t for t in alive if gain[t] >= least}
-        if not alive:
-            break
-        best = max(alive, key=lambda t: (gain[t] * (weights[t] - LEAST_WEIGHT / 2), len(t), t))
-        chosen.append(best)
-        for i in texts[best]:
-            need[i] -= 1
+    stems: list[str] = []
+    sizes: set[int] = set()
+    known: set[str] = set()
+    while heap:
+        _, _, number, before = heapq.heappop(heap)
+        term = terms[-number]
         # Words that start with a chosen beginning, and its own beginnings, say the same.
-        stem = best.rstrip(" ")
-        alive = {t for t in alive if not t.startswith(stem) and not stem.startswith(t.rstrip(" "))}
+        at = bisect_left(stems, bare := term.rstrip(" "))
+        if at < len(stems) and stems[at].startswith(bare) or any(term[:n] in known for n in sizes):
+            continue
+        gain = sum(need[i] > 0 for i in texts[-number])
+        if gain < least:
+            continue
+        if gain < before:
+            heapq.heappush(heap, entry(-number, gain))
+            continue
+        chosen.append(term)
+        insort(stems, bare)
+        sizes.add(len(bare))
+        known.add(bare)
+        for i in texts[-number]:
+            need[i] -= 1
     return chosen
 
 
@@ -195,21 +228,22 @@ def fitted(documents: DataFrame, labels: DataFrame, used: Column, label: str = "
     if len(sizes) < 2:
         return Lexicon({}, set(), np.array([8.0 if sizes.get(1) else -8.0, 0, 0, 0, 0]))
     weight = (F.log((F.col("toxic") + 0.5) / (sizes[1] + 1)) - F.log((F.col("clean") + 0.5) / (sizes[0] + 1)))
-    least = max(3, sizes[1] // 500)
     counts = rows.mapInArrow(_counted, "term string, toxic long, clean long").groupBy("term").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    found = (counts.where((F.col("toxic") >= least) & (weight >= LEAST_WEIGHT))
-             .orderBy(F.desc(F.col("toxic") * weight), "term").limit(CANDIDATES).select("term", weight.alias("weight")).collect())
+    found = (counts.where((F.col("toxic") >= LEAST_TEXTS) & (weight >= LEAST_WEIGHT))
+             .select("term", "toxic", "clean", weight.alias("weight")).collect())
+    terms = _distinct({r["term"]: (r["toxic"], r["clean"]) for r in found})
     weights = {r["term"]: r["weight"] for r in found}
+    numbers = {term: number for number, term in enumerate(terms)}
 
     def holding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([pa.array(
-                [sorted(_terms(words_of(t or "")) & weights.keys()) for t in batch.column("text").to_pylist()],
-                pa.list_(pa.string()))], names=["terms"])
+                [[numbers[t] for t in _terms(words_of(text or "")) & numbers.keys()]
+                 for text in batch.column("text").to_pylist()], pa.list_(pa.int32()))], names=["terms"])
 
-    held = rows.where("label = 1").select("text").mapInArrow(holding, "terms array<string>").collect()
-    chosen = _covering([set(r["terms"]) for r in held], weights, least)
+    held = rows.where("label = 1").select("text").mapInArrow(holding, "terms array<int>").toArrow()
+    chosen = _covering((text.as_py() for text in held.column("terms")), terms, weights)
     bare = Lexicon({t: weights[t] for t in chosen}, set(), np.zeros(INPUTS))
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -250,7 +284,7 @@ def fitted(documents: DataFrame, labels: DataFrame, used: Column, label: str = "
 
     excepted = (rows.select("label", "text").mapInArrow(phrases, "phrase string, label int").groupBy("phrase")
                 .agg(F.sum("label").alias("toxic"), F.count("*").alias("n")).where("toxic = 0 AND n >= 2")
-                .orderBy(F.desc("n"), "phrase").limit(EXCEPTIONS).collect())
+                .select("phrase").collect())
     lexicon = Lexicon(bare.weights, {r["phrase"] for r in excepted}, np.zeros(INPUTS))
 
     def inputs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -53,3 +53,44 @@ def test_folding_and_exceptions():
 def test_tokens_of_long_runs():
     bucket, owner = quality._tokens([b"", b"Abc 12!! " + b"z" * 200_000, b"  ", b"Abc"])
     assert owner.tolist() == [1, 1, 1, 1, 1, 1, 1, 3] and bucket[0] == bucket[-1]
+
+
+def _plainly_chosen(held, weights, least):
+    """The same choice, every term weighed anew at each step."""
+    need, chosen, alive = [toxicity.COVER] * len(held), [], set(weights)
+    while True:
+        gain = {t: sum(n > 0 and t in terms for n, terms in zip(need, held)) for t in alive}
+        alive = {t for t in alive if gain[t] >= least}
+        if not alive:
+            return chosen
+        best = max(alive, key=lambda t: (gain[t] * (weights[t] - toxicity.LEAST_WEIGHT / 2), len(t), t))
+        chosen.append(best)
+        need = [n - (best in terms) for n, terms in zip(need, held)]
+        stem = best.rstrip()
+        alive = {t for t in alive if not t.startswith(stem) and not stem.startswith(t.rstrip())}
+
+
+def test_lexicon_is_the_plain_choice():
+    rng = np.random.default_rng(5)
+    for size in (5, 40, 120):
+        words = ["".join(rng.choice(list("abc"), rng.integers(3, 13))) for _ in range(60)]
+        texts = [toxicity._terms(list(rng.choice(words, 4))) for _ in range(size)]
+        clean = [toxicity._terms(list(rng.choice(words, 4))) for _ in range(size)]
+        counts = {t: (sum(t in x for x in texts), sum(t in x for x in clean)) for x in texts for t in x}
+        weights = {t: 2 + 3 * a / (a + b) for t, (a, b) in counts.items()}
+        terms = toxicity._distinct(counts)
+        assert len(terms) < len(counts)
+        held = [[terms.index(t) for t in x if t in terms] for x in texts]
+        assert toxicity._covering(held, terms, weights, 3) == _plainly_chosen(texts, weights, 3)
+
+
+def test_rare_toxic_words_are_learned(spark, documents):
+    """6,000 toxic words, none of them in more than three texts."""
+    letters = "abcdefghijklmnopqrst"
+    word = lambda i: "q" + "".join(letters[i // 20 ** k % 20] for k in range(4))[::-1]
+    rows = [(i, f"some quiet words and {word(i // 3)} here") for i in range(6000)]
+    rows += [(6000 + i, "some quiet words and nothing here") for i in range(6000)]
+    labels = spark.createDataFrame([(i, int(i < 6000)) for i in range(12_000)], "doc_id long, toxic int")
+    lexicon = toxicity.fitted(documents(rows), labels, F.lit(True))
+    scores = lexicon([f"here and {word(i)}".encode() for i in range(0, 2000, 50)] + [b"some quiet words"])
+    assert (scores[:-1] > 0.5).all() and scores[-1] < 0.5

@@ -5,7 +5,7 @@ import random
 import pytest
 
 from jobsignals.llm.decontaminate import (
-    contaminated, decontaminated, myers, normal, op1_pigeonhole_decontamination, pieces,
+    RATE, contaminated, decontaminated, edged, myers, normal, op1_pigeonhole_decontamination, pieces,
 )
 
 
@@ -27,7 +27,7 @@ def by_force(docs, items, rate):
         for item, benchmark in items:
             b, t = normal(benchmark or ""), normal(text or "")
             if b and t:
-                edits = least_edits(b, t)[0]
+                edits = least_edits(edged(b), edged(t))[0]
                 if edits <= int(rate * len(b)):
                     out.append((doc, item, edits, len(b)))
     return sorted(out, key=str)
@@ -93,6 +93,39 @@ def test_query_finds_what_exact_search_finds(spark):
     sf_dir = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()
-    exact = {(d.doc_id, b.item_id) for b in items for d in docs if normal(b.text) in normal(d.text or "")}
+    exact = {(d.doc_id, b.item_id) for b in items for d in docs if edged(normal(b.text)) in edged(normal(d.text or ""))}
     got = op1_pigeonhole_decontamination(spark, sf_dir).collect()
     assert exact and exact == {(r.doc_id, r.item_id) for r in got if r.edits == 0}
+
+
+def test_query_finds_what_all_pairs_find(spark, documents):
+    """The query's tables with edits put into some texts; every item against every text."""
+    sf_dir = "/root/testdata/sf0.001"
+    rng = random.Random(3)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    items = [(r.item_id, normal(r.text)) for r in benchmark.collect()][:60]
+    docs = []
+    for d in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()[:60]:
+        text = d.text or ""
+        if d.doc_id % 3 == 0:
+            item = list(rng.choice(items)[1])
+            for _ in range(rng.randint(0, int(RATE * len(item)) + 1)):
+                item[rng.randrange(len(item))] = rng.choice(["", "x", "yy"])
+            text = f"{text[:200]} {''.join(item)} {text[200:]}"
+        docs.append((d.doc_id, text))
+    want = set()
+    for doc, text in docs:
+        for item_id, item in items:
+            found = myers(edged(item), edged(normal(text)), int(RATE * len(item))) if item else None
+            if found:
+                want.add((doc, item_id, found[0]))
+    got = contaminated(documents(docs), benchmark.where(benchmark.item_id.isin([i for i, _ in items])))
+    assert {(r.doc_id, r.item_id, r.edits) for r in got.collect()} == want and any(e for *_, e in want)
+
+
+def test_short_items_end_where_words_end(spark, documents):
+    benchmark = spark.createDataFrame([(1, "cat"), (2, "Yes!")], "item_id long, text string")
+    docs = [(1, "concatenate the eyesight"), (2, "a CAT."), (3, "yes"), (4, "cats"), (5, "tom,cat;yes")]
+    got = contaminated(documents(docs), benchmark).collect()
+    assert sorted((r.doc_id, r.item_id, r.start, r.end) for r in got) == [
+        (2, 1, 2, 5), (3, 2, 0, 3), (5, 1, 4, 7), (5, 2, 8, 11)]

@@ -126,15 +126,18 @@ def test_mixture_of_the_documents(spark):
     assert sorted(r.position for r in got) == list(range(n))
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
+@pytest.mark.parametrize("limit", [1_000_000, 0])
 def test_site_lines(spark, limit):
     pages = [(i, "HTTP://Site.example/p", f"<p>menu</p> own {i} <b> menu </b>\nfooter {i % 2}", 1) for i in range(10)]
     pages += [(100, None, None, 1), (101, "no address", "", 1), (102, "http://one.example", "menu<br>", 1),
               (0, "http://site.example/p", "<p>menu</p> own 0 <b> menu </b>\nfooter 0", 1),
-              (103, "http://one.example", "<" * 50_000 + "tail", 1)]
+              (103, "http://one.example", "<" * 50_000 + "tail", 1),
+              (104, "http://two.example/a", "menu<br>a", 1), (105, "http://two.example/b", "menu<br>b", 1),
+              (106, "http://alone.example", "menu<br>c", 1)]
     table = spark.createDataFrame(pages, "page_id long, url string, html string, lines int")
-    got = {(r.page_id, r.host): r for r in without_boilerplate(table, ratio=0.6, broadcast_hosts=limit).collect()}
-    assert len(got) == 14
+    got = {(r.page_id, r.host): r for r in without_boilerplate(table, ratio=0.6, broadcast_lines=limit).collect()}
+    assert len(got) == 17
+    assert got[104, "two.example"].text == "a" and got[106, "alone.example"].text == "menu\nc"
     assert got[3, "site.example"].text == "own 3\nfooter 1" and got[3, "site.example"].n_dropped == 2
     assert got[100, ""].text == "" and got[101, ""].n_lines == 0
     assert got[102, "one.example"].text == "menu"
