@@ -87,3 +87,8 @@ def test_specialty_label(evaluate):
 def test_join_texts(spark):
     df = spark.createDataFrame([("a", "b"), (None, "b")], "a string, b string")
     assert [r[0] for r in df.select(t.join_texts(F.col("a"), F.col("b"))).collect()] == ["a b", None]
+
+
+def test_upper_case_letter_by_letter(evaluate):
+    texts = ["Maß", "straße Ǆ ŉ ﬁ ᾳ", "été", "", None]
+    assert evaluate(t.upper, texts) == ["MAẞ", "STRAẞE Ǆ ŉ ﬁ ᾼ", "ÉTÉ", "", None]

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from jobsignals.operators.vocabularies import match_table, term_index
+from jobsignals.plans.catalog import term_table
 
 
 def low(text):
@@ -62,3 +63,11 @@ def test_names_of_the_caller_stay(spark, tmp_path):
     got = match_table(rows, index, "body", keep=["gram", "low", "id"]).collect()
     assert [r.asDict() for r in got] == [{"gram": "g", "low": "l", "id": 1, "term": "java"}]
     assert match_table(rows, index.limit(0), "body").collect() == [] and match_table(rows.limit(0), index, "body").collect() == []
+
+
+def test_upper_terms_of_the_query_are_found_again(spark):
+    documents = spark.createDataFrame([(1, "Putzß steht hier"), (2, "ganz andere Putzß")], "doc_id long, text string")
+    terms = {r.term for r in term_table(documents).collect()}
+    assert "PUTZẞ STEHT" in terms and not any("SS" in x for x in terms)
+    index = term_index(term_table(documents))
+    assert (1, "PUTZẞ STEHT") in {tuple(r) for r in match_table(documents, index, keep=["doc_id"]).collect()}
