@@ -24,6 +24,7 @@ from jobsignals.plans.inputs import (
 )
 from jobsignals.session import shared_folder
 from jobsignals.sources import tables, topics
+from jobsignals.sources.files import Folder
 from jobsignals.streaming import jobs
 from jobsignals.streaming.counts import read_counts, refresh_counts
 from jobsignals.streaming.store import compact, latest_per_key, read_store, upsert_batch
@@ -294,17 +295,22 @@ def stream_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _topic(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """The postings as a topic of several text files, in the order of their parts: half of
-    them first with another name, then all with their own."""
+    them first with another name, then all with their own. The rows are written where they are
+    read; only those of a single split are dealt out, to two files."""
     rows = postings(spark, sf_dir)
+    several = rows.rdd.getNumPartitions() > 1
     old = rows.where(_half("id") == 0).withColumn("name", F.lit("before"))
     for part, frame in enumerate((old, rows)):
-        topics.publish(po.to_messages(frame.repartition(2, "id")), {}, "text", f"{folder}/part={part}")
+        frame = frame if several else frame.repartition(2, "id")
+        topics.publish(po.to_messages(frame), {}, "text", f"{folder}/part={part}")
     return folder
 
 
 def _placed(spark: SparkSession, folder: str) -> DataFrame:
-    """The topic's files as a stream, with a place for each message as a broker gives one."""
-    lines = spark.readStream.schema("value string, part int").option("maxFilesPerTrigger", 1).text(folder)
+    """The topic's files as a stream of some four batches, with a place for each message as a
+    broker gives one."""
+    files = sum(n.startswith("part-") for part in (0, 1) for n in Folder(spark, f"{folder}/part={part}").names())
+    lines = spark.readStream.schema("value string, part int").option("maxFilesPerTrigger", max(1, files // 4)).text(folder)
     return lines.selectExpr("value", "0 AS partition", "CAST(part AS BIGINT) AS offset",
                             "timestamp_seconds(part) AS timestamp")
 

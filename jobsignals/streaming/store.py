@@ -171,9 +171,11 @@ def _bucket(key: Column, buckets: int) -> Column:
 
 
 def _write(rows: DataFrame, path: str, key: str, buckets: int) -> tuple[str, list[int]]:
-    """Rows as one file per bucket, sorted by key: the new folder and its buckets."""
+    """Rows as files of their buckets, each sorted by key: the new folder and its buckets. A
+    bucket has one file, or several where it is large: adaptive execution splits what one
+    task would have to read."""
     folder = uuid.uuid4().hex
-    (rows.withColumn("_bucket", _bucket(F.col(key), buckets)).repartition("_bucket")
+    (rows.withColumn("_bucket", _bucket(F.col(key), buckets)).hint("rebalance", "_bucket")
      .sortWithinPartitions("_bucket", key).write.partitionBy("_bucket").parquet(f"{path}/data/{folder}"))
     names = Folder(rows.sparkSession, f"{path}/data").names(folder)
     return folder, sorted(int(n.split("=")[1]) for n in names if n.startswith("_bucket="))

@@ -255,3 +255,15 @@ def test_counts_open_what_was_written(spark, tmp_path):
     feed = changes(spark, store, rows.schema, after, after + 1)
     assert len(files_read(feed)) == 1
     assert [(r.old.terms, r.new.terms) for r in feed.collect()] == [(["x"], ["y"])]
+
+
+def test_the_topic_of_a_split_table_is_dealt_to_no_two_tasks(spark, tmp_path):
+    from jobsignals.plans import catalog
+
+    rows = spark.range(400).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'en' AS lang", "'web' AS source")
+    rows.repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    folder = catalog._topic(spark, str(tmp_path), f"{tmp_path}/topic")
+    for part in (0, 1):
+        assert sum(n.startswith("part-") for n in Folder(spark, f"{folder}/part={part}").names()) == 4
+    found = catalog.stream_raw_store(spark, str(tmp_path)).collect()
+    assert sorted(int(r.id) for r in found) == list(range(400)) and {r.name for r in found} == {"web"}
