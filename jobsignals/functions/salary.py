@@ -116,10 +116,10 @@ def amount_bin(millions: Column) -> Column:
 
 def range_bins(start: Column, end: Column) -> Column:
     """All bins a range touches, the end capped; none if it is reversed."""
-    top = F.lit(BIN_CAP // BIN_SIZE)
-    # A start above the cap meets no bin, however far above; this keeps the numbers small.
-    first = F.least(F.floor(start / BIN_SIZE), top + 1).cast("long")
-    last = F.least(F.floor(end / BIN_SIZE), top).cast("long")
+    # A start above the cap meets no bin, however far above. Capped before they are divided: the
+    # quotient of a number of 38 digits has no room for its fraction.
+    first = F.floor(F.least(start, F.lit(BIN_CAP + BIN_SIZE)) / BIN_SIZE).cast("long")
+    last = F.floor(F.least(end, F.lit(BIN_CAP)) / BIN_SIZE).cast("long")
     # sequence() counts downwards when the start lies above the end.
     return F.when(
         end.isNotNull() & (first <= last),

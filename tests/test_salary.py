@@ -126,3 +126,9 @@ def test_long_run_followed_by_unit(evaluate):
 
 def test_rate_is_a_parameter(evaluate):
     assert evaluate(lambda c: salary_bins(c, usd_rate=26), ["1000 USD"]) == [[25]]
+
+
+def test_range_from_a_number_of_the_largest_length(evaluate):
+    digits = "19999999999999999999999999999999999999"
+    texts = [f"{digits} - 20 triệu", f"{digits}0 - 20 triệu", "7 - " + digits + " triệu"]
+    assert evaluate(salary_bins, texts) == [[], [], list(range(5, 101, 5))]
