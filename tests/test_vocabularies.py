@@ -71,3 +71,13 @@ def test_upper_terms_of_the_query_are_found_again(spark):
     assert "PUTZẞ STEHT" in terms and not any("SS" in x for x in terms)
     index = term_index(term_table(documents))
     assert (1, "PUTZẞ STEHT") in {tuple(r) for r in match_table(documents, index, keep=["doc_id"]).collect()}
+
+
+def test_texts_are_scanned_once(spark, tmp_path):
+    words = ["a", "two", "four", "sixsix", "seventy", "eighteen", "nineteen9", "😀 smile", "?b"]
+    term_index(spark.createDataFrame([(w,) for w in words], "term string")).write.parquet(f"{tmp_path}/index")
+    texts = spark.createDataFrame([(1, "Four 😀 SMILES"), (2, "😀b"), (3, "x?B eighteen")], "id int, text string")
+    found = match_table(texts, spark.read.parquet(f"{tmp_path}/index"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1
+    assert sorted(tuple(r) for r in found.collect()) == [(1, "four"), (1, "😀 smile"), (3, "?b"), (3, "eighteen")]
