@@ -10,18 +10,26 @@ Linked documents then share a shingle among their first n - ceil(0.8 n) + 1 (pre
 2. *Group*: documents with identical prefixes and size form one group, which posts
    its prefix once per task; equal sets form one class. Shingles that a single group
    posts are dropped.
-3. *Filter*: the lists that remain name candidates. Sizes must fit, and parity
+3. *Filter*: the lists that remain name pairs of groups. Sizes must fit, and parity
    bitmaps bound the difference of two sets from below: 9 popcount(x xor y) <= n + m
-   holds for every linked pair. Groups are expanded to their classes here.
-4. *Verify*. All candidate pairs are compared by their whole sets: the join's links
-   (:meth:`NearCopies.pairs`), from which the components follow. Lists with many
-   candidates for their length are dealt out to tasks anew, in pairs of slices of
-   ``DENSE_ROWS``, and give their candidates in batches; a pair that shares several lists
-   comes from the least of them.
-
-A group of copies costs one posting per task and shingle, and one class in the pairs. The
-links of a group of differing near copies grow with the square of its size, and so do
-the candidates. Components are found in tables, not on the driver.
+   holds for every linked pair. A group's bitmap knows the bits in which its classes agree.
+4. *Expand* the group pairs that pass to pairs of classes, by the bitmaps of the classes.
+   The classes of one group are a list of their own.
+5. *Verify* the class pairs by their whole sets.
+
+Lists with many candidates for their length, and those with a pair that a group of several
+classes is in, are dense. For the components (:meth:`NearCopies.documents`) a dense list first
+gives pairs that would connect its members, at most one per member, a group by one of
+its classes; what is linked so is one component, and pairs within a component are not
+looked at again. That is repeated while it connects, then all pairs between components are
+taken. So a group of n near copies costs some n pairs, not n * n; pairs that are not
+similar enough are all verified. The join's links (:meth:`NearCopies.pairs`) take all pairs of the
+dense lists, and grow with the square of a group of differing near copies. There
+dense lists are dealt out to tasks in pairs of slices of ``DENSE_ROWS``; a pair that shares
+several lists comes from the least of them.
+
+A group of copies costs one posting per task and shingle, and one class in the pairs.
+Components are found in tables, not on the driver.
 
 Defined results: documents without words or text (NULL, empty) have no shingles and
 are their own component; a component's id is its least doc_id, NULL only if all are
@@ -52,10 +60,13 @@ LIST_ROWS = 20_000
 #: Rows of a slice of a dense list, whose candidate pairs go with the square.
 DENSE_ROWS = 2_000
 BLOCK = 1024
+#: Dense lists are searched for pairs that connect while one in so many connects.
+LEAST_LINKED = 20
 #: Documents up to which the ids to compare are sent to all tasks (16 bytes each).
 BROADCAST_IDS = 1_000_000
 
-DESCRIBED = ("kind string, doc_id long, row long, n int, set1 long, set2 long, bits binary, slot int, count long")
+DESCRIBED = ("kind string, doc_id long, row long, n int, set1 long, set2 long, bits binary, "
+             "slots array<int>, counts array<long>")
 POSTED = "token long, grp long, n int, set1 long, set2 long"
 
 
@@ -87,6 +98,7 @@ def _bitmap(values: np.ndarray) -> bytes:
 
 def _described(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["kind", "doc_id", "row", "n", "set1", "set2", "bits", "slots", "counts"]
         counts = np.zeros(1 << SLOT_BITS, np.int64)
         for ids, rows, texts in portions(batches, ("doc_id", "row"), "text"):
             offsets, values = shingle_sets(texts, words)
@@ -103,17 +115,14 @@ def _described(words: int):
                 pa.array(["doc"] * size), pa.array(ids, pa.int64()), pa.array(rows, pa.int64()),
                 pa.array(n.astype(np.int32)), as_long(set1), as_long(set2),
                 pa.array([_bitmap(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], pa.binary()),
-                pa.nulls(size, pa.int32()), pa.nulls(size, pa.int64()),
-            ], names=["kind", "doc_id", "row", "n", "set1", "set2", "bits", "slot", "count"])
+                pa.nulls(size, pa.list_(pa.int32())), pa.nulls(size, pa.list_(pa.int64())),
+            ], names=names)
         slots = np.flatnonzero(counts)
-        for at in range(0, len(slots), 50_000):
-            some = slots[at : at + 50_000]
-            empty = pa.nulls(len(some), pa.int64())
-            yield pa.RecordBatch.from_arrays([
-                pa.array(["slot"] * len(some)), empty, empty, empty.cast(pa.int32()), empty, empty,
-                pa.nulls(len(some), pa.binary()),
-                pa.array(some.astype(np.int32)), pa.array(counts[some]),
-            ], names=["kind", "doc_id", "row", "n", "set1", "set2", "bits", "slot", "count"])
+        none = pa.nulls(1, pa.int64())
+        yield pa.RecordBatch.from_arrays([
+            pa.array(["slot"]), none, none, none.cast(pa.int32()), none, none, pa.nulls(1, pa.binary()),
+            pa.array([slots.astype(np.int32)], pa.list_(pa.int32())), pa.array([counts[slots]], pa.list_(pa.int64())),
+        ], names=names)
 
     return run
 
@@ -121,7 +130,8 @@ def _described(words: int):
 def _frequent(described: DataFrame) -> np.ndarray:
     """Slots of frequent shingles: far above what the mean lets expect. At most
     2 ** SLOT_BITS numbers reach the driver."""
-    slots = described.where("kind = 'slot'").groupBy("slot").agg(F.sum("count").alias("count"))
+    slots = described.where("kind = 'slot'").select(F.explode(F.arrays_zip("slots", "counts")).alias("at"))
+    slots = slots.groupBy(F.col("at.slots").alias("slot")).agg(F.sum("at.counts").alias("count"))
     mean = (slots.agg(F.sum("count")).first()[0] or 0) / (1 << SLOT_BITS)
     limit = mean + 10 * mean ** 0.5 + 32
     out = np.zeros(1 << SLOT_BITS, bool)
@@ -201,44 +211,79 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(token[out]), pa.array(grp[out]), pa.array(n[out].astype(np.int32)), none, none], names=names)
 
 
+def _agreed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Groups of rows that lie together in one, by grp: the least node, its bitmap, and the bits
+    in which all agree (NULL in a group of one class, where all do)."""
+    whole: dict[int, tuple] = {}
+
+    def given_back() -> pa.RecordBatch:
+        rows = [(grp, *row) for grp, row in whole.items()]
+        whole.clear()
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(
+                (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
+            names=["grp", "node", "n", "bits", "known"])
+
+    last = None
+    for batch in batches:
+        for grp, *row in zip(*(batch.column(c).to_pylist() for c in ("grp", "node", "n", "bits", "known"))):
+            if grp != last and len(whole) >= 10_000:
+                yield given_back()
+            last = grp
+            if grp not in whole:
+                whole[grp] = tuple(row)
+                continue
+            one, other = sorted((whole[grp], tuple(row)))
+            x, y = (np.frombuffer(r[2], np.uint8) for r in (one, other))
+            known = ~(x ^ y)
+            for r in (one, other):
+                known = known if r[3] is None else known & np.frombuffer(r[3], np.uint8)
+            whole[grp] = (*one[:3], known.tobytes())
+    if whole:
+        yield given_back()
+
+
 class _Bits:
-    """Parity bitmaps of a list's members, sorted by size, to compare one with many."""
+    """Parity bitmaps of a list's members, to compare one with many. Of some members only
+    some bits are known, the others count as equal."""
 
-    def __init__(self, sizes: np.ndarray, bits: list[bytes]) -> None:
+    def __init__(self, sizes: np.ndarray, bits: list[bytes], known: list[bytes | None]) -> None:
         self.sizes, self.bits = sizes, bits
         self.words = np.array([len(b) // 8 for b in bits])
-        self.by_length: dict[int, np.ndarray] = {}
+        self.known = [b"\xff" * len(x) if k is None else k for k, x in zip(known, bits)] if any(known) else None
+        self.by_length: dict[tuple[int, bool], np.ndarray] = {}
 
-    def _folded(self, length: int) -> np.ndarray:
+    def _folded(self, length: int, known: bool = False) -> np.ndarray:
         """All bitmaps of at least ``length`` words, folded to it; others are zero."""
-        if length not in self.by_length:
+        if (length, known) not in self.by_length:
             out = np.zeros((len(self.bits), length), np.uint64)
+            source, fold = (self.known, np.bitwise_and) if known else (self.bits, np.bitwise_xor)
             for words in np.unique(self.words[self.words >= length]):
                 at = np.flatnonzero(self.words == words)
-                raw = np.frombuffer(b"".join(self.bits[i] for i in at), np.uint64)
-                out[at] = np.bitwise_xor.reduce(raw.reshape(len(at), words // length, length), axis=1)
-            self.by_length[length] = out
-        return self.by_length[length]
-
-    def differences(self, one: int, others: np.ndarray) -> np.ndarray:
-        """Lower bounds of the set differences to others that are no smaller."""
-        rows = self._folded(int(self.words[one]))
-        return np.bitwise_count(rows[others] ^ rows[one]).sum(axis=1, dtype=np.int64)
-
-    def near(self, one: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Those of ``others`` (any sizes) that can link with ``one``, and the bounds."""
+                raw = np.frombuffer(b"".join(source[i] for i in at), np.uint64)
+                out[at] = fold.reduce(raw.reshape(len(at), words // length, length), axis=1)
+            self.by_length[length, known] = out
+        return self.by_length[length, known]
+
+    def _differences(self, one: int, others: np.ndarray, length: int) -> np.ndarray:
+        """Lower bounds of the set differences to others, by bitmaps of some length."""
+        rows = self._folded(length)
+        apart = rows[others] ^ rows[one]
+        if self.known is not None:
+            known = self._folded(length, True)
+            apart &= known[others] & known[one]
+        return np.bitwise_count(apart).sum(axis=1, dtype=np.int64)
+
+    def near(self, one: int, others: np.ndarray) -> np.ndarray:
+        """Those of ``others`` (any sizes) that can link with ``one``."""
         n, m = self.sizes[one], self.sizes[others]
-        fits = (5 * np.minimum(n, m) >= 4 * np.maximum(n, m)) & (others != one)
-        others = others[fits]
+        others = others[(5 * np.minimum(n, m) >= 4 * np.maximum(n, m)) & (others != one)]
         bounds = np.empty(len(others), np.int64)
-        larger = self.words[others] >= self.words[one]
-        bounds[larger] = self.differences(one, others[larger])
-        for length in np.unique(self.words[others[~larger]]):
-            at = self.words[others] == length
-            rows = self._folded(int(length))
-            bounds[at] = np.bitwise_count(rows[others[at]] ^ rows[one]).sum(axis=1, dtype=np.int64)
-        close = 9 * bounds <= n + self.sizes[others]
-        return others[close], bounds[close]
+        lengths = np.minimum(self.words[others], self.words[one])
+        for length in np.unique(lengths):
+            at = lengths == length
+            bounds[at] = self._differences(one, others[at], int(length))
+        return others[9 * bounds <= n + self.sizes[others]]
 
 
 def _lists(batches: Iterator[pa.RecordBatch], key: tuple[str, ...], columns: tuple[str, ...], block: int | None):
@@ -285,24 +330,41 @@ def _halves(width: int, least: int) -> Iterator[int]:
         yield width
 
 
-def _few(sizes: np.ndarray, bits: list[bytes], most: int) -> list[tuple[int, int]] | None:
-    """All candidate pairs of a list, or None if they are more than ``most``."""
-    members = _Bits(sizes, bits)
+def _few(members: _Bits, labels: np.ndarray, most: int) -> list[tuple[int, int]] | None:
+    """All candidate pairs of a list that differ in label, or None if they are more than ``most``."""
     pairs: list[tuple[int, int]] = []
-    numbers = np.arange(len(sizes))
-    for at in range(len(sizes) - 1):
-        pairs += [(at, other) for other in members.near(at, numbers[at + 1 :])[0].tolist()]
+    numbers = np.arange(len(members.sizes))
+    for at in range(len(numbers) - 1):
+        others = numbers[at + 1 :]
+        pairs += [(at, other) for other in members.near(at, others[labels[others] != labels[at]]).tolist()]
         if len(pairs) > most:
             return None
     return pairs
 
 
-#: A list with more candidate pairs per member is dealt out anew.
+def _connecting(members: _Bits, labels: np.ndarray) -> list[tuple[int, int]]:
+    """Candidate pairs that, if all were links, would connect what all candidates of the list
+    connect: at most one less than members. Members of one label are connected."""
+    labels, pairs = labels.copy(), []
+    numbers = np.arange(len(labels))
+    for at in numbers[:-1].tolist():
+        others = numbers[at + 1 :]
+        near = members.near(at, others[labels[others] != labels[at]])
+        new, first = np.unique(labels[near], return_index=True)
+        pairs += [(at, other) for other in near[first].tolist()]
+        if len(new):
+            labels[np.isin(labels, new)] = labels[at]
+    return pairs
+
+
+#: A list with more candidate pairs per member is dense.
 PAIRS_PER_MEMBER = 4
+#: What a task knows of a member of a list; the label is that of its component so far.
+MEMBER = ("node", "n", "bits", "known", "label")
 
 
 def _closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of each list; of dense or long lists the token."""
+    """Candidate pairs of each list; of dense or long lists those that connect, and the token."""
     out: list[tuple[int, int]] = []
     again: list[int] = []
 
@@ -316,18 +378,22 @@ def _closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ], names=["a", "b", "token"])
 
     last = None
-    for (token,), rows in _lists(batches, ("token",), ("node", "n", "bits"), BLOCK):
-        nodes, sizes, bits = (list(c) for c in zip(*rows))
-        if len(rows) <= 6:
-            pairs = _near_pairs(sizes, bits)
-        elif len(rows) == BLOCK:
-            pairs = None
+    for (token,), rows in _lists(batches, ("token",), MEMBER, BLOCK):
+        nodes, sizes, bits, known, labels = (list(c) for c in zip(*rows))
+        several = any(known)
+        if len(rows) <= 6 and not several:
+            pairs = [(i, j) for i, j in _near_pairs(sizes, bits) if labels[i] != labels[j]]
         else:
-            pairs = _few(np.array(sizes), bits, PAIRS_PER_MEMBER * len(rows))
-        if pairs is None or token == last:  # other blocks of the list were not compared
+            members, labels = _Bits(np.array(sizes), bits, known), np.array(labels)
+            pairs = None if len(rows) == BLOCK else _few(members, labels, PAIRS_PER_MEMBER * len(rows))
+            if pairs is None:
+                pairs = _connecting(members, labels)
+                again.append(token)
+            elif any(known[i] or known[j] for i, j in pairs):
+                again.append(token)
+        if token == last:  # the blocks of a list are not compared with each other
             again.append(token)
-        else:
-            out += [(nodes[i], nodes[j]) for i, j in pairs]
+        out += [(nodes[i], nodes[j]) for i, j in pairs]
         last = token
         if len(out) > 50_000:
             yield rows_of(again, out)
@@ -336,22 +402,39 @@ def _closest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _among(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidate pairs of each pair of slices, or of members of one slice. A pair belongs to
-    the least of the lists that hold both of its members, so no other list gives it."""
-    out: list[tuple[int, int]] = []
-    for (token, i, j), rows in _lists(batches, ("token", "i", "j"), ("node", "n", "bits", "slice", "lists"), None):
-        earlier = [{t for t in r[4] if t < token} for r in rows]
-        nodes, slices = np.array([r[0] for r in rows]), np.array([r[3] for r in rows])
-        members = _Bits(np.array([r[1] for r in rows]), [r[2] for r in rows])
+    """Candidate pairs of each pair of slices, or of members of one slice, with the groups of
+    those that stand for several classes. A pair belongs to the least of the lists that hold
+    both of its members, so no other list gives it."""
+    out: list[tuple] = []
+    kinds = (("a", pa.int64()), ("b", pa.int64()), ("ga", pa.int64()), ("gb", pa.int64()))
+
+    def rows_of(pairs: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], kind) for i, (_, kind) in enumerate(kinds)],
+                                          names=[name for name, _ in kinds])
+
+    for (token, i, j), rows in _lists(batches, ("token", "i", "j"), (*MEMBER, "grp", "slice", "lists"), None):
+        nodes, sizes, bits, known, labels, groups, slices, lists = zip(*rows)
+        earlier = [{t for t in found if t < token} for found in lists]
+        slices, labels = np.array(slices), np.array(labels)
+        members = _Bits(np.array(sizes), list(bits), list(known))
+        groups = [g if k else None for g, k in zip(groups, known)]
         numbers = np.arange(len(rows))
         for at in range(len(rows) - 1):
             others = numbers[at + 1 :] if i == j else numbers[at + 1 :][slices[at + 1 :] != slices[at]]
-            out += [(int(nodes[at]), int(nodes[y])) for y in members.near(at, others)[0].tolist()
+            others = others[labels[others] != labels[at]]
+            out += [(nodes[at], nodes[y], groups[at], groups[y]) for y in members.near(at, others).tolist()
                     if earlier[at].isdisjoint(earlier[y])]
             if len(out) > 50_000:
-                yield _pairs_batch(out)
+                yield rows_of(out)
                 out = []
-    yield _pairs_batch(out)
+    yield rows_of(out)
+
+
+def _fitting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of classes from pairs of groups that pass the filter themselves."""
+    for batch in batches:
+        rows = zip(*(batch.column(c).to_pylist() for c in ("a", "n", "x", "b", "m", "y")))
+        yield _pairs_batch([(a, b) for a, n, x, b, m, y in rows if _near_pairs([n, m], [x, y])])
 
 
 def _sets(words: int):
@@ -397,19 +480,23 @@ class NearCopies:
             .withColumn("node", F.monotonically_increasing_id()), "classes")
 
     def members(self) -> DataFrame:
-        """Classes in the lists of shared prefix shingles: token, node, n, bits."""
+        """Groups in the lists of shared prefix shingles, and classes in the list of their group:
+        token, node (a group's least class), grp (NULL in the latter), n, bits, known."""
         posted = self.texts.select("text").mapInArrow(_posted(self.words, _frequent(self.described)), POSTED)
         shared = kept(
             posted.repartition("token").sortWithinPartitions("token", "grp").mapInArrow(_shared, POSTED)
             .withColumn("kind", F.when(F.col("set1").isNull(), "list").otherwise("group")), "lists", "kind")
-        groups = kept(
+        self.groups = kept(
             shared.where("kind = 'group'").select("grp", "set1", "set2").distinct()
             .join(self.classes.select("set1", "set2", "node", "n", "bits"), ["set1", "set2"])
-            .select("grp", "node", "n", "bits"), "groups")
-        several = groups.groupBy("grp").count().where("count > 1").select("grp")
-        inside = groups.join(several, "grp").select(F.col("grp").alias("token"), "node", "n", "bits")
-        lists = shared.where("kind = 'list'").select("token", "grp")
-        return lists.join(groups, "grp").select("token", "node", "n", "bits").unionAll(inside)
+            .select("grp", "node", "n", "bits", F.lit(None).cast("binary").alias("known")), "groups")
+        whole = kept(
+            self.groups.mapInArrow(_agreed, self.groups.schema).repartition("grp").sortWithinPartitions("grp")
+            .mapInArrow(_agreed, self.groups.schema), "groups")
+        inside = self.groups.join(whole.where("known IS NOT NULL").select("grp"), "grp").select(
+            F.col("grp").alias("token"), "node", F.lit(None).cast("long").alias("grp"), "n", "bits", "known")
+        lists = shared.where("kind = 'list'").select("token", "grp").join(whole, "grp")
+        return lists.select("token", "node", "grp", "n", "bits", "known").unionAll(inside)
 
     def verified(self, pairs: DataFrame) -> DataFrame:
         """Pairs whose whole sets are similar enough."""
@@ -428,36 +515,104 @@ class NearCopies:
             .join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
             .mapInArrow(_linked, "a long, b long"))
 
-    def candidates(self) -> DataFrame:
-        """All pairs of classes that share a prefix shingle and pass the filter."""
-        members = kept(self.members(), "members")
-        closest = kept(members.repartition("token").sortWithinPartitions("token", "n", "node")
+    def connecting(self, members: DataFrame, turn: int = 0) -> tuple[DataFrame, DataFrame]:
+        """Candidate pairs of classes (a, b): all of lists that are not dense, some that connect
+        of the dense ones; and the tokens of the dense ones. Long lists are cut into other
+        blocks each turn."""
+        order = ("n", "node") if not turn else (F.xxhash64("node", F.lit(turn)), "node")
+        closest = kept(members.repartition("token").sortWithinPartitions("token", *order)
                        .mapInArrow(_closest, "a long, b long, token long").distinct(), "candidates")
-        few = closest.where("token IS NULL").select("a", "b")
-        dense = closest.where("token IS NOT NULL").select("token")
-        if dense.isEmpty():
-            return few
-        everywhere, members = members, kept(members.join(dense, "token", "left_semi"), "members")
-        # All lists of each member of a dense one: no more than its prefix and its group.
-        lists = everywhere.groupBy("node").agg(F.collect_set("token").alias("lists"))
-        members = kept(members.join(lists, "node"), "members")
+        return (closest.where("token IS NULL").select("a", "b"),
+                closest.where("token IS NOT NULL").select("token"))
+
+    def between(self, everywhere: DataFrame, members: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """All candidate pairs of classes in some lists, ``members``, that differ in label. A
+        member's lists among ``everywhere`` are no more than its prefix and its group."""
+        place = ["node", F.coalesce("grp", F.lit(0)).alias("place__")]
+        lists = everywhere.select("token", *place).groupBy("node", "place__").agg(F.collect_set("token").alias("lists"))
+        members = members.withColumn("place__", F.coalesce("grp", F.lit(0)))
+        members = kept(members.join(lists, ["node", "place__"]), "members")
         rows = min(self.list_rows, DENSE_ROWS)
         sizes = members.groupBy("token").count().select(
             "token", F.ceil(F.col("count") / rows).cast("int").alias("slices"))
         dealt = members.join(sizes, "token").withColumn("slice", F.pmod(F.xxhash64("node"), "slices").cast("int"))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
         dealt = dealt.select("token", F.least("slice", "other").alias("i"), F.greatest("slice", "other").alias("j"),
-                             "slice", "node", "n", "bits", "lists")
-        among = (dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node")
-                 .mapInArrow(_among, "a long, b long"))
-        return kept(few.unionAll(among).distinct(), "candidates")
+                             "slice", "node", "grp", "n", "bits", "known", "label", "lists")
+        among = kept(dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j", "n", "node")
+                     .mapInArrow(_among, "a long, b long, ga long, gb long"), "grouped")
+        return among.where("ga IS NULL AND gb IS NULL").select("a", "b").unionAll(
+            self._expanded(among.where("ga IS NOT NULL OR gb IS NOT NULL"), labels)).distinct()
+
+    def _expanded(self, grouped: DataFrame, labels: DataFrame | None) -> DataFrame:
+        """Pairs of classes of pairs of groups; a side without a group is one class."""
+        classes = self.classes.select("node", "n", "bits")
+        if labels is None:
+            classes = classes.withColumn("label", F.col("node"))
+        else:
+            classes = classes.join(labels, "node", "left").withColumn("label", F.coalesce("component", "node"))
+        of_group = self.groups.select("grp", "node").join(classes.select("node", "n", "bits", "label"), "node")
+        for side, group, n, bits, label in (("a", "ga", "n", "x", "p"), ("b", "gb", "m", "y", "q")):
+            rest = [c for c in grouped.columns if c not in (side, group)]
+            single = grouped.where(F.col(group).isNull()).join(
+                classes.select(F.col("node").alias(side), F.col("n").alias(n), F.col("bits").alias(bits),
+                               F.col("label").alias(label)), side)
+            several = grouped.where(F.col(group).isNotNull()).drop(side).join(
+                of_group.select(F.col("grp").alias(group), F.col("node").alias(side), F.col("n").alias(n),
+                                F.col("bits").alias(bits), F.col("label").alias(label)), group)
+            columns = [*rest, side, n, bits, label]
+            grouped = single.select(*columns).unionAll(several.select(*columns))
+        return grouped.where("p <> q").select("a", "n", "x", "b", "m", "y").mapInArrow(_fitting, "a long, b long")
 
     def links(self) -> DataFrame:
         """All linked pairs of classes, each once: a, b."""
         if self._links is None:
-            self._links = kept(self.verified(self.candidates()), "verified")
+            members = kept(self.members().withColumn("label", F.monotonically_increasing_id()), "members")
+            found, dense = self.connecting(members)
+            open_ = members.join(dense, "token", "left_semi")
+            found = found.unionAll(self.between(members, kept(open_, "members"), None)).distinct()
+            self._links = kept(self.verified(kept(found, "candidates")), "verified")
         return self._links
 
+    def linked(self) -> DataFrame:
+        """The component of each class that has a link: node, component. Dense lists are
+        looked at again only as far as their members are not connected yet."""
+        everywhere = kept(self.members().withColumn("label", F.monotonically_increasing_id()), "members")
+        members, labels, joined, turn, going = everywhere, None, 0, 0, True
+        while True:
+            if going:
+                found, dense = self.connecting(members, turn)
+            else:
+                found, dense = kept(self.between(everywhere, members, labels), "candidates"), None
+            new = kept(self.verified(found), "verified")
+            if labels is not None:
+                new = new.unionAll(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
+            labels = components(new)
+            if dense is None or dense.isEmpty():
+                return labels
+            members = kept(self._apart(members.join(dense, "token", "left_semi"), labels), "members")
+            if members.isEmpty():
+                return labels
+            before, joined = joined, labels.where("node <> component").count()
+            going = joined > before and LEAST_LINKED * (joined - before) >= found.count()
+            turn += 1
+
+    def _apart(self, members: DataFrame, labels: DataFrame) -> DataFrame:
+        """Members with the labels of their components; lists of one component are left out. A
+        group in several components is no part of any."""
+        of_class = members.where("grp IS NULL").drop("label").join(labels, "node", "left")
+        of_class = of_class.withColumn("label", F.coalesce("component", "node")).drop("component")
+        of_group = members.where("grp IS NOT NULL").drop("label")
+        classes = self.groups.select("grp", "node").join(of_group.select("grp").distinct(), "grp").join(labels, "node", "left")
+        label = F.coalesce("component", "node")
+        groups = classes.groupBy("grp").agg(F.min(label).alias("least"), F.max(label).alias("most"))
+        of_group = of_group.join(groups, "grp").withColumn(
+            "label", F.when(F.col("least") == F.col("most"), F.col("least")).otherwise(-1 - F.col("node")))
+        members = kept(of_class.unionByName(of_group.drop("least", "most")), "members")
+        mixed_up = F.max(F.col("label") < 0)
+        lists = members.groupBy("token").agg(F.min("label").alias("least"), F.max("label").alias("most"), mixed_up.alias("mixed"))
+        return members.join(lists.where("mixed OR least <> most").select("token"), "token", "left_semi")
+
     def pairs(self) -> DataFrame:
         """The join's result: all linked pairs of class representatives, the rows least by
         id and text key among those of equal sets: a_id, a_row, b_id, b_row."""
@@ -469,7 +624,7 @@ class NearCopies:
     def documents(self) -> DataFrame:
         """One row per document: doc_id, row (text key), n_shingles, component_id and
         stays, true for the component's first document by id and text key."""
-        labels = components(self.links())
+        labels = self.linked()
         known = self.classes.select("set1", "set2", "node", "place").join(labels, "node", "left")
         known = kept(known.withColumn("component", F.coalesce("component", "node")), "known")
         first = known.groupBy("component").agg(F.min("place").alias("first"))
