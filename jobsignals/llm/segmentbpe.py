@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain, islice
 
 import numpy as np
@@ -42,6 +42,8 @@ REMEMBERED_LENGTH = 48
 REMEMBERED_WORDS = 500_000
 #: Words that are encoded together.
 TOGETHER = 20_000
+#: Tokens that are decoded together, at least one text.
+DECODED = 1 << 20
 #: Texts of more characters are cut into words one at a time, not into a list.
 LIST_CHARS = 1 << 21
 
@@ -105,13 +107,30 @@ def _characters() -> dict[str, int]:
 
 
 class _Remembered(dict):
-    """Tokens of words; longer words than are kept are encoded where they come."""
+    """Numbers of words, from 0 in the order in which they first come. Words longer than are
+    kept have negative ones, from -1, which hold until they are taken with :attr:`long`."""
 
-    def __init__(self, merged: Callable[[bytes], list[int]]) -> None:
-        self.merged = merged
+    def __init__(self) -> None:
+        self.new: list[str] = []
+        self.long: list[str] = []
 
-    def __missing__(self, word: str) -> list[int]:
-        return self.merged(word.encode("utf-8", "replace"))
+    def __missing__(self, word: str) -> int:
+        if len(word) > REMEMBERED_LENGTH:
+            self.long.append(word)
+            return -len(self.long)
+        self[word] = number = len(self)
+        self.new.append(word)
+        return number
+
+
+def _taken(offsets: np.ndarray, values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The values of some entries, one after another; ``offsets`` has one more than entries."""
+    starts = offsets[at]
+    ends = np.cumsum(offsets[at + 1] - starts)
+    if not len(ends):
+        return values[:0]
+    begins = np.concatenate(([0], ends[:-1]))
+    return values[np.repeat(starts - begins, ends - begins) + np.arange(ends[-1])]
 
 
 class BytePairs:
@@ -142,7 +161,12 @@ class BytePairs:
         self.bytes_of |= {i: content.encode() for content, i in self.added.items()}
         longest = sorted(self.added, key=len, reverse=True)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, longest)) + ")") if longest else None
-        self.words = _Remembered(self.merged)
+        known = np.array(sorted(self.bytes_of), np.int64)
+        #: Bytes of the tokens by id; an empty entry at the end for ids without one.
+        self._bytes = pa.array([self.bytes_of.get(i, b"") for i in range(int(known[-1]) + 2)], pa.binary())
+        self.words = _Remembered()
+        #: Tokens of the words, by number.
+        self._offsets, self._tokens = np.zeros(1, np.int64), np.empty(0, np.int32)
         # The same for many words at once: sorted pairs, their leaves, and what ranks give.
         keys = np.array(list(self.leaves), np.int64)
         order = np.argsort(keys)
@@ -256,58 +280,100 @@ class BytePairs:
         ends = np.cumsum(kept.sum(axis=1)).tolist()
         return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends)]
 
-    def remember(self, words: Iterable[str]) -> None:
-        """Encode the short ones of some words together."""
+    def _learn(self) -> None:
+        """Encode the words that are new together."""
+        found: list[list[int]] = [[] for _ in self.words.new]
+        sizes: dict[int, list[tuple[int, bytes]]] = {}
+        for at, word in enumerate(self.words.new):
+            data = word.encode("utf-8", "replace")
+            if len(data) < 2:
+                found[at] = [self.single[b] for b in data]
+            else:
+                sizes.setdefault(max(1 << (len(data) - 2).bit_length(), 2), []).append((at, data))
+        for size, some in sizes.items():
+            for begin in range(0, len(some), TOGETHER):
+                part = some[begin : begin + TOGETHER]
+                for (at, _), ids in zip(part, self.merged_many([d for _, d in part], size)):
+                    found[at] = ids
+        self._offsets, self._tokens = self._with(found)
+        self.words.new = []
+
+    def _with(self, found: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of all words and of some more."""
+        if not found:
+            return self._offsets, self._tokens
+        lengths = np.fromiter(map(len, found), np.int64, len(found))
+        tokens = np.fromiter(chain.from_iterable(found), np.int32, int(lengths.sum()))
+        return (np.concatenate((self._offsets, self._offsets[-1] + np.cumsum(lengths))), np.concatenate((self._tokens, tokens)))
+
+    def _numbers(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+
+    def _ids(self, numbers: list[np.ndarray]) -> list[np.ndarray]:
+        """Tokens of the words with these numbers. Then the memory starts anew if it is full."""
+        self._learn()
+        offsets, tokens = self._with([self.merged(w.encode("utf-8", "replace")) for w in self.words.long])
+        out = [_taken(offsets, tokens, np.where(n < 0, len(self.words) - 1 - n, n)) for n in numbers]
+        self.words.long = []
         if len(self.words) > REMEMBERED_WORDS:
             self.words.clear()
-        sizes: dict[int, list[tuple[str, bytes]]] = {}
-        for word in words:
-            if len(word) <= REMEMBERED_LENGTH and word not in self.words:
-                data = word.encode("utf-8", "replace")
-                if len(data) < 2:
-                    self.words[word] = [self.single[b] for b in data]
-                else:
-                    sizes.setdefault(max(1 << (len(data) - 2).bit_length(), 2), []).append((word, data))
-        for size, found in sizes.items():
-            for at in range(0, len(found), TOGETHER):
-                some = found[at : at + TOGETHER]
-                self.words.update(zip((w for w, _ in some), self.merged_many([d for _, d in some], size)))
+            self._offsets, self._tokens = np.zeros(1, np.int64), np.empty(0, np.int32)
+        return out
 
     def _cut(self, text: str) -> list[tuple[str, bool]]:
         """Sections between added tokens, and whether each is such a token."""
         return [(s, at % 2 == 1) for at, s in enumerate(self.cut.split(text) if self.cut else [text]) if s]
 
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
+    def encode_arrays(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of each text. New short words of all of them are encoded together."""
-        cut = []
+        numbers: list[np.ndarray] = []
+        parts: list[list[int | np.ndarray]] = []  # by text: a place in numbers, or tokens
         for text in texts:
-            parts = []
+            mine: list[int | np.ndarray] = []
             for section, added in self._cut(text):
-                pattern = None if added else _pattern_of(section)
-                whole = added or len(section) <= LIST_CHARS
-                parts.append((section, added, pattern, pattern.findall(section) if pattern and whole else None))
-            cut.append(parts)
-        self.remember({w for parts in cut for *_, words in parts for w in words or ()})
-        get = self.words.__getitem__
-        out = []
-        for parts in cut:
-            ids: list[int] = []
-            for section, added, pattern, words in parts:
                 if added:
-                    ids.append(self.added[section])
-                elif words is not None:
-                    ids.extend(chain.from_iterable(map(get, words)))
-                else:
-                    found = (m.group() for m in pattern.finditer(section))
-                    while some := list(islice(found, 1 << 18)):
-                        self.remember(set(some))
-                        ids.extend(chain.from_iterable(map(get, some)))
-            out.append(ids)
-        return out
+                    mine.append(np.array([self.added[section]], np.int32))
+                    continue
+                pattern = _pattern_of(section)
+                if len(section) <= LIST_CHARS:
+                    mine.append(len(numbers))
+                    numbers.append(self._numbers(pattern.findall(section)))
+                    continue
+                # What came before has its numbers in the memory that may start anew.
+                self._settle(parts, mine, numbers)
+                found = (m.group() for m in pattern.finditer(section))
+                while some := list(islice(found, 1 << 18)):
+                    mine.extend(self._ids([self._numbers(some)]))
+            parts.append(mine)
+        self._settle(parts, [], numbers)
+        return [p[0] if len(p) == 1 else np.concatenate([np.empty(0, np.int32), *p]) for p in parts]
+
+    def _settle(self, parts: list[list], mine: list, numbers: list[np.ndarray]) -> None:
+        """Tokens in place of the numbers of words."""
+        ids = self._ids(numbers)
+        numbers.clear()
+        for some in (*parts, mine):
+            some[:] = [ids[p] if isinstance(p, int) else p for p in some]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        return [ids.tolist() for ids in self.encode_arrays(texts)]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
 
+    def decode_arrays(self, ids: pa.Array, lengths: np.ndarray) -> pa.Array:
+        """The texts of some token ids, which are ``lengths`` to a text."""
+        given = ids.fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+        empty = len(self._bytes) - 1
+        data = self._bytes.take(pa.array(np.where((given >= 0) & (given < empty), given, empty), pa.int32()))
+        ends = np.concatenate(([0], np.cumsum(lengths)))
+        offsets = np.frombuffer(data.buffers()[1], np.int32, len(data) + 1)[ends]
+        whole = pa.Array.from_buffers(pa.binary(), len(lengths), [None, pa.py_buffer(offsets.tobytes()), data.buffers()[2]])
+        try:
+            return whole.cast(pa.string())
+        except pa.ArrowInvalid:
+            return pa.array([t.decode("utf-8", "replace") for t in whole.to_pylist()], pa.string())
+
     def decode(self, ids: Iterable[int]) -> str:
         get = self.bytes_of.get
         return b"".join([get(i, b"") for i in ids]).decode("utf-8", "replace")
@@ -331,7 +397,7 @@ def encoded(documents: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = _loaded(content.value)
         for doc_ids, texts in portions(batches, ("doc_id",), "text", limit=4 << 20):
-            found = [np.array(ids, np.int32) for ids in pairs.encode_all([t.decode("utf-8", "replace") for t in texts])]
+            found = pairs.encode_arrays([t.decode("utf-8", "replace") for t in texts])
             offsets = np.concatenate(([0], np.cumsum([len(f) for f in found]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(doc_ids, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(found)))],
@@ -348,13 +414,18 @@ def decoded(tokens: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = _loaded(content.value)
         for batch in batches:
-            ids = batch.column("ids")
-            for row in range(batch.num_rows):  # one text at a time: it can be long
-                values = ids[row].values
-                text = pairs.decode([] if values is None else values.to_pylist())
+            lengths = batch.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            ends = np.cumsum(lengths, dtype=np.int64)
+            row = 0
+            while row < batch.num_rows:  # some texts at a time: one can be long
+                before = ends[row - 1] if row else 0
+                stop = max(int(np.searchsorted(ends, before + DECODED, side="right")), row + 1)
+                some = batch.slice(row, stop - row)
+                ids = some.column("ids")
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(row, 1), ids.slice(row, 1), pa.array([text], pa.string())],
+                    [some.column("doc_id"), ids, pairs.decode_arrays(ids.flatten(), lengths[row:stop])],
                     names=["doc_id", "ids", "text"])
+                row = stop
 
     rows = tokens.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
     return rows.mapInArrow(run, "doc_id long, ids array<int>, text string")

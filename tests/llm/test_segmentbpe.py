@@ -3,7 +3,9 @@
 import hashlib
 import random
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -66,6 +68,25 @@ def test_small_memory_and_long_texts(library, monkeypatch):
         assert pairs.encode(text) == library.encode(text, add_special_tokens=False).ids
 
 
+def test_arrays_of_many_texts(library, monkeypatch):
+    monkeypatch.setattr(segmentbpe, "REMEMBERED_WORDS", 40)
+    monkeypatch.setattr(segmentbpe, "LIST_CHARS", 400)
+    pairs = BytePairs(open(PATH, encoding="utf-8").read())
+    texts = [*ODD, "short before " + "<|endoftext|>" + "a long section " * 60, "y" * 49 + " " + "y" * 49, *random_texts(300)]
+    for some in (texts, texts[::-1], texts * 2):
+        want = [library.encode(t, add_special_tokens=False).ids for t in some]
+        got = pairs.encode_arrays(some)
+        assert [ids.tolist() for ids in got] == want
+        lengths = np.array([len(ids) for ids in got])
+        assert pairs.decode_arrays(pa.array(np.concatenate(got)), lengths).to_pylist() == some
+    # Ids without a token, NULL ids, texts without ids, and bytes that are not UTF-8 by themselves.
+    half = library.encode("\U0001F600", add_special_tokens=False).ids[:1]
+    odd = pa.array([None, -1, 10 ** 6, *half, *half], pa.int32())
+    assert pairs.decode_arrays(odd, np.array([0, 3, 1, 0, 1])).to_pylist() == [
+        "", "", *[library.decode(half, skip_special_tokens=False), ""], library.decode(half, skip_special_tokens=False)]
+    assert pairs.decode_arrays(odd[:0], np.array([0, 0])).to_pylist() == ["", ""]
+
+
 def test_rows(spark, documents, library):
     rows = [(1, "Hello  world"), (1, "Hello  world"), (2, None), (None, "x"), (3, ""), (4, "ü" * 100_000)]
     tokens = encoded(documents(rows), PATH)
