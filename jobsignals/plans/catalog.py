@@ -380,13 +380,16 @@ def table_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts kept up to date over three batches of a store: half of the postings under
-    another text, all of them as they are, and half of them once more."""
+    another text, all of them as they are, and half of them once more. What was extracted
+    is written, so that a posting that comes again is not read again."""
     folder = shared_folder(spark, "counts")
     rows = postings(spark, sf_dir)
-    half = rows.where(_half("id") == 0)
+    other = rows.where(_half("id") == 0).withColumn("mo_ta_cong_viec", F.lit("Docker, SQL và Java"))
+    po.extract(rows).write.parquet(f"{folder}/extracted")
+    extracted = spark.read.schema(schemas.EXTRACTED).parquet(f"{folder}/extracted")
     write = upsert_batch(f"{folder}/store")
-    for number, batch in enumerate((half.withColumn("mo_ta_cong_viec", F.lit("Docker, SQL và Java")), rows, half)):
-        write(po.extract(batch), number)
+    for number, batch in enumerate((po.extract(other), extracted, extracted.where(_half("id") == 0))):
+        write(batch, number)
         refresh_counts(spark, f"{folder}/counts", f"{folder}/store", schemas.EXTRACTED, "knowledges", "Knowledge")
     return read_counts(spark, f"{folder}/counts", "Knowledge")
 

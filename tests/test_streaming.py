@@ -4,6 +4,7 @@ from pyspark.testing import assertDataFrameEqual
 
 from jobsignals import schemas
 from jobsignals.operators import postings as po
+from jobsignals.plans import catalog
 from jobsignals.sources import tables, topics
 from jobsignals.streaming import jobs
 from jobsignals.streaming.store import compact, read_store, snapshot, stream_id, upsert_batch
@@ -137,3 +138,12 @@ def test_each_query_has_its_own_checkpoint(spark, topic, tmp_path):
     for q in jobs.land_and_echo(stream(spark, topic), f"{tmp_path}/out", f"{tmp_path}/cp", once=True):
         q.awaitTermination()
     assert {p.name for p in (tmp_path / "cp").iterdir()} == {"files", "echo"}
+
+
+def test_counts_extract_each_posting_once(spark, monkeypatch):
+    """What comes again under the same text is taken as it was extracted."""
+    calls = []
+    extract = catalog.po.extract
+    monkeypatch.setattr(catalog.po, "extract", lambda rows, *more: calls.append(rows) or extract(rows, *more))
+    assert catalog.stream_counts(spark, "/root/testdata/sf0.001").count() > 0
+    assert len(calls) == 2  # the other text of half of them, and all as they are
