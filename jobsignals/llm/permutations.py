@@ -2,7 +2,7 @@
 
 A bounded sample of the different vectors serves as pivots, however often each occurs. Each vector is represented by its
 ``prefix`` nearest pivots in their order; this is written for every row. A slice of the
-index posts its rows in inverted files, one list per pivot of (row, place). A query adds
+index turns them into lists, one per pivot with the place that each row has it at. A query adds
 up, over the lists of its own nearest pivots, how much less than the worst the places
 differ; that is the footrule distance, with pivots outside a prefix at place ``prefix``.
 The nearest share of each slice by footrule is ranked again by the exact inner
@@ -108,20 +108,21 @@ def _searched(pivots: int, prefix: int, share: float, k: int):
             ids = index.column("vec_id").to_pandas().astype("Int64")
             order_of_id = np.argsort(np.argsort(ids.fillna(np.iinfo(np.int64).max).to_numpy(np.int64), kind="stable"))
             ids = np.array(index.column("vec_id").to_pylist(), dtype=object)
-            # Inverted files: for each pivot the rows near it and its place with them.
-            order = np.argsort(places.ravel(), kind="stable")
-            owner, place = (order // prefix).astype(np.int64), (order % prefix).astype(np.int64)
-            bounds = np.searchsorted(places.ravel()[order], np.arange(pivots + 1))
+            # For each pivot a list of how near it is to the rows: 1 for the last place in a
+            # prefix, ``prefix`` for the first, 0 outside. Sums of them fit the smaller kind.
+            kind = np.int16 if prefix <= 128 else np.int32
+            nearness = np.zeros((pivots, n), kind)
+            nearness[places.ravel(), np.repeat(np.arange(n), prefix)] = np.tile(prefix - np.arange(prefix), n)
             count = min(n, max(20 * k, int(np.ceil(share * n))))
             own, own_ids = queries.column("uid").to_numpy(), queries.column("vec_id").to_pylist()
             asked, q_vectors = rows(queries, "query", np.uint16), rows(queries, "vector", np.float64)
+            longest, lengths_of = np.sqrt((vectors ** 2).sum(axis=1).max()), np.sqrt((q_vectors ** 2).sum(axis=1))
             for q in range(queries.num_rows):
-                lists = [np.arange(bounds[p], bounds[p + 1]) for p in asked[q]]
-                posted = np.concatenate(lists)
-                rank = np.repeat(np.arange(prefix), [len(x) for x in lists])
-                # Places that differ least save most against a pivot outside the prefix.
-                saved = (prefix - rank) - np.abs(rank - place[posted])
-                footrule = -np.bincount(owner[posted], weights=saved, minlength=n)
+                footrule = np.zeros(n, kind)
+                for rank, p in enumerate(asked[q].tolist()):
+                    # Places that differ least save most against a pivot outside the prefix:
+                    # prefix - rank - |rank - place|, and nothing for rows with the pivot outside.
+                    footrule -= np.minimum(nearness[p], 2 * (prefix - rank) - nearness[p])
                 # Of rows at the cut's distance those of the smallest ids stay.
                 cut = np.partition(footrule, count - 1)[count - 1]
                 tied = np.flatnonzero(footrule == cut)
@@ -129,6 +130,13 @@ def _searched(pivots: int, prefix: int, share: float, k: int):
                 tied = tied[np.argsort(order_of_id[tied], kind="stable")][: count - len(closer)]
                 near = np.concatenate((closer, tied))
                 near = near[uid[near] != own[q]]
+                # A first look by a product whose order of summing may differ from row to row; what
+                # it puts within its error of the k-th nearest, or has no number for, is summed again.
+                rough = vectors[near] @ q_vectors[q]
+                if len(near) > k:
+                    error = 4 * len(q_vectors[q]) * np.finfo(np.float64).eps * longest * lengths_of[q]
+                    least = np.partition(rough, len(near) - k)[len(near) - k]
+                    near = near[~(rough < least - 2 * error)]
                 # Summed row by row in one order, so that equal vectors have equal scores.
                 score = (vectors[near] * q_vectors[q]).sum(axis=1)
                 best = np.lexsort((order_of_id[near], -score))[:k]

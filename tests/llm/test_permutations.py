@@ -105,3 +105,38 @@ def test_equal_vectors_are_ordered_by_id(spark):
         found = _searched(4, 4, 0.35, 20)(index, asked)
         assert found.column("vec_id").to_pylist() == list(range(1, 21)), n
         assert len(set(found.column("score").to_pylist())) == 1
+
+
+def test_search_equals_a_plain_reading():
+    """Footrule over the places, the share by distance and id, then the exact product."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    from jobsignals.llm import permutations
+
+    rng = np.random.default_rng(11)
+    for n, d, kind in ((400, 12, "plain"), (400, 3, "tied"), (300, 6, "huge")):
+        x = rng.normal(size=(n, d))
+        x = np.where(np.arange(n)[:, None] % 2, np.round(x) + 1, np.round(x[0])) if kind == "tied" else x
+        x = x * 1e300 if kind == "huge" else x
+        pivots = x[:40]
+        prefix, share, k = 9, 0.3, 4
+        with np.errstate(all="ignore"):
+            longest = float(np.sqrt((x ** 2).sum(axis=1)).max())
+            run = permutations._indexed(pivots, longest, prefix, lambda i: i % 20 == 0)
+            batch = pa.record_batch({"uid": pa.array(np.arange(n)), "vec_id": pa.array(rng.permutation(n)), "vector": pa.array(list(x))})
+            index = pa.Table.from_batches(list(run(iter([batch]))))
+            asked = index.filter(pc.is_valid(index["query"]))
+            got = permutations._searched(len(pivots), prefix, share, k)(index, asked).to_pylist()
+        ids = index["vec_id"].to_pylist()
+        places = [np.frombuffer(p, np.uint16).tolist() for p in index["places"].to_pylist()]
+        want = []
+        for uid, query_id, query in zip(*(asked[c].to_pylist() for c in ("uid", "vec_id", "query"))):
+            own = np.frombuffer(query, np.uint16).tolist()
+            saved = [sum(prefix - r - abs(r - p.index(q)) for r, q in enumerate(own) if q in p) for p in places]
+            near = sorted(range(n), key=lambda i: (-saved[i], ids[i]))[: max(20 * k, int(np.ceil(share * n)))]
+            near = np.array(sorted((i for i in near if i != uid), key=lambda i: ids[i]))
+            with np.errstate(all="ignore"):
+                score = (x[near] * x[uid]).sum(axis=1)
+            want += [(uid, query_id, ids[near[i]], repr(float(score[i]))) for i in np.argsort(-score, kind="stable")[:k]]
+        assert [(r["uid"], r["query_id"], r["vec_id"], repr(r["score"])) for r in got] == want
