@@ -210,7 +210,7 @@ def attributes(markup: Column, tag: str, name: str) -> Column:
 _CHARACTERS = {n[:-1]: c for n, c in html5.items() if n.endswith(";")} | {"nbsp": " "}
 # A map is searched from its start, so the names pages are full of have one of their own.
 _COMMON = {n: _CHARACTERS[n] for n in ("amp", "nbsp", "lt", "gt", "quot", "apos", "copy", "middot", "hellip", "ndash", "mdash")}
-_REFERENCE = r"&(?=(?:#[0-9]++|#[xX][0-9A-Fa-f]++|[A-Za-z][A-Za-z0-9]*+);)"
+_REFERENCE = r"^(?:#[0-9]++|#[xX][0-9A-Fa-f]++|[A-Za-z][A-Za-z0-9]*+);"
 # Browsers read the control characters 128 to 159 as Windows-1252.
 _CONTROLS = {str(i): str(ord(bytes([i]).decode("cp1252"))) for i in range(128, 160)
              if i not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
@@ -246,10 +246,10 @@ def decode_entities(c: Column) -> Column:
         return F.concat(let(name, character), F.substr(rest, F.char_length(name) + 2))
 
     def decode(text: Column) -> Column:
-        # Each part but the first follows an ampersand and starts with a name.
-        parts = F.transform(
-            F.split(text, _REFERENCE, -1), lambda p, i: F.when(i == 0, p).otherwise(resolved(p))
-        )
+        # Each part but the first follows an ampersand; those of a reference start with its
+        # name. A split at one character takes no regular expression.
+        parts = F.transform(F.split(text, "&", -1), lambda p, i: F.when(i == 0, p).when(
+            p.rlike(_REFERENCE), resolved(p)).otherwise(F.concat(F.lit("&"), p)))
         return F.when(text.contains("&"), F.array_join(parts, "")).otherwise(text)
 
     return let(c, decode)
@@ -258,13 +258,15 @@ def decode_entities(c: Column) -> Column:
 def visible_text(markup: Column) -> Column:
     """Text as a reader sees it: one line per block, single spaces, no tags."""
     block = rf"</?(?i:{'|'.join(BLOCK_TAGS)})(?=[\s/>]){_REST}"
-    # Every run of white space but a single space, which needs no change.
-    one_line = F.regexp_replace(markup, r"[\t\n\x0B\f\r]\s*|\s{2,}", " ")
+    # Every run of white space but a single space, which needs no change. The look at the
+    # next character spares the alternatives at most positions.
+    one_line = F.regexp_replace(markup, r"(?=\s)(?:[\t\n\x0B\f\r]\s*+| \s++)", " ")
     lines = F.regexp_replace(one_line, block, "\n")
     # Tags with quoted values that hold > first, then whatever else looks like one.
     plain = F.regexp_replace(lines, rf"</?[A-Za-z]{_REST}", "")
-    single = F.regexp_replace(let(plain, strip_tags), " {2,}", " ")
-    return strip(decode_entities(F.regexp_replace(single, r" ?\n[ \n]*", "\n")))
+    # A run of spaces and new lines is one new line, or one space if it holds no new line.
+    single = F.regexp_replace(let(plain, strip_tags), r"(?=[ \n])(?: *+(\n)[ \n]*+|( ) ++)", "$1$2")
+    return strip(decode_entities(single))
 
 
 def _without_dots(address: Column) -> Column:

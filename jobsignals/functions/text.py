@@ -52,11 +52,11 @@ def strip_tags(c: Column) -> Column:
 
     The text behind the last ``>`` cannot hold a tag and is left out of the
     search: a ``<`` without an end would otherwise be followed to the end of
-    the text, once for each of them.
+    the text, once for each of them. Texts without a ``<`` are left as they are.
     """
     tail = F.substring_index(c, ">", -1)
     head = F.left(c, F.char_length(c) - F.char_length(tail))
-    return F.concat(F.regexp_replace(head, "<[^>]*>", ""), tail)
+    return F.when(c.contains("<"), F.concat(F.regexp_replace(head, "<[^>]*>", ""), tail)).otherwise(c)
 
 
 def clean(c: Column) -> Column:

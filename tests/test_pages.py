@@ -190,3 +190,9 @@ def test_elements(evaluate, step, html, want):
 def test_references_of_html_5(evaluate):
     texts = ["&#00000065;&#x0000000000000041;", "&abreve;&dstrok;&itilde;", "&#150;&#x80;", "&#99999999999999999999;", "&NotEqualTilde;"]
     assert evaluate(h.decode_entities, texts) == [html_lib.unescape(t) for t in texts]
+
+
+def test_runs_and_references(evaluate):
+    texts = ["a  \n \n  b   c \n", " \n\n x", "a &amp;&lt; b && &; &no &nosuch; &#65;&#x42;&amp;amp;", "1 < 2", "a\t\tb \x0b c", "<p>a</p>  <p>b", "&", ""]
+    assert evaluate(h.visible_text, texts) == [
+        "a b c", "x", "a &< b && &; &no &nosuch; AB&amp;", "1 < 2", "a b c", "a\nb", "&", ""]
