@@ -5,9 +5,10 @@ Each source's rows are put into a seeded random order; a row's fractional rank i
 holds all sources in their proportions, so equal cuts give shards that match the
 mixture. The law is ``rows``: the numbers of rows in two shards differ by one at most.
 
-Rows that come in an order of their own, such as a mixture's, are dealt out in it
-instead (:func:`dealt`): a row's place, found from the files, goes to shard place modulo
-shards. Each shard then follows the order, and the law holds as well.
+Rows that come in an order of their own, such as a mixture's (:func:`dealt`), go through the
+same ranks and cuts. A row's place is found from the files, and the strata are turns: as many
+rows as there are shards, one after another. A turn has a row for each shard, so each shard
+follows the order; the rows of a last, shorter turn go to shards at even distances.
 
 A hot source is ranked in blocks (:mod:`jobsignals.llm.ranking`), never in one task;
 ranks are computed on ids and sizes, texts are not shuffled for them.
@@ -21,16 +22,30 @@ rows; other columns are ignored.
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from jobsignals.llm.ranking import ranked, shuffled_place, small, with_texts
+from jobsignals.llm.ranking import SMALL, ranked, shuffled_place, small, with_texts
 from jobsignals.llm.tables import given, kept, quoted, table, text_key, veiled
 
 SHARDS = 8
 SEED = 7
 
 
+def _cut(slim: DataFrame, order: list[str], fraction: Column, spread: Column, shards: int) -> DataFrame:
+    """Narrow rows (a stratum, a place in it as :func:`ranked` takes it, and more) with shard and
+    slot: ranked in their strata along ``order``, then put in the order of the ``fraction`` that
+    follows from rank and stratum_rows, and cut equally. ``spread`` is the place in that order."""
+    by_stratum = ranked(slim, "stratum", "place", order, "rank", "stratum_rows")
+    rest = [c for c in slim.columns if c not in ("stratum", "place")]
+    mixed = kept(by_stratum.withColumn("fraction", fraction).select(
+        *rest, "stratum", "rank", "fraction", spread.alias("spread"), F.lit(0).alias("all")), "shard-ranks")
+    whole = ranked(mixed, "all", "spread", ["fraction", "stratum", "rank"], "position", "rows")
+    return whole.withColumn("shard", F.expr(f"((position - 1) * {shards}) DIV rows")).select(
+        *rest, F.col("shard").cast("int").alias("shard"),
+        F.expr(f"position - 1 - (shard * rows + {shards - 1}) DIV {shards}").alias("slot"))
+
+
 def interleaved(documents: DataFrame, shards: int = SHARDS, seed: int = SEED, id_col: str = "doc_id",
                 text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document: doc_id, row (text key), size, text_crc32, law, shard, slot."""
@@ -42,17 +57,9 @@ def interleaved(documents: DataFrame, shards: int = SHARDS, seed: int = SEED, id
     )
     slim = kept(slim.withColumn("place", shuffled_place("doc_id", "text_crc32", seed=seed)), "shard-rows")
     order = ["place", "doc_id", "text_crc32", "size", "row"]
-    by_source = ranked(slim, "stratum", "place", order, "rank", "source_rows")
-    fraction = (2 * F.col("rank") - 1) / (2 * F.col("source_rows"))
-    mixed = kept(by_source.select("doc_id", "row", "size", "text_crc32", "stratum", "rank",
-                                  fraction.alias("fraction"), F.lit(0).alias("all")), "shard-ranks")
-    whole = ranked(mixed, "all", "fraction", ["fraction", "stratum", "rank"], "position", "rows")
-    shard = F.expr(f"((position - 1) * {shards}) DIV rows")
-    return whole.withColumn("shard", shard).select(
-        "doc_id", "row", "size", "text_crc32", F.lit("rows").alias("law"),
-        F.col("shard").cast("int").alias("shard"),
-        F.expr(f"position - 1 - (shard * rows + {shards - 1}) DIV {shards}").alias("slot"),
-    )
+    fraction = (2 * F.col("rank") - 1) / (2 * F.col("stratum_rows"))
+    return _cut(slim, order, fraction, F.col("fraction"), shards).select(
+        "doc_id", "row", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot")
 
 
 def sharded(documents: DataFrame, shards: int = SHARDS, seed: int = SEED, id_col: str = "doc_id",
@@ -76,7 +83,7 @@ def _with_files(documents: DataFrame) -> DataFrame:
 
 
 def dealt(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """All columns of the documents with shard and slot, the rows dealt out in their
+    """All columns of the documents with shard and slot, interleaved by turns of their
     order: that of the files by task number and of the rows in them, or else the order
     in which they would be written. Columns of these names are replaced."""
     placed = _with_files(documents)
@@ -84,10 +91,17 @@ def dealt(documents: DataFrame, shards: int = SHARDS) -> DataFrame:
     order = [F.regexp_extract("file__", "part-([0-9]+)[^/]*$", 1).try_cast("long"), F.col("file__")]
     before = F.sum("rows__").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1))
     starts = files.select("file__", F.coalesce(before, F.lit(0)).alias("before__"))
-    place = F.col("before__") + F.col("at__")
-    return placed.join(small(starts), "file__").select(
-        *given(documents, ("shard", "slot")), (place % shards).cast("int").alias("shard"),
-        F.expr(f"(before__ + at__) DIV {shards}").alias("slot"))
+    placed = placed.join(small(starts), "file__").withColumn("order__", F.col("before__") + F.col("at__"))
+    slim = kept(placed.select("order__", F.expr(f"order__ DIV {shards}").alias("stratum"),
+                              ((F.col("order__") % shards) / shards).alias("place")), "shard-rows")
+    fraction = (F.col("rank") - 1) / F.col("stratum_rows")
+    # Of equal fractions the earlier turn comes first.
+    turns = max(1, -(-slim.count() // shards))
+    spread = (F.floor(F.col("fraction") * shards) + F.col("stratum") / turns) / shards
+    places = kept(_cut(slim, ["order__"], fraction, spread, shards), "shard-places")
+    few = places.limit(SMALL + 1).count() <= SMALL
+    return placed.join(places.hint("broadcast" if few else "merge"), "order__").select(
+        *given(documents, ("shard", "slot")), "shard", "slot")
 
 
 def op7_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

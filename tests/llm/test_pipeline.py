@@ -5,6 +5,7 @@ from collections import Counter
 import corpus_pipeline
 from jobsignals.llm.decontaminate import normal
 from jobsignals.llm.mixing import mixed
+from jobsignals.llm.shards import interleaved
 from tests.llm.test_nearcopies import by_force
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -89,3 +90,19 @@ def test_mixing_decides_what_shards_hold_first(spark, tmp_path):
         assert all(abs(shares[s] - 320 * w) <= 8 for s, w in (("big", 4 / 7), ("mid", 2 / 7), ("low", 1 / 7)))
     alone = {r.doc_id: r.slot * 8 + r.shard for r in stages["sharding"](spark, docs, "").collect()}
     assert sorted(alone.values()) == list(range(8400)) and alone != position
+
+
+def test_sharding_cuts_as_its_operator_does(spark, tmp_path):
+    """99 rows in 8 shards: 12 whole turns give each shard a row, in their order; the rows of the last
+    turn and so the sizes are spread as the interleaving spreads them."""
+    spark.range(99).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'one' AS source").coalesce(1).write.parquet(
+        str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    rows = dict(corpus_pipeline.STAGES)["sharding"](spark, docs, "").collect()
+    sizes = Counter(r.shard for r in interleaved(docs).collect())
+    assert Counter(r.shard for r in rows) == sizes and len(set(sizes.values())) == 2
+    for shard in range(8):
+        own = sorted((r.slot, r.doc_id) for r in rows if r.shard == shard)
+        assert [s for s, _ in own] == list(range(sizes[shard]))
+        assert [d for _, d in own[:12]] == [8 * s + shard for s in range(12)]
+    assert sorted(r.doc_id for r in rows) == list(range(99))
