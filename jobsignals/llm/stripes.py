@@ -382,7 +382,7 @@ def collocations(documents: DataFrame, least: int = LEAST, top: int = TOP, text_
     most = after.unionAll(before).groupBy("lang", "phrase").agg(F.max("count").alias("most"))
     candidates = (
         found.where("words > 1").select("lang", "phrase", "words", F.col("count").alias("a"))
-        .join(most, ["lang", "phrase"], "left")
+        .join(most.hint("merge"), ["lang", "phrase"], "left")  # packed files hide how large it is
         .where("most IS NULL OR 100 * most < 80 * a").drop("most"))
     word = F.split("phrase", " ")
     cuts = candidates.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("words") - 1))).select(

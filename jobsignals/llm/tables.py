@@ -54,7 +54,8 @@ FEW, DEALT = 50_000, 16
 def looked_up(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` with the columns of ``facts``, which has one row for each key; NULL keys
     meet. A few facts, which are counted, are broadcast; else each fact is repeated
-    ``DEALT`` times and the rows of a key, hot ones too, go to that many tasks."""
+    ``DEALT`` times and the rows of a key, hot ones too, go to that many tasks. These are
+    never broadcast: Spark sizes them by the files and does not see that they are repeated."""
     held = facts.select(*[F.col(k).alias(f"{k}__key") for k in keys], *[c for c in facts.columns if c not in keys])
     same = [F.col(k).eqNullSafe(F.col(f"{k}__key")) for k in keys]
     if held.limit(FEW + 1).count() <= FEW:
@@ -62,7 +63,7 @@ def looked_up(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
     else:
         dealt = held.withColumn("part__key", F.explode(F.sequence(F.lit(0), F.lit(DEALT - 1))))
         part = F.pmod(F.xxhash64(*rows.columns), F.lit(DEALT)).cast("int")
-        joined = rows.withColumn("part__row", part).join(dealt, [*same, F.col("part__row") == F.col("part__key")])
+        joined = rows.withColumn("part__row", part).join(dealt.hint("merge"), [*same, F.col("part__row") == F.col("part__key")])
         joined = joined.drop("part__row", "part__key")
     return joined.drop(*[f"{k}__key" for k in keys])
 

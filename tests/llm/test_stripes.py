@@ -108,3 +108,18 @@ def test_a_filter_lets_all_of_its_phrases_through(spark):
     assert asked("en", [p.split() for lang, p in known if lang == "en"]).all()
     assert asked("en", [(f"n{i}", f"m{i}") for i in range(4000)]).mean() < 0.1
     assert isinstance(passes.bits, np.ndarray) and len(passes.bits) * 64 >= len(known)
+
+
+def test_repeated_facts_are_not_broadcast(spark, monkeypatch, tmp_path):
+    """Facts over the bound are dealt out by a shuffle, however small Spark takes them for."""
+    from jobsignals.llm import tables
+
+    monkeypatch.setattr(tables, "FEW", 10)
+    given = spark.createDataFrame([(None, -1), *((str(i), i) for i in range(40))], "k string, v int")
+    given.write.parquet(str(tmp_path / "facts"))  # files have a size, which is small
+    facts = spark.read.parquet(str(tmp_path / "facts"))
+    rows = spark.createDataFrame([(None, 0), *((str(i % 50), i) for i in range(200))], "k string, x int")
+    found = tables.looked_up(rows, facts, ["k"])
+    assert "Broadcast" not in found._jdf.queryExecution().sparkPlan().toString()
+    expected = [(None, 0, -1)] + [(str(i % 50), i, i % 50) for i in range(200) if i % 50 < 40]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(expected, key=str)
