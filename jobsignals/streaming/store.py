@@ -176,7 +176,8 @@ def _write(rows: DataFrame, path: str, key: str, buckets: int) -> tuple[str, lis
     task would have to read."""
     folder = uuid.uuid4().hex
     (rows.withColumn("_bucket", _bucket(F.col(key), buckets)).hint("rebalance", "_bucket")
-     .sortWithinPartitions("_bucket", key).write.partitionBy("_bucket").parquet(f"{path}/data/{folder}"))
+     .sortWithinPartitions("_bucket", key).write.partitionBy("_bucket").option("compression", "zstd")
+     .parquet(f"{path}/data/{folder}"))
     names = Folder(rows.sparkSession, f"{path}/data").names(folder)
     return folder, sorted(int(n.split("=")[1]) for n in names if n.startswith("_bucket="))
 
@@ -272,8 +273,10 @@ def _read(spark: SparkSession, path: str, schema: StructType, key: str, at: Snap
     names = schema.fieldNames()
     out = chosen(_rows(spark, path, schema, clean).where("_current").select(*names))
     if merged:
+        # A base and each tail hold a row per key and partition, so no key is hot here, and one
+        # shuffle by key serves both steps of the merge.
         found = chosen(_rows(spark, path, schema, _files(at, merged)).drop("_current"))
-        out = out.unionAll(_last_writes(found, key).select(*names))
+        out = out.unionAll(_last_writes(found.repartition(key), key).select(*names))
     return out
 
 

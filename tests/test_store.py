@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from jobsignals.plans import catalog
 from jobsignals.sources.files import Folder
 from jobsignals.streaming import jobs
 from jobsignals.streaming.counts import merge_counts, read_counts, refresh_counts
@@ -267,3 +268,16 @@ def test_the_topic_of_a_split_table_is_dealt_to_no_two_tasks(spark, tmp_path):
         assert sum(n.startswith("part-") for n in Folder(spark, f"{folder}/part={part}").names()) == 4
     found = catalog.stream_raw_store(spark, str(tmp_path)).collect()
     assert sorted(int(r.id) for r in found) == list(range(400)) and {r.name for r in found} == {"web"}
+
+
+def test_files_are_packed_and_a_read_merges_by_one_shuffle(spark, batch, tmp_path):
+    write = upsert_batch(f"{tmp_path}/s", buckets=1)
+    for number in range(2):
+        write(batch([(f"k{i}", i + number) for i in range(20)]), number)
+    found = read_store(spark, f"{tmp_path}/s", batch([]).schema)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert {r.id: r.n for r in found.collect()} == {f"k{i}": i + 1 for i in range(20)}
+    files = [f.name for f in (tmp_path / "s" / "data").rglob("part-*")]
+    assert len(files) == 2 and all(".zstd." in f for f in files)
+    topic = catalog._topic(spark, "/root/testdata/sf0.001", f"{tmp_path}/topic")
+    assert all(f.name.endswith(".gz") for f in (tmp_path / "topic").rglob("part-*")) and spark.read.text(topic).count() > 200
